@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension above this many rows is joined by shuffle (AQE may still convert it
+# to a broadcast from the real shuffle size at run time).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``broadcast`` only if the dimension has at most ``max_rows`` rows.
+
+    The count runs on the (small, usually already written) dimension, and only up
+    to ``max_rows + 1`` rows are counted, so the check itself stays cheap.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
