@@ -223,4 +223,7 @@ def with_prefix(*ctes_and_select: str) -> str:
     body = PREFIX
     for e in extra:
         body += ",\n" + e
+    final = final.strip()
+    if final[:4].upper() == "WITH":  # merge the statement's own CTE list
+        return "WITH " + body.strip() + ",\n" + final[4:].strip()
     return "WITH " + body.strip() + "\n" + final

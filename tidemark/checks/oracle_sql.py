@@ -128,3 +128,135 @@ SELECT count(*) AS rows, CAST({len(RAW_COLUMNS) + 4} AS BIGINT) AS columns,
        CAST({_null_cells} AS BIGINT) AS null_cells,
        count(*) - count(DISTINCT _row_hash) AS duplicate_hashes
 FROM bronze""")
+
+
+# ---- Star schema -------------------------------------------------------------------
+_LOC7 = ["order_city", "order_state", "order_country", "order_region", "market", "latitude", "longitude"]
+_LOC5 = _LOC7[:5]
+_CUST_ATTRS = ["customer_fname", "customer_lname", "customer_segment", "customer_city",
+               "customer_state", "customer_country", "customer_zipcode"]
+_nl = lambda cols: ", ".join(f"{c} ASC NULLS LAST" for c in cols)
+_nse = lambda a, b, cols: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+
+STAR_CTES = f"""dim_date AS (
+  SELECT CAST(row_number() OVER (ORDER BY full_date ASC NULLS LAST) AS INTEGER) AS date_id, full_date,
+         CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+         CAST(month(full_date) AS INTEGER) AS month, strftime(full_date, '%B') AS month_name,
+         CAST(day(full_date) AS INTEGER) AS day, strftime(full_date, '%A') AS day_of_week,
+         CAST(weekofyear(full_date) AS INTEGER) AS week_of_year
+  FROM (SELECT DISTINCT CAST(order_date AS DATE) AS full_date FROM prep WHERE order_date IS NOT NULL)),
+dim_location AS (
+  SELECT CAST(row_number() OVER (ORDER BY {_nl(_LOC7)}) AS INTEGER) AS location_id, {", ".join(_LOC7)}
+  FROM (SELECT DISTINCT {", ".join(_LOC7)} FROM prep)),
+dim_shipping AS (
+  SELECT CAST(row_number() OVER (ORDER BY shipping_mode ASC NULLS LAST, delivery_status ASC NULLS LAST) AS INTEGER)
+           AS shipping_id, shipping_mode, delivery_status
+  FROM (SELECT DISTINCT shipping_mode, delivery_status FROM prep)),
+cust_first AS (
+  SELECT customer_id, {", ".join(_CUST_ATTRS)} FROM prep WHERE customer_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _row_number, _row_hash) = 1),
+cust_metrics AS (
+  SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
+  FROM prep WHERE customer_id IS NOT NULL GROUP BY customer_id),
+dim_customer AS (
+  SELECT f.customer_id, {", ".join("f." + c for c in _CUST_ATTRS)},
+         CAST(m._clv AS DOUBLE) AS customer_lifetime_value,
+         CAST(m._clv AS DOUBLE) / nullif(CAST(m._n AS DOUBLE), 0.0) AS avg_order_value,
+         m.order_count, m.order_count > 1 AS is_repeat_customer
+  FROM cust_first f JOIN cust_metrics m ON f.customer_id = m.customer_id),
+dim_product AS (
+  SELECT product_card_id, product_name, CAST(product_price AS DOUBLE) AS product_price, category_id,
+         category_name, department_id, department_name, product_status
+  FROM prep WHERE product_card_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY product_card_id ORDER BY _row_number, _row_hash) = 1),
+loc_lookup AS (
+  SELECT {", ".join(_LOC5)}, max(location_id) AS location_id FROM dim_location GROUP BY {", ".join(_LOC5)}),
+fact_sales AS (
+  SELECT p.order_item_id, p.order_id, p.customer_id, p.product_card_id, d.date_id, l.location_id, s.shipping_id,
+         p.order_item_quantity, p.sales, p.order_item_discount, p.order_profit_per_order, p.benefit_per_order,
+         p.order_item_product_price, p.order_item_total, p.days_for_shipping_real, p.delivery_days_actual,
+         p.delivery_delay_days, p.is_late, p.profit_margin_pct, p.discount_pct, p.revenue_per_item,
+         p.order_status, p.type
+  FROM prep p
+  LEFT JOIN dim_date d ON CAST(p.order_date AS DATE) = d.full_date
+  LEFT JOIN loc_lookup l ON {_nse('p', 'l', _LOC5)}
+  LEFT JOIN dim_shipping s ON {_nse('p', 's', ['shipping_mode', 'delivery_status'])})"""
+
+
+def with_star(final: str, *extra: str) -> str:
+    return with_prefix(STAR_CTES, *extra, final)
+
+
+for _t in ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]:
+    ORACLE[_t] = with_star(f"SELECT * FROM {_t}")
+
+ORACLE["legacy_fact_sales"] = with_star("SELECT * EXCLUDE (days_for_shipping_real) FROM fact_sales")
+
+_FKS = [("customer_id", "dim_customer", "customer_id"), ("product_card_id", "dim_product", "product_card_id"),
+        ("date_id", "dim_date", "date_id"), ("location_id", "dim_location", "location_id"),
+        ("shipping_id", "dim_shipping", "shipping_id")]
+_PKS = {"dim_customer": "customer_id", "dim_product": "product_card_id", "dim_date": "date_id",
+        "dim_location": "location_id", "dim_shipping": "shipping_id", "fact_sales": "order_item_id"}
+_fk_parts = [f"""SELECT 'foreign_key' AS "check", 'fact_sales' AS table_name, '{fk}' AS column_name,
+  count(*) AS violations FROM fact_sales f WHERE f.{fk} IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})""" for fk, dim, pk in _FKS]
+for _t, _pk in _PKS.items():
+    _fk_parts.append(f"""SELECT 'primary_key_unique', '{_t}', '{_pk}',
+  CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT {_pk}, count(*) AS c FROM {_t} GROUP BY {_pk} HAVING count(*) > 1)""")
+    _fk_parts.append(f"""SELECT 'primary_key_not_null', '{_t}', '{_pk}', count(*) FILTER (WHERE {_pk} IS NULL) FROM {_t}""")
+ORACLE["fk_check"] = with_star("\nUNION ALL\n".join(_fk_parts))
+
+ORACLE["integrity_anti_join"] = with_star("\nUNION ALL\n".join(
+    f"""SELECT '{fk}' AS foreign_key, order_item_id, CAST({fk} AS BIGINT) AS key_value FROM fact_sales f
+  WHERE {fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})""" for fk, dim, pk in _FKS))
+
+for _key, _dim, _k, _cols in [("fact_date_join", "dim_date", "date_id", ["full_date", "year", "month"]),
+                              ("fact_location_join", "dim_location", "location_id",
+                               ["order_city", "order_country", "market"]),
+                              ("fact_product_join", "dim_product", "product_card_id",
+                               ["product_name", "category_name", "department_name"]),
+                              ("fact_shipping_join", "dim_shipping", "shipping_id",
+                               ["shipping_mode", "delivery_status"])]:
+    ORACLE[_key] = with_star(f"SELECT f.order_item_id, f.{_k}, {', '.join('d.' + c for c in _cols)} "
+                             f"FROM fact_sales f JOIN {_dim} d ON f.{_k} = d.{_k}")
+
+DENORM_SELECT = """SELECT f.*,
+  dd.full_date, dd.year, dd.quarter, dd.month, dd.month_name, dd.day, dd.day_of_week, dd.week_of_year,
+  dc.customer_fname, dc.customer_lname, dc.customer_segment, dc.customer_city, dc.customer_state,
+  dc.customer_country, dc.customer_zipcode, dc.customer_lifetime_value, dc.avg_order_value, dc.order_count,
+  dc.is_repeat_customer,
+  dp.product_name, dp.product_price, dp.category_id, dp.category_name, dp.department_id, dp.department_name,
+  dp.product_status,
+  dl.order_city, dl.order_state, dl.order_country, dl.order_region, dl.market, dl.latitude, dl.longitude,
+  ds.shipping_mode, ds.delivery_status
+FROM fact_sales f
+LEFT JOIN dim_date dd ON f.date_id = dd.date_id
+LEFT JOIN dim_customer dc ON f.customer_id = dc.customer_id
+LEFT JOIN dim_product dp ON f.product_card_id = dp.product_card_id
+LEFT JOIN dim_location dl ON f.location_id = dl.location_id
+LEFT JOIN dim_shipping ds ON f.shipping_id = ds.shipping_id"""
+DENORM_CTE = f"denorm AS ({DENORM_SELECT})"
+ORACLE["star_denormalise"] = with_star(DENORM_SELECT)
+
+ORACLE["customer_agg_join"] = with_star("""SELECT p.order_item_id, p.customer_id,
+  CAST(m._clv AS DOUBLE) AS customer_lifetime_value,
+  CAST(m._clv AS DOUBLE) / nullif(CAST(m._n AS DOUBLE), 0.0) AS avg_order_value,
+  m.order_count, m.order_count > 1 AS is_repeat_customer
+FROM prep p LEFT JOIN (
+  SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
+  FROM prep GROUP BY customer_id) m ON p.customer_id = m.customer_id""")
+ORACLE["surrogate_key_lookup"] = with_star("SELECT order_item_id, date_id, location_id, shipping_id FROM fact_sales")
+ORACLE["surrogate_keys"] = with_star("""
+SELECT 'dim_date' AS dimension, date_id AS id, CAST(full_date AS VARCHAR) AS natural_key FROM dim_date
+UNION ALL
+SELECT 'dim_location', location_id, concat_ws('|', order_city, order_state, order_country, order_region, market,
+  CAST(CAST(latitude AS DECIMAL(10,2)) AS VARCHAR), CAST(CAST(longitude AS DECIMAL(10,2)) AS VARCHAR)) FROM dim_location
+UNION ALL
+SELECT 'dim_shipping', shipping_id, concat_ws('|', shipping_mode, delivery_status) FROM dim_shipping""")
+
+# ---- SQL query layer: the same ANSI text over the oracle's own star ---------------
+from tidemark.plans.sql_analytics import DAILY_VIEW_BODY, SQL  # noqa: E402
+
+for _name, _text in SQL.items():
+    ORACLE[_name] = with_star(_text)
+ORACLE["daily_sales_summary"] = with_star(DAILY_VIEW_BODY)
