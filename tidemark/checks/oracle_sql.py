@@ -260,3 +260,199 @@ from tidemark.plans.sql_analytics import DAILY_VIEW_BODY, SQL  # noqa: E402
 for _name, _text in SQL.items():
     ORACLE[_name] = with_star(_text)
 ORACLE["daily_sales_summary"] = with_star(DAILY_VIEW_BODY)
+
+
+# ---- Metrics over Gold -------------------------------------------------------------
+def r1(x: str) -> str:
+    return f"(floor(CAST({x} AS DOUBLE) * 10 + 0.5) / 10)"
+
+
+def dec(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(18,2))"
+
+
+def with_gold(final: str, tables: list[str], star: bool = False, *extra: str) -> str:
+    ctes = [GOLD_CTES[t] for t in tables]
+    if star:
+        return with_prefix(STAR_CTES, *ctes, *extra, final)
+    return with_prefix(*ctes, *extra, final)
+
+
+KPI_BODY = f"""
+SELECT {r2('rev')} AS total_revenue, orders AS total_orders,
+       CASE WHEN orders > 0 THEN {r2(ratio('rev', 'orders'))} ELSE 0.0 END AS avg_order_value,
+       {r2('profit')} AS total_profit,
+       (SELECT count(*) FROM dim_customer) AS total_customers,
+       CASE WHEN ships > 0 THEN {r1(ratio('late', 'ships') + ' * 100')} ELSE 0.0 END AS late_pct,
+       CASE WHEN rev <> 0 THEN {r1(ratio('profit', 'rev') + ' * 100')} ELSE 0.0 END AS profit_margin
+FROM (SELECT sum({dec('total_revenue')}) AS rev, CAST(sum(total_orders) AS BIGINT) AS orders,
+             sum({dec('total_profit')}) AS profit FROM gold_monthly_revenue) m,
+     (SELECT sum(late_shipments) AS late, sum(total_shipments) AS ships FROM gold_late_delivery_risk) r"""
+ORACLE["kpi_summary"] = with_gold(KPI_BODY, ["gold_monthly_revenue", "gold_late_delivery_risk"], True)
+
+ORACLE["market_rollup"] = with_gold(f"""
+SELECT market, {r2('sum(' + dec('total_revenue') + ')')} AS total_revenue,
+       CAST(sum(total_orders) AS BIGINT) AS total_orders,
+       {r2(ratio('sum(' + dec('late_pct') + ')', 'count(late_pct)'))} AS late_pct
+FROM gold_market_performance GROUP BY market""", ["gold_market_performance"])
+ORACLE["category_rollup"] = with_gold(f"""
+SELECT category_name, {r2('sum(' + dec('total_revenue') + ')')} AS total_revenue,
+       CAST(sum(units_sold) AS BIGINT) AS units_sold,
+       {r2(ratio('sum(' + dec('avg_margin_pct') + ')', 'count(avg_margin_pct)'))} AS avg_margin_pct
+FROM gold_product_performance GROUP BY category_name""", ["gold_product_performance"])
+
+
+def band(x: str) -> str:
+    return f"CASE WHEN {x} > 50 THEN 'bad' WHEN {x} > 30 THEN 'warn' ELSE 'ok' END"
+
+
+ORACLE["mode_risk_rollup"] = with_gold(f"""
+SELECT *, {band('late_pct')} AS risk_band FROM (
+  SELECT shipping_mode, total, late, {pct('late', 'total')} AS late_pct FROM (
+    SELECT shipping_mode, CAST(sum(total_shipments) AS BIGINT) AS total, CAST(sum(late_shipments) AS BIGINT) AS late
+    FROM gold_late_delivery_risk GROUP BY shipping_mode))""", ["gold_late_delivery_risk"])
+ORACLE["status_share"] = with_gold(f"""
+SELECT delivery_status, shipments,
+       {pct('shipments', '(SELECT sum(total_shipments) FROM gold_late_delivery_risk)')} AS share_pct
+FROM (SELECT delivery_status, CAST(sum(total_shipments) AS BIGINT) AS shipments
+      FROM gold_late_delivery_risk GROUP BY delivery_status)""", ["gold_late_delivery_risk"])
+ORACLE["segment_profile"] = with_gold("""
+SELECT customer_segment AS subject, CAST(floor(avg_clv + 0.5) AS BIGINT) AS clv,
+       CAST(floor(avg_aov + 0.5) AS BIGINT) AS aov, repeat_rate_pct AS repeat
+FROM gold_customer_segments""", ["gold_customer_segments"])
+ORACLE["mom_growth"] = with_gold(
+    "SELECT order_year, order_month, total_revenue, mom_revenue_growth_pct FROM gold_monthly_revenue",
+    ["gold_monthly_revenue"])
+ORACLE["anomalies"] = with_gold("""
+SELECT concat_ws(' ', order_month_name, CAST(order_year AS VARCHAR)) AS period, order_year, order_month,
+       total_revenue, mom_revenue_growth_pct
+FROM gold_monthly_revenue
+WHERE mom_revenue_growth_pct IS NOT NULL
+  AND abs(mom_revenue_growth_pct - (SELECT avg(mom_revenue_growth_pct) FROM gold_monthly_revenue))
+      > (SELECT stddev_pop(mom_revenue_growth_pct) FROM gold_monthly_revenue) * 1.8""", ["gold_monthly_revenue"])
+
+ORACLE["kpi_vs_target"] = with_gold(f"""
+SELECT kpi, value, target, {r2("CASE WHEN kpi = 'late_pct' THEN target - value ELSE value - target END")} AS gap,
+       CASE WHEN kpi = 'late_pct' THEN (CASE WHEN value > target THEN 'danger' ELSE 'ok' END)
+            ELSE (CASE WHEN value >= target THEN 'ok' ELSE 'below' END) END AS status
+FROM (
+  SELECT 'late_pct' AS kpi, CAST(late_pct AS DOUBLE) AS value, 30.0::DOUBLE AS target FROM kpis
+  UNION ALL SELECT 'profit_margin', CAST(profit_margin AS DOUBLE), 15.0::DOUBLE FROM kpis
+  UNION ALL SELECT 'avg_order_value', CAST(avg_order_value AS DOUBLE), 500.0::DOUBLE FROM kpis
+  UNION ALL SELECT 'repeat_rate', CAST((SELECT {pct('sum(CAST(is_repeat_customer AS BIGINT))', 'count(*)')}
+                                       FROM dim_customer) AS DOUBLE), 60.0::DOUBLE FROM kpis)""",
+    ["gold_monthly_revenue", "gold_late_delivery_risk"], True, f"kpis AS ({KPI_BODY})")
+ORACLE["risk_banding"] = with_gold(f"SELECT shipping_mode, late_pct, {band('late_pct')} AS risk_band "
+                                   "FROM gold_shipping_efficiency", ["gold_shipping_efficiency"])
+ORACLE["growth_direction"] = with_gold(f"""
+SELECT order_year, order_month, total_revenue, mom_revenue_growth_pct,
+       CASE WHEN mom_revenue_growth_pct IS NULL THEN NULL WHEN mom_revenue_growth_pct >= 0 THEN 'up' ELSE 'down' END
+         AS direction,
+       total_revenue >= 1000000.0 AS meets_target,
+       {r2('total_revenue - 1000000.0')} AS target_gap
+FROM gold_monthly_revenue""", ["gold_monthly_revenue"])
+
+
+def topk(select_from: str, order: str, k: int) -> str:
+    return (f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({select_from}) "
+            f"ORDER BY {order} LIMIT {k}")
+
+
+ORACLE["top_k"] = with_star(topk("SELECT order_item_id, order_id, sales FROM fact_sales",
+                                 "sales DESC, order_item_id ASC", 10))
+ORACLE["top_customers"] = with_star(topk(
+    "SELECT customer_id, customer_fname, customer_lname, customer_segment, customer_country, "
+    "customer_lifetime_value, avg_order_value, order_count, is_repeat_customer FROM dim_customer",
+    "customer_lifetime_value DESC, customer_id ASC", 10))
+ORACLE["top_products"] = with_gold(topk("SELECT * FROM gold_product_performance",
+                                        "total_revenue DESC, product_card_id ASC", 10),
+                                   ["gold_product_performance"])
+ORACLE["top_markets"] = with_gold(topk("SELECT * FROM gold_market_performance",
+                                       "total_revenue DESC, market ASC, order_region ASC, order_country ASC", 20),
+                                  ["gold_market_performance"])
+ORACLE["sorted_view"] = with_gold(
+    "SELECT *, row_number() OVER (ORDER BY late_pct DESC, shipping_mode, delivery_status) AS position "
+    "FROM gold_late_delivery_risk", ["gold_late_delivery_risk"])
+ORACLE["year_filter"] = with_gold("SELECT * FROM gold_monthly_revenue WHERE order_year = 1997",
+                                  ["gold_monthly_revenue"])
+ORACLE["years"] = with_gold("SELECT DISTINCT CAST(order_year AS INTEGER) AS order_year FROM gold_monthly_revenue",
+                            ["gold_monthly_revenue"])
+ORACLE["nan_to_null"] = with_gold("SELECT * FROM gold_monthly_revenue", ["gold_monthly_revenue"])
+ORACLE["name_concat"] = with_star(
+    "SELECT customer_id, customer_fname || ' ' || customer_lname AS customer_name FROM dim_customer")
+_ALL_TABLES = list(GOLD_CTES) + ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping",
+                                 "fact_sales"]
+ORACLE["available_tables"] = with_gold(
+    "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _ALL_TABLES),
+    list(GOLD_CTES), True)
+
+# ---- Dashboard -----------------------------------------------------------------------
+SLICE_CTE = """slice AS (
+  SELECT * FROM denorm
+  WHERE year IN (1996, 1997, 1998) AND market IN ('Asia', 'Europe', 'America')
+    AND customer_segment IS NOT NULL
+    AND shipping_mode IN ('Standard Class', 'Second Class', 'First Class'))"""
+
+
+def with_slice(final: str) -> str:
+    return with_prefix(STAR_CTES, DENORM_CTE, SLICE_CTE, final)
+
+
+ORACLE["dashboard_slice"] = with_slice(
+    "SELECT order_item_id, year, market, customer_segment, shipping_mode, sales FROM slice")
+ORACLE["distinct_values"] = with_prefix(STAR_CTES, DENORM_CTE, """
+SELECT DISTINCT 'year' AS filter, CAST(year AS VARCHAR) AS value FROM denorm WHERE year IS NOT NULL
+UNION SELECT DISTINCT 'market', market FROM denorm WHERE market IS NOT NULL
+UNION SELECT DISTINCT 'customer_segment', customer_segment FROM denorm WHERE customer_segment IS NOT NULL
+UNION SELECT DISTINCT 'shipping_mode', shipping_mode FROM denorm WHERE shipping_mode IS NOT NULL""")
+ORACLE["dash_kpis"] = with_slice(f"""
+SELECT CAST(coalesce(sum(sales), 0) AS DOUBLE) AS total_revenue,
+       count(DISTINCT order_id) AS total_orders,
+       CASE WHEN count(DISTINCT order_id) > 0 THEN {r2(ratio('sum(sales)', 'count(DISTINCT order_id)'))} ELSE 0.0 END
+         AS avg_order_value,
+       CAST(coalesce(sum(order_profit_per_order), 0) AS DOUBLE) AS total_profit,
+       CASE WHEN count(*) > 0 THEN {pct('sum(CAST(is_late AS BIGINT))', 'count(*)')} ELSE 0.0 END AS late_pct,
+       count(DISTINCT customer_id) AS total_customers
+FROM slice""")
+ORACLE["dash_monthly"] = with_slice("""
+SELECT *, concat_ws(' ', month_name, CAST(year AS VARCHAR)) AS period,
+       (revenue / nullif(lag(revenue) OVER (ORDER BY year, month), 0.0) - 1) * 100 AS mom_growth
+FROM (SELECT year, month, month_name, CAST(sum(sales) AS DOUBLE) AS revenue,
+             CAST(sum(order_profit_per_order) AS DOUBLE) AS profit, count(DISTINCT order_id) AS orders
+      FROM slice GROUP BY year, month, month_name)""")
+ORACLE["dash_market"] = with_slice("""
+SELECT market, CAST(sum(sales) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS orders
+FROM slice GROUP BY market""")
+ORACLE["dash_late_by_mode"] = with_slice(f"""
+SELECT *, {pct('late', 'total')} AS late_pct FROM (
+  SELECT shipping_mode, count(order_item_id) AS total, sum(CAST(is_late AS BIGINT)) AS late
+  FROM slice GROUP BY shipping_mode)""")
+ORACLE["dash_category"] = with_slice("""
+SELECT category_name, department_name, CAST(sum(sales) AS DOUBLE) AS revenue FROM slice
+GROUP BY category_name, department_name
+ORDER BY revenue DESC, category_name, department_name LIMIT 15""")
+ORACLE["dash_top_products"] = with_slice("""
+SELECT product_name, category_name, CAST(sum(sales) AS DOUBLE) AS revenue,
+       CAST(sum(order_item_quantity) AS BIGINT) AS units FROM slice
+GROUP BY product_name, category_name
+ORDER BY revenue DESC, product_name, category_name LIMIT 10""")
+ORACLE["dash_status_counts"] = with_slice("""
+SELECT delivery_status AS status, count(*) AS count FROM slice WHERE delivery_status IS NOT NULL
+GROUP BY delivery_status""")
+ORACLE["dash_segment"] = with_slice("""
+SELECT customer_segment, CAST(sum(sales) AS DOUBLE) AS revenue, count(DISTINCT customer_id) AS customers
+FROM slice GROUP BY customer_segment""")
+ORACLE["dash_geo"] = with_slice("""
+SELECT order_country, latitude, longitude, CAST(sum(sales) AS DOUBLE) AS revenue,
+       count(DISTINCT order_id) AS orders
+FROM slice GROUP BY order_country, latitude, longitude""")
+_W = repr(400.0 / 60)
+ORACLE["margin_histogram"] = with_slice(f"""
+SELECT bin, CAST(-200.0 AS DOUBLE) + (bin - 1) * CAST({_W} AS DOUBLE) AS bin_start,
+       CAST(-200.0 AS DOUBLE) + bin * CAST({_W} AS DOUBLE) AS bin_end, count
+FROM (SELECT least(CAST(floor((profit_margin_pct - CAST(-200.0 AS DOUBLE)) * 60 / CAST(400.0 AS DOUBLE)) AS INTEGER) + 1, 60)
+             AS bin, count(*) AS count
+      FROM slice WHERE profit_margin_pct BETWEEN -200 AND 200 GROUP BY 1)""")
+ORACLE["delay_histogram"] = with_slice("""
+SELECT delivery_delay_days, is_late, count(*) AS count FROM slice
+WHERE delivery_delay_days BETWEEN -10 AND 10 GROUP BY delivery_delay_days, is_late""")

@@ -33,3 +33,124 @@ def denormalised(tables: dict[str, DataFrame]) -> DataFrame:
         d = tables[dim].select(key, *DENORM_DIM_COLUMNS[dim])
         df = df.join(sized_broadcast(d), key, "left")
     return df
+
+
+class Slice:
+    """The four multi-selects (None = every value).  Rows with a NULL in a
+    filtered column never match (``isin`` of the listed values)."""
+
+    def __init__(self, years=None, markets=None, segments=None, modes=None):
+        self.years, self.markets, self.segments, self.modes = years, markets, segments, modes
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        cond = F.lit(True)
+        for col, sel in [("year", self.years), ("market", self.markets),
+                         ("customer_segment", self.segments), ("shipping_mode", self.modes)]:
+            cond = cond & (F.col(col).isNotNull() if sel is None else F.col(col).isin(list(sel)))
+        return df.filter(cond)
+
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Sorted distinct non-NULL values of the four filter columns, as one frame."""
+    out = None
+    for col in ["year", "market", "customer_segment", "shipping_mode"]:
+        v = (df.select(F.lit(col).alias("filter"), F.col(col).cast("string").alias("value"))
+             .dropna().distinct())
+        out = v if out is None else out.unionByName(v)
+    return out.orderBy("filter", "value")
+
+
+def dash_kpis(s: DataFrame) -> DataFrame:
+    """Revenue, distinct orders, AOV, profit, late %, distinct customers.
+
+    The two distinct counts are separate scalar aggregates (each scans only its own
+    column) instead of one aggregate that would Expand every row per distinct column.
+    """
+    orders = s.agg(F.count_distinct("order_id")).scalar()
+    customers = s.agg(F.count_distinct("customer_id")).scalar()
+    a = s.agg(F.sum("sales").alias("rev"), F.sum("order_profit_per_order").alias("profit"),
+              F.sum(F.col("is_late").cast("bigint")).alias("late"), F.count(F.lit(1)).alias("n"))
+    from tidemark.functions.numeric import ratio, round2
+    return a.select(
+        F.coalesce(F.col("rev"), F.lit(0)).cast("double").alias("total_revenue"),
+        orders.alias("total_orders"),
+        F.when(orders > 0, round2(ratio(F.col("rev"), orders))).otherwise(0.0).alias("avg_order_value"),
+        F.coalesce(F.col("profit"), F.lit(0)).cast("double").alias("total_profit"),
+        F.when(F.col("n") > 0, round2(ratio(F.col("late"), F.col("n")) * 100)).otherwise(0.0).alias("late_pct"),
+        customers.alias("total_customers"))
+
+
+def dash_monthly(s: DataFrame) -> DataFrame:
+    """Monthly revenue / profit / distinct orders, period label, unrounded MoM %."""
+    from pyspark.sql import Window
+    m = (s.groupBy("year", "month", "month_name")
+         .agg(F.sum("sales").cast("double").alias("revenue"),
+              F.sum("order_profit_per_order").cast("double").alias("profit"),
+              F.count_distinct("order_id").alias("orders")))
+    prev = F.lag("revenue").over(Window.orderBy("year", "month"))
+    return m.select("*", F.concat_ws(" ", "month_name", F.col("year").cast("string")).alias("period"),
+                    ((F.col("revenue") / F.nullif(prev, F.lit(0.0)) - 1) * 100).alias("mom_growth"))
+
+
+def dash_market(s: DataFrame) -> DataFrame:
+    """A20."""
+    return (s.groupBy("market").agg(F.sum("sales").cast("double").alias("revenue"),
+                                    F.count_distinct("order_id").alias("orders"))
+            .orderBy(F.desc("revenue"), "market"))
+
+
+def dash_late_by_mode(s: DataFrame) -> DataFrame:
+    """A21."""
+    from tidemark.functions.numeric import pct
+    return (s.groupBy("shipping_mode")
+            .agg(F.count("order_item_id").alias("total"), F.sum(F.col("is_late").cast("bigint")).alias("late"))
+            .withColumn("late_pct", pct(F.col("late"), F.col("total"))))
+
+
+def dash_category(s: DataFrame, k: int = 15) -> DataFrame:
+    """Revenue per (category, department), top k."""
+    g = (s.groupBy("category_name", "department_name")
+         .agg(F.sum("sales").cast("double").alias("revenue")))
+    return g.orderBy(F.desc("revenue"), "category_name", "department_name").limit(k)
+
+
+def dash_top_products(s: DataFrame, k: int = 10) -> DataFrame:
+    """T3 (dashboard form): revenue and units per (product, category), top k."""
+    g = (s.groupBy("product_name", "category_name")
+         .agg(F.sum("sales").cast("double").alias("revenue"),
+              F.sum("order_item_quantity").cast("bigint").alias("units")))
+    return g.orderBy(F.desc("revenue"), "product_name", "category_name").limit(k)
+
+
+def dash_status_counts(s: DataFrame) -> DataFrame:
+    """Value counts of delivery status, NULL dropped."""
+    return (s.filter(F.col("delivery_status").isNotNull()).groupBy(F.col("delivery_status").alias("status"))
+            .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "status"))
+
+
+def dash_segment(s: DataFrame) -> DataFrame:
+    """A24."""
+    return (s.groupBy("customer_segment").agg(F.sum("sales").cast("double").alias("revenue"),
+                                              F.count_distinct("customer_id").alias("customers")))
+
+
+def dash_geo(s: DataFrame) -> DataFrame:
+    """A25."""
+    return (s.groupBy("order_country", "latitude", "longitude")
+            .agg(F.sum("sales").cast("double").alias("revenue"), F.count_distinct("order_id").alias("orders")))
+
+
+def margin_histogram(s: DataFrame, lo: float = -200.0, hi: float = 200.0, bins: int = 60) -> DataFrame:
+    """Equal-width bins over [lo, hi]; the upper edge falls in the last bin."""
+    x = F.col("profit_margin_pct")
+    b = F.least(F.floor((x - lo) * bins / (hi - lo)).cast("int") + 1, F.lit(bins))
+    width = (hi - lo) / bins
+    return (s.filter(x.between(lo, hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+            .select("bin", (F.lit(lo) + (F.col("bin") - 1) * width).alias("bin_start"),
+                    (F.lit(lo) + F.col("bin") * width).alias("bin_end"), "count"))
+
+
+def delay_histogram(s: DataFrame, lo: int = -10, hi: int = 10) -> DataFrame:
+    """One bin per whole day of delay in [lo, hi], split by is_late."""
+    return (s.filter(F.col("delivery_delay_days").between(lo, hi))
+            .groupBy("delivery_delay_days", "is_late").agg(F.count(F.lit(1)).alias("count")))

@@ -190,3 +190,188 @@ def daily_sales_summary(spark, sf_dir):
     layers.register_star_views(spark, sf_dir)
     spark.sql("CREATE OR REPLACE TEMP VIEW daily_sales_summary AS " + DAILY_VIEW_BODY)
     return spark.table("daily_sales_summary")
+
+
+# ---- Metrics over Gold (A15-A17, A28-A30, W2, W4-W7, T1-T5, P15-P18, S12) ----------
+from tidemark.operators import metrics as M  # noqa: E402
+
+
+def _g(spark, sf_dir, name):
+    return layers.gold(spark, sf_dir, name)
+
+
+@register("kpi_summary")
+def kpi_summary(spark, sf_dir):
+    """A15."""
+    return M.kpi_summary(_g(spark, sf_dir, "gold_monthly_revenue"), _g(spark, sf_dir, "gold_late_delivery_risk"),
+                         layers.star(spark, sf_dir, "dim_customer"))
+
+
+@register("market_rollup")
+def market_rollup(spark, sf_dir):
+    """A16."""
+    return M.market_rollup(_g(spark, sf_dir, "gold_market_performance"))
+
+
+@register("category_rollup")
+def category_rollup(spark, sf_dir):
+    """A17."""
+    return M.category_rollup(_g(spark, sf_dir, "gold_product_performance"))
+
+
+@register("mode_risk_rollup")
+def mode_risk_rollup(spark, sf_dir):
+    """A28 (+W6 band)."""
+    return M.mode_risk_rollup(_g(spark, sf_dir, "gold_late_delivery_risk"))
+
+
+@register("status_share")
+def status_share(spark, sf_dir):
+    """A29."""
+    return M.status_share(_g(spark, sf_dir, "gold_late_delivery_risk"))
+
+
+@register("segment_profile")
+def segment_profile(spark, sf_dir):
+    """A30."""
+    return M.segment_profile(_g(spark, sf_dir, "gold_customer_segments"))
+
+
+@register("mom_growth")
+def mom_growth(spark, sf_dir):
+    """The Gold growth column (pct change of the rounded monthly revenue)."""
+    return _g(spark, sf_dir, "gold_monthly_revenue").select("order_year", "order_month", "total_revenue",
+                                                            "mom_revenue_growth_pct")
+
+
+@register("anomalies")
+def anomalies(spark, sf_dir):
+    """W4."""
+    return M.anomalies(_g(spark, sf_dir, "gold_monthly_revenue"))
+
+
+@register("kpi_vs_target")
+def kpi_vs_target(spark, sf_dir):
+    """Late %, margin, AOV and repeat rate against the four targets."""
+    from tidemark.functions.numeric import pct
+    dc = layers.star(spark, sf_dir, "dim_customer")
+    repeat = dc.agg(pct(F.sum(F.col("is_repeat_customer").cast("bigint")), F.count(F.lit(1)))).scalar()
+    return M.kpi_vs_target(kpi_summary(spark, sf_dir), repeat)
+
+
+@register("risk_banding")
+def risk_banding(spark, sf_dir):
+    """W6 over A6."""
+    return M.shipping_risk_bands(_g(spark, sf_dir, "gold_shipping_efficiency"))
+
+
+@register("growth_direction")
+def growth_direction(spark, sf_dir):
+    """W7."""
+    return M.growth_direction(_g(spark, sf_dir, "gold_monthly_revenue"))
+
+
+@register("top_k")
+def top_k(spark, sf_dir):
+    """T1 over the fact: the 10 largest order items by sales (distributed top-k)."""
+    f = layers.star(spark, sf_dir, "fact_sales").select("order_item_id", "order_id", "sales")
+    return M.top_k(f, 10, [F.desc("sales"), F.asc("order_item_id")])
+
+
+@register("top_customers")
+def top_customers(spark, sf_dir):
+    """T2 (API form): 9 columns of the top 10 customers by CLV."""
+    cols = ["customer_id", "customer_fname", "customer_lname", "customer_segment", "customer_country",
+            "customer_lifetime_value", "avg_order_value", "order_count", "is_repeat_customer"]
+    dc = layers.star(spark, sf_dir, "dim_customer").select(*cols)
+    return M.top_k(dc, 10, [F.desc("customer_lifetime_value"), F.asc("customer_id")])
+
+
+@register("top_products")
+def top_products(spark, sf_dir):
+    """Top 10 of A3."""
+    return M.top_k(_g(spark, sf_dir, "gold_product_performance"), 10,
+                   [F.desc("total_revenue"), F.asc("product_card_id")])
+
+
+@register("top_markets")
+def top_markets(spark, sf_dir):
+    """T4: top 20 of A2."""
+    return M.top_k(_g(spark, sf_dir, "gold_market_performance"), 20,
+                   [F.desc("total_revenue"), F.asc("market"), F.asc("order_region"), F.asc("order_country")])
+
+
+@register("sorted_view")
+def sorted_view(spark, sf_dir):
+    """T5: A5 by late % descending, numbered."""
+    from pyspark.sql import Window
+    r = _g(spark, sf_dir, "gold_late_delivery_risk")
+    w = Window.orderBy(F.desc("late_pct"), "shipping_mode", "delivery_status")
+    return r.withColumn("position", F.row_number().over(w)).orderBy("position")
+
+
+@register("year_filter")
+def year_filter(spark, sf_dir):
+    """P15 (year = 1997)."""
+    return M.year_filter(_g(spark, sf_dir, "gold_monthly_revenue"), 1997)
+
+
+@register("years")
+def years(spark, sf_dir):
+    """P16."""
+    return M.years(_g(spark, sf_dir, "gold_monthly_revenue"))
+
+
+@register("nan_to_null")
+def nan_to_null(spark, sf_dir):
+    """P17 over the monthly table."""
+    return M.json_safe(_g(spark, sf_dir, "gold_monthly_revenue"))
+
+
+@register("name_concat")
+def name_concat(spark, sf_dir):
+    """P18."""
+    return M.customer_names(layers.star(spark, sf_dir, "dim_customer"))
+
+
+@register("available_tables")
+def available_tables(spark, sf_dir):
+    """The Gold and star tables with their row counts."""
+    out = None
+    for n in layers.GOLD_TABLES + layers.STAR_TABLES:
+        df = layers.gold(spark, sf_dir, n) if n in layers.GOLD_TABLES else layers.star(spark, sf_dir, n)
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# ---- Dashboard over the denormalised star (P13, P14, A18-A27, T3 dashboard form) ---
+from tidemark.operators import dashboard as D  # noqa: E402
+
+DASH_SLICE = D.Slice(years=[1996, 1997, 1998], markets=["Asia", "Europe", "America"], segments=None,
+                     modes=["Standard Class", "Second Class", "First Class"])
+
+
+def _slice(spark, sf_dir):
+    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir)))
+
+
+@register("dashboard_slice")
+def dashboard_slice(spark, sf_dir):
+    """P13."""
+    return _slice(spark, sf_dir).select("order_item_id", "year", "market", "customer_segment",
+                                        "shipping_mode", "sales")
+
+
+@register("distinct_values")
+def distinct_values(spark, sf_dir):
+    """P14."""
+    return D.distinct_values(D.denormalised(layers.star_tables(spark, sf_dir)))
+
+
+for _name, _fn in [("dash_kpis", D.dash_kpis), ("dash_monthly", D.dash_monthly), ("dash_market", D.dash_market),
+                   ("dash_late_by_mode", D.dash_late_by_mode), ("dash_category", D.dash_category),
+                   ("dash_top_products", D.dash_top_products), ("dash_status_counts", D.dash_status_counts),
+                   ("dash_segment", D.dash_segment), ("dash_geo", D.dash_geo),
+                   ("margin_histogram", D.margin_histogram), ("delay_histogram", D.delay_histogram)]:
+    QUERIES[_name] = (lambda fn: (lambda spark, sf_dir: fn(_slice(spark, sf_dir))))(_fn)
