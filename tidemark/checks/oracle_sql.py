@@ -456,3 +456,86 @@ FROM (SELECT least(CAST(floor((profit_margin_pct - CAST(-200.0 AS DOUBLE)) * 60
 ORACLE["delay_histogram"] = with_slice("""
 SELECT delivery_delay_days, is_late, count(*) AS count FROM slice
 WHERE delivery_delay_days BETWEEN -10 AND 10 GROUP BY delivery_delay_days, is_late""")
+
+
+# ---- Validation --------------------------------------------------------------------
+def _miss_row(c: str) -> str:
+    return (f"SELECT 'missing_values' AS \"check\", '{c}' AS \"column\", count(*) - count({qi(c)}) AS count, "
+            f"{pct('count(*) - count(' + qi(c) + ')', 'count(*)')} AS pct FROM raw HAVING count(*) - count({qi(c)}) > 0")
+
+
+_VALID = "('Advance shipping', 'Late delivery', 'Shipping on time', 'Shipping canceled')"
+REPORT_BODY = "\nUNION ALL\n".join([_miss_row(c) for c in RAW_COLUMNS] + [
+    """SELECT 'duplicates', 'Order Item Id', count(*) - count(DISTINCT "Order Item Id")
+       - max(CASE WHEN "Order Item Id" IS NULL THEN 1 ELSE 0 END), 0.0 FROM raw""",
+    """SELECT 'negative_price', 'Product Price', count(*) FILTER (WHERE TRY_CAST("Product Price" AS DOUBLE) < 0), 0.0 FROM raw""",
+    """SELECT 'negative_sales', 'Sales', count(*) FILTER (WHERE TRY_CAST("Sales" AS DOUBLE) < 0), 0.0 FROM raw""",
+    """SELECT 'invalid_date', 'order date (DateOrders)',
+       count(*) FILTER (WHERE try_strptime("order date (DateOrders)", '%m/%d/%Y %H:%M') IS NULL), 0.0 FROM raw""",
+    """SELECT 'invalid_date', 'shipping date (DateOrders)',
+       count(*) FILTER (WHERE try_strptime("shipping date (DateOrders)", '%m/%d/%Y %H:%M') IS NULL), 0.0 FROM raw""",
+    """SELECT 'null_customer_id', 'Customer Id', count(*) FILTER (WHERE "Customer Id" IS NULL), 0.0 FROM raw""",
+    f"""SELECT 'unknown_delivery_status', 'Delivery Status',
+       count(*) FILTER (WHERE NOT coalesce("Delivery Status" IN {_VALID}, FALSE)), 0.0 FROM raw""",
+])
+REPORT_CTE = f"report AS ({REPORT_BODY})"
+ORACLE["issue_report"] = with_prefix(REPORT_CTE, "SELECT * FROM report")
+for _c in ["missing_values", "duplicates", "negative_price", "negative_sales", "invalid_date",
+           "null_customer_id", "unknown_delivery_status"]:
+    ORACLE[_c] = with_prefix(REPORT_CTE, f"SELECT * FROM report WHERE \"check\" = '{_c}'")
+ORACLE["total_issues"] = with_prefix(REPORT_CTE,
+                                     "SELECT CAST(coalesce(sum(count), 0) AS BIGINT) AS total_issues FROM report")
+
+# ---- Cleaning steps ----------------------------------------------------------------
+from tidemark.checks.oracle_base import RAW_EXPR, _snake, _title, _typed_expr  # noqa: E402
+from tidemark.schemas import ID_COLUMNS, NUMERIC_TYPES, RENAME_MAP, STRING_COLUMNS  # noqa: E402
+from tidemark.functions.text import snake_case_name  # noqa: E402
+
+_DROP = ["Customer Password", "Product Description", "Product Image", "Customer Email", "Customer Street"]
+ORACLE["drop_columns"] = with_prefix("SELECT * EXCLUDE (" + ", ".join(qi(c) for c in _DROP) + ") FROM raw")
+ORACLE["snake_case_header"] = with_prefix(
+    "SELECT " + ", ".join(f"{qi(c)} AS {qi(snake_case_name(c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
+ORACLE["rename_map"] = with_prefix(
+    "SELECT " + ", ".join(f"{qi(c)} AS {qi(RENAME_MAP.get(c, c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
+ORACLE["numeric_coerce"] = with_prefix(
+    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {_snake(c)}" for c in NUMERIC_TYPES) + " FROM raw")
+ORACLE["id_coerce"] = with_prefix(
+    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {RENAME_MAP[c]}" for c in ID_COLUMNS) + " FROM raw")
+ORACLE["date_parse"] = with_prefix("SELECT _row_number, order_date, ship_date FROM typed")
+ORACLE["drop_bad_dates"] = with_prefix(
+    "SELECT count(*) AS rows_before, count(*) FILTER (WHERE order_date IS NOT NULL) AS rows_after FROM typed")
+ORACLE["dedup_keep_first"] = with_prefix("SELECT order_item_id, _row_number, _row_hash FROM dedup")
+ORACLE["null_fill"] = with_prefix(
+    "SELECT order_item_id, customer_lname, customer_zipcode, order_zipcode FROM filled")
+ORACLE["string_normalise"] = with_prefix("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, raw_value, {_title(chr(114) + 'egexp_replace(raw_value, ' + chr(39) + '^' + chr(92) + 's+|' + chr(92) + 's+$' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS normalised "
+    f"FROM (SELECT DISTINCT {qi(c)} AS raw_value FROM raw)" for c in STRING_COLUMNS))
+ORACLE["percentile_trim"] = with_prefix("""
+SELECT _lo AS lo, _hi AS hi, (SELECT count(*) FROM titled) AS rows_in, (SELECT count(*) FROM silver) AS rows_kept
+FROM bounds""")
+from tidemark.checks.oracle_base import SILVER_DROPPED  # noqa: E402
+
+_SILVER_COLS = ([_snake(c) for c in RAW_COLUMNS if c not in SILVER_DROPPED]
+                + ["order_date", "ship_date", "_row_number", "_row_hash", "_silver_processed"])
+ORACLE["audit_flag"] = with_prefix(
+    "SELECT count(*) AS rows, CAST(" + " + ".join(f"(count(*) - count({c}))" for c in _SILVER_COLS)
+    + " AS BIGINT) AS null_cells, bool_and(_silver_processed) AS all_processed FROM silver")
+
+# ---- Features ------------------------------------------------------------------------
+for _key, _cols in {"time_parts": ["order_year", "order_month", "order_quarter", "order_month_name"],
+                    "delivery_delay": ["delivery_delay_days"], "is_late": ["is_late"],
+                    "profit_margin": ["profit_margin_pct"], "discount_pct": ["discount_pct"],
+                    "revenue_per_item": ["revenue_per_item"],
+                    "delivery_days_actual": ["delivery_days_actual"]}.items():
+    ORACLE[_key] = with_prefix(f"SELECT order_item_id, {', '.join(_cols)} FROM prep")
+ORACLE["customer_metrics"] = with_prefix("""
+SELECT customer_id, CAST(_clv AS DOUBLE) AS customer_lifetime_value,
+       CAST(_clv AS DOUBLE) / nullif(CAST(_n AS DOUBLE), 0.0) AS avg_order_value,
+       order_count, order_count > 1 AS is_repeat_customer
+FROM (SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
+      FROM prep GROUP BY customer_id)""")
+
+# ---- Set operations ------------------------------------------------------------------
+ORACLE["distinct_rows"] = with_prefix(
+    "SELECT DISTINCT order_city, order_state, order_country, order_region, market, latitude, longitude FROM prep")
+ORACLE["union_rerun"] = with_prefix("SELECT * FROM silver")

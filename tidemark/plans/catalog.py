@@ -375,3 +375,178 @@ for _name, _fn in [("dash_kpis", D.dash_kpis), ("dash_monthly", D.dash_monthly),
                    ("dash_segment", D.dash_segment), ("dash_geo", D.dash_geo),
                    ("margin_histogram", D.margin_histogram), ("delay_histogram", D.delay_histogram)]:
     QUERIES[_name] = (lambda fn: (lambda spark, sf_dir: fn(_slice(spark, sf_dir))))(_fn)
+
+
+# ---- Validation (V1-V9) --------------------------------------------------------------
+from tidemark.operators import validate as V  # noqa: E402
+
+
+@register("issue_report")
+def issue_report(spark, sf_dir):
+    """V8: the whole report (V1-V7 rows)."""
+    return V.issue_report(layers.raw(spark, sf_dir).drop("_row_number"))
+
+
+for _key, _check in [("missing_values", "missing_values"), ("duplicates", "duplicates"),
+                     ("negative_price", "negative_price"), ("negative_sales", "negative_sales"),
+                     ("invalid_date", "invalid_date"), ("null_customer_id", "null_customer_id"),
+                     ("unknown_delivery_status", "unknown_delivery_status")]:
+    QUERIES[_key] = (lambda c: (lambda spark, sf_dir: issue_report(spark, sf_dir).filter(F.col("check") == c)))(_check)
+
+
+@register("total_issues")
+def total_issues(spark, sf_dir):
+    """V9."""
+    return V.total_issues(issue_report(spark, sf_dir))
+
+
+# ---- Cleaning steps one by one (P1-P12) --------------------------------------------
+from tidemark.operators import silver as S  # noqa: E402
+from tidemark.schemas import (ID_COLUMNS, NUMERIC_TYPES, RAW_COLUMNS, RENAME_MAP,  # noqa: E402
+                              SILVER_DROP, STRING_COLUMNS)
+from tidemark.functions.text import normalise, snake_case_name  # noqa: E402
+
+
+def _typed(spark, sf_dir):
+    """P1 + P4 + P5 + P6 on the Bronze rows (the Silver steps before row removal)."""
+    b = layers.bronze(spark, sf_dir)
+    return S.parse_dates(S.enforce_types(S.drop_columns(b, SILVER_DROP + S.BRONZE_ONLY)))
+
+
+@register("drop_columns")
+def drop_columns(spark, sf_dir):
+    """P1."""
+    return S.drop_columns(layers.raw(spark, sf_dir), SILVER_DROP)
+
+
+@register("snake_case_header")
+def snake_case_header(spark, sf_dir):
+    """Header rewrite (metadata only)."""
+    r = layers.raw(spark, sf_dir)
+    return r.toDF(*[snake_case_name(c) if not c.startswith("_") else c for c in r.columns])
+
+
+@register("rename_map")
+def rename_map(spark, sf_dir):
+    """The 40-name map; names it does not list are kept."""
+    r = layers.raw(spark, sf_dir)
+    return r.withColumnsRenamed({k: v for k, v in RENAME_MAP.items() if k in r.columns})
+
+
+@register("numeric_coerce")
+def numeric_coerce(spark, sf_dir):
+    """The 13 numeric columns, bad text -> NULL."""
+    t = _typed(spark, sf_dir)
+    return t.select("_row_number", *[t[f"`{c}`"].alias(RENAME_MAP.get(c, snake_case_name(c)))
+                                     for c in NUMERIC_TYPES])
+
+
+@register("id_coerce")
+def id_coerce(spark, sf_dir):
+    """P5: the 6 integer ids."""
+    t = _typed(spark, sf_dir)
+    return t.select("_row_number", *[t[f"`{c}`"].alias(RENAME_MAP[c]) for c in ID_COLUMNS])
+
+
+@register("date_parse")
+def date_parse(spark, sf_dir):
+    """P6."""
+    return _typed(spark, sf_dir).select("_row_number", "order_date", "ship_date")
+
+
+@register("drop_bad_dates")
+def drop_bad_dates(spark, sf_dir):
+    """Rows before and after removing unparseable order dates."""
+    t = _typed(spark, sf_dir)
+    return t.agg(F.count(F.lit(1)).alias("rows_before"),
+                 F.count_if(F.col("order_date").isNotNull()).alias("rows_after"))
+
+
+def _deduped(spark, sf_dir):
+    return S.dedup_keep_first(S.drop_bad_dates(_typed(spark, sf_dir)), "Order Item Id", ["_row_number", "_row_hash"])
+
+
+@register("dedup_keep_first")
+def dedup_keep_first(spark, sf_dir):
+    """Which row survives per order item id."""
+    return _deduped(spark, sf_dir).select(F.col("`Order Item Id`").alias("order_item_id"), "_row_number", "_row_hash")
+
+
+@register("null_fill")
+def null_fill(spark, sf_dir):
+    """P9."""
+    d = S.fill_nulls(_deduped(spark, sf_dir))
+    return d.select(F.col("`Order Item Id`").alias("order_item_id"), F.col("`Customer Lname`").alias("customer_lname"),
+                    F.col("`Customer Zipcode`").alias("customer_zipcode"),
+                    F.col("`Order Zipcode`").alias("order_zipcode"))
+
+
+@register("string_normalise")
+def string_normalise(spark, sf_dir):
+    """P10: every distinct raw value of the 15 string columns and its normal form."""
+    r = layers.raw(spark, sf_dir)
+    out = None
+    for c in STRING_COLUMNS:
+        v = r.select(F.lit(c).alias("column_name"), r[f"`{c}`"].alias("raw_value")).distinct()
+        v = v.withColumn("normalised", normalise(F.col("raw_value")))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("percentile_trim")
+def percentile_trim(spark, sf_dir):
+    """The exact 1 % / 99 % bounds of Sales and the rows kept between them."""
+    d = S.normalise_strings(S.fill_nulls(_deduped(spark, sf_dir)))
+    b = S.percentile_bounds(d, "Sales")
+    lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
+    x = F.col("Sales").cast("double")
+    return d.agg(lo.alias("lo"), hi.alias("hi"), F.count(F.lit(1)).alias("rows_in"),
+                 F.count_if((x >= lo) & (x <= hi)).alias("rows_kept"))
+
+
+@register("audit_flag")
+def audit_flag(spark, sf_dir):
+    """Silver rows, NULL cells, and whether every row carries the flag."""
+    s = layers.silver(spark, sf_dir)
+    nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in s.columns), F.lit(0))
+    return s.agg(F.count(F.lit(1)).alias("rows"), nulls.cast("bigint").alias("null_cells"),
+                 F.bool_and("_silver_processed").alias("all_processed"))
+
+
+# ---- Features (F1-F9) ---------------------------------------------------------------
+FEATURE_QUERIES = {
+    "time_parts": ["order_year", "order_month", "order_quarter", "order_month_name"],  # F1
+    "delivery_delay": ["delivery_delay_days"],  # F2
+    "is_late": ["is_late"],  # F3
+    "profit_margin": ["profit_margin_pct"],  # F4
+    "discount_pct": ["discount_pct"],  # F5
+    "revenue_per_item": ["revenue_per_item"],  # F6
+    "delivery_days_actual": ["delivery_days_actual"],  # F7
+}
+for _key, _cols in FEATURE_QUERIES.items():
+    QUERIES[_key] = (lambda cols: (lambda spark, sf_dir: layers.prep(spark, sf_dir).select("order_item_id", *cols)))(_cols)
+
+
+@register("customer_metrics")
+def customer_metrics(spark, sf_dir):
+    """Per customer CLV, AOV, distinct orders and the repeat flag."""
+    from tidemark.operators.features import customer_metrics as cm
+    return cm(layers.prep(spark, sf_dir)).withColumn(
+        "customer_lifetime_value", F.col("customer_lifetime_value").cast("double"))
+
+
+# ---- Set operations (U1, U2) ---------------------------------------------------------
+@register("distinct_rows")
+def distinct_rows(spark, sf_dir):
+    """``drop_duplicates`` over all listed columns."""
+    from tidemark.operators.star import LOCATION_COLS
+    return layers.prep(spark, sf_dir).select(*LOCATION_COLS).distinct()
+
+
+@register("union_rerun")
+def union_rerun(spark, sf_dir):
+    """A second ingest of the same rows (Bronze unioned with itself) refines to the
+    same Silver: the Order Item Id dedup absorbs the copies."""
+    from tidemark.operators.silver import refine_silver
+    b = layers.bronze(spark, sf_dir)
+    return refine_silver(b.unionByName(b))

@@ -110,3 +110,10 @@ def register_star_views(spark: SparkSession, sf_dir: str) -> None:
     """Temp views for the SQL query layer."""
     for n, df in star_tables(spark, sf_dir).items():
         df.createOrReplaceTempView(n)
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw text rows as landed (Bronze minus its run-specific lineage columns)."""
+    from tidemark.schemas import RAW_COLUMNS
+    b = bronze(spark, sf_dir)
+    return b.select(*[b[f"`{c}`"] for c in RAW_COLUMNS], "_row_number")
