@@ -539,3 +539,22 @@ FROM (SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT
 ORACLE["distinct_rows"] = with_prefix(
     "SELECT DISTINCT order_city, order_state, order_country, order_region, market, latitude, longitude FROM prep")
 ORACLE["union_rerun"] = with_prefix("SELECT * FROM silver")
+
+
+# ---- Sources and sinks ---------------------------------------------------------------
+_RAW_SELECT = "SELECT " + ", ".join(qi(c) for c in RAW_COLUMNS) + " FROM raw"
+ORACLE["csv_scan"] = with_prefix(_RAW_SELECT)
+ORACLE["incremental_bronze"] = with_prefix(_RAW_SELECT)
+ORACLE["csv_sink"] = with_gold("SELECT * FROM gold_product_performance", ["gold_product_performance"])
+ORACLE["gold_export"] = with_gold("SELECT * FROM gold_late_delivery_risk", ["gold_late_delivery_risk"])
+_LOAD = ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]
+ORACLE["star_load"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {i} AS load_position, count(*) AS row_count FROM {t}"
+    for i, t in enumerate(_LOAD, start=1)))
+ORACLE["run_metrics"] = with_gold("\nUNION ALL\n".join(
+    ["SELECT 'extract' AS stage, 'rows' AS metric, count(*) AS value FROM raw",
+     "SELECT 'validate', 'total_issues', CAST(coalesce(sum(count), 0) AS BIGINT) FROM report",
+     "SELECT 'bronze', 'rows', count(*) FROM bronze",
+     "SELECT 'silver', 'rows', count(*) FROM silver"]
+    + [f"SELECT 'gold', '{t}', count(*) FROM {t}" for t in list(GOLD_CTES) + _LOAD]),
+    list(GOLD_CTES), True, REPORT_CTE)

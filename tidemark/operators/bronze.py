@@ -26,10 +26,12 @@ def ingest_bronze(raw: DataFrame, source_file: str, ingestion_ts: str | None = N
     data_cols = [c for c in raw.columns if c not in LINEAGE_COLUMNS]
     hashed = [c for c in RAW_COLUMNS if c in data_cols] or data_cols
     df = stamp_row_number(raw)
+    # a per-row source (e.g. the landing file name) wins over the constant
+    source = F.col("_source_file") if "_source_file" in raw.columns else F.lit(source_file)
     return df.select(
         *[F.col(f"`{c}`") for c in data_cols],
         F.lit(ts).alias("_ingestion_ts"),
-        F.lit(source_file).alias("_source_file"),
+        source.alias("_source_file"),
         F.col("_row_number").cast("bigint").alias("_row_number"),
         row_hash(hashed).alias("_row_hash"),
     )

@@ -550,3 +550,58 @@ def union_rerun(spark, sf_dir):
     from tidemark.operators.silver import refine_silver
     b = layers.bronze(spark, sf_dir)
     return refine_silver(b.unionByName(b))
+
+
+# ---- Sources and sinks (S1, S7-S9, S11), streaming ingest (X1) ------------------------
+from tidemark.schemas import RAW_COLUMNS as _RAW  # noqa: E402
+from tidemark.sources import csv_source as CSV  # noqa: E402
+
+
+@register("csv_scan")
+def csv_scan(spark, sf_dir):
+    """The landing CSV read back as 53 text columns (scan-order row numbers left out)."""
+    df = CSV.read_raw_csv(spark, layers.landing_csv(spark, sf_dir))
+    return df.select(*[df[f"`{c}`"] for c in _RAW])
+
+
+@register("csv_sink")
+def csv_sink(spark, sf_dir):
+    """A Gold table written as CSV and read back with its schema."""
+    g = layers.gold(spark, sf_dir, "gold_product_performance")
+    path = layers.scratch(spark, sf_dir, "csv_sink")
+    CSV.write_csv(g, path)
+    return CSV.read_csv(spark, path, g.schema)
+
+
+@register("gold_export")
+def gold_export(spark, sf_dir):
+    """The whitelisted export of ``late_delivery_risk`` read back."""
+    g = layers.gold(spark, sf_dir, "gold_late_delivery_risk")
+    path = CSV.export_gold(g, "late_delivery_risk", layers.scratch(spark, sf_dir, "export"))
+    return CSV.read_csv(spark, path, g.schema)
+
+
+@register("star_load")
+def star_load(spark, sf_dir):
+    """Dimensions then fact, DDL types enforced; (table, position, rows)."""
+    from tidemark.sources.loader import load_star
+    return load_star(spark, layers.star_tables(spark, sf_dir), layers.scratch(spark, sf_dir, "warehouse"))
+
+
+@register("run_metrics")
+def run_metrics(spark, sf_dir):
+    """Per-stage counts of the session's pipeline run."""
+    from tidemark.plans.pipeline import stage_counts
+    gold = {n: layers.gold(spark, sf_dir, n) for n in layers.GOLD_TABLES}
+    return stage_counts(layers.raw(spark, sf_dir), issue_report(spark, sf_dir), layers.bronze(spark, sf_dir),
+                        layers.silver(spark, sf_dir), gold, layers.star_tables(spark, sf_dir))
+
+
+@register("incremental_bronze")
+def incremental_bronze(spark, sf_dir):
+    """Landing files streamed into an append-only Bronze (availableNow trigger)."""
+    from tidemark.streaming.incremental_bronze import run_incremental_bronze
+    out = layers.scratch(spark, sf_dir, "stream")
+    run_incremental_bronze(spark, layers.landing_csv(spark, sf_dir), f"{out}/bronze", f"{out}/_checkpoint")
+    b = spark.read.parquet(f"{out}/bronze")
+    return b.select(*[b[f"`{c}`"] for c in _RAW])

@@ -117,3 +117,22 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.schemas import RAW_COLUMNS
     b = bronze(spark, sf_dir)
     return b.select(*[b[f"`{c}`"] for c in RAW_COLUMNS], "_row_number")
+
+
+def landing_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw rows written once as a latin1 landing CSV folder (input of S1 / X1)."""
+    from tidemark.sources.csv_source import write_raw_csv
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "landing")
+    with _LOCK:
+        path = _BUILT.get(key)
+        if path is None:
+            path = f"{_root(spark, sf_dir)}/landing"
+            write_raw_csv(raw(spark, sf_dir), path)
+            _BUILT[key] = path
+    return path
+
+
+def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A fresh output folder under the shared root (one per call)."""
+    import uuid
+    return f"{_root(spark, sf_dir)}/out/{name}-{uuid.uuid4().hex[:8]}"
