@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Whole-stage methods above HotSpot's JIT limit (8000 bytes of bytecode) run
+    # interpreted; above it, fall back to per-operator code that does get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -44,6 +47,7 @@ def apply_base_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -57,7 +61,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             or sc.getConf().get("spark.checkpoint.dir", None)
             or sc.getCheckpointDir())
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        root = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR") or "/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
         spark.sparkContext.setCheckpointDir(root)

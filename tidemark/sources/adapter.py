@@ -71,8 +71,15 @@ def order_items_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """53 raw TEXT columns plus ``_row_number`` (the landing file's order)."""
-    j = order_items_typed(spark, sf_dir)
+    """53 raw TEXT columns plus ``_row_number`` (the landing file's order).
+
+    The joined (still narrow, typed) rows are spread over
+    ``spark.sql.shuffle.partitions`` before the wide text projection: AQE may have
+    coalesced the last join to a handful of partitions, and every later stage reads
+    the files this projection writes, so its parallelism is set explicitly here.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    j = order_items_typed(spark, sf_dir).repartition(n)
     prio = F.substring("o_orderpriority", 1, 1)
     sched = (F.when(prio == "1", 0).when(prio == "2", 1).when(prio == "3", 2).otherwise(4))
     mode = (F.when(prio == "1", "Same Day").when(prio == "2", "First Class")
