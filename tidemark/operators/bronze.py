@@ -37,8 +37,14 @@ def ingest_bronze(raw: DataFrame, source_file: str, ingestion_ts: str | None = N
     )
 
 
-def write_bronze(bronze: DataFrame, path: str) -> None:
-    """Append-only: every run adds a partition per ingest date; nothing is overwritten."""
+def write_bronze(bronze: DataFrame, path: str, ingest_date: str | None = None) -> None:
+    """Append-only: every run adds its files under ``_ingest_date=<date>``; nothing is
+    overwritten.  One run has one ingestion timestamp, so with ``ingest_date`` given
+    the run writes straight into that partition folder (same layout as
+    ``partitionBy``, without sorting every row by a constant partition value)."""
+    if ingest_date:
+        bronze.write.mode("append").parquet(f"{path.rstrip('/')}/_ingest_date={ingest_date}")
+        return
     (bronze.withColumn("_ingest_date", F.to_date(F.substring("_ingestion_ts", 1, 10)))
      .write.mode("append").partitionBy("_ingest_date").parquet(path))
 

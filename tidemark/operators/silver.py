@@ -40,8 +40,9 @@ def enforce_types(df: DataFrame) -> DataFrame:
 
 
 def parse_dates(df: DataFrame) -> DataFrame:
-    """P6: 'M/d/yyyy H:mm' text -> TIMESTAMP; unparseable -> NULL."""
-    out = df.withColumns({new: F.try_to_timestamp(q(raw), F.lit(RAW_DATE_FORMAT))
+    """P6: 'M/d/yyyy H:mm' text -> wall-clock TIMESTAMP_NTZ (the text carries no
+    zone); unparseable -> NULL."""
+    out = df.withColumns({new: F.try_to_timestamp(q(raw), F.lit(RAW_DATE_FORMAT)).cast("timestamp_ntz")
                           for raw, new in DATE_COLUMNS.items() if raw in df.columns})
     return out.drop(*[raw for raw in DATE_COLUMNS if raw in df.columns])
 

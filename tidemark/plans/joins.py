@@ -10,11 +10,24 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_COUNTS: dict[tuple, int] = {}
+
+
 def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint ``broadcast`` only if the dimension has at most ``max_rows`` rows.
 
     The count runs on the (small, usually already written) dimension, and only up
-    to ``max_rows + 1`` rows are counted, so the check itself stays cheap.
+    to ``max_rows + 1`` rows are counted, so the check itself stays cheap.  For a
+    plain read of written files the answer is remembered per file set (written
+    layer tables do not change within a session).
     """
-    n = dim.limit(max_rows + 1).count()
+    try:  # same plan over the same immutable files -> same count
+        key = (dim.semanticHash(), tuple(sorted(dim.inputFiles())), max_rows)
+    except Exception:
+        key = None
+    n = _COUNTS.get(key) if key else None
+    if n is None:
+        n = dim.limit(max_rows + 1).count()
+        if key:
+            _COUNTS[key] = n
     return F.broadcast(dim) if n <= max_rows else dim

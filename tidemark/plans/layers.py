@@ -57,7 +57,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(path):
         raw = raw_order_items(spark, sf_dir)
         ts = datetime.now(timezone.utc).isoformat()
-        bronze_ops.write_bronze(bronze_ops.ingest_bronze(raw, f"driver-tables:{sf_dir}", ts), path)
+        bronze_ops.write_bronze(bronze_ops.ingest_bronze(raw, f"driver-tables:{sf_dir}", ts), path, ts[:10])
     return _materialise(spark, sf_dir, "bronze", build)
 
 
