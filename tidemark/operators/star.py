@@ -60,13 +60,30 @@ def dim_product(prep: DataFrame) -> DataFrame:
 
 
 def _surrogate(df: DataFrame, id_col: str, natural: list[str]) -> DataFrame:
-    """Dense 1..n over the sorted natural key of an already-distinct dimension.
-
-    Sorting by the natural key (NULLS LAST) instead of first appearance makes the
-    ids reproducible.  The window spans the distinct dimension only.
+    """Dense 1..n over the sorted natural key (NULLS LAST), computed distributed.
+
+    Sorting by the natural key instead of first appearance makes the ids
+    reproducible.  No task sees more than its range: the rows are range-partitioned
+    and sorted by the key; each row's position inside its partition comes from
+    ``monotonically_increasing_id`` (partition index in the upper bits, position in
+    the lower 33); the offset of each partition is a running sum over one count per
+    partition — the only global window, over as many rows as there are partitions.
+    The tagged rows are checkpointed (to ``spark.checkpoint.dir``) so the counts and
+    the numbering see the same partitioning.
     """
-    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in natural])
-    return df.select(F.row_number().over(w).cast("int").alias(id_col), *natural)
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_last() for c in natural]
+    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select(*natural, F.spark_partition_id().alias("_pid"),
+                      F.monotonically_increasing_id().alias("_mono"))
+              .checkpoint(eager=True))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return (tagged.join(F.broadcast(offsets), "_pid")  # one row per partition
+            .select((F.col("_off") + local + 1).cast("int").alias(id_col), *natural))
 
 
 def dim_date(prep: DataFrame) -> DataFrame:
@@ -92,14 +109,6 @@ def dim_shipping(prep: DataFrame) -> DataFrame:
     return _surrogate(prep.select(*SHIPPING_COLS).distinct(), "shipping_id", SHIPPING_COLS)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def fact_sales(prep: DataFrame, dates: DataFrame, locations: DataFrame, shipping: DataFrame) -> DataFrame:
     """Fact rows with the three looked-up surrogate ids.
 
