@@ -1,25 +1,28 @@
 """Only new landing files are ingested; re-runs are idempotent."""
 
+import glob
+import os
+import shutil
+
 from tidemark.sources.csv_source import write_raw_csv
 from tidemark.streaming.incremental_bronze import run_incremental_bronze
 
 
+def _arrive(df, staging, landing, name):
+    """Stage a CSV outside the landing folder, then drop it in (as a file arrives)."""
+    write_raw_csv(df.coalesce(1), staging)  # one part file holds all rows
+    os.makedirs(landing, exist_ok=True)
+    for p in glob.glob(staging + "/*.csv"):
+        shutil.copy(p, f"{landing}/{name}")
+
+
 def test_incremental_bronze_picks_only_new_files(spark, make_raw, raw_rows, tmp_dir):
     landing, bronze, ckpt = tmp_dir + "/landing", tmp_dir + "/bronze", tmp_dir + "/ckpt"
-    write_raw_csv(make_raw(raw_rows[:1]), landing + "/day1")
-    # file source lists files directly under the folder: move the part file up one level
-    import glob
-    import os
-    import shutil
-    for p in glob.glob(landing + "/day1/*.csv"):
-        shutil.copy(p, landing + "/a.csv")
-    shutil.rmtree(landing + "/day1")
+    _arrive(make_raw(raw_rows[:1]), tmp_dir + "/stage1", landing, "a.csv")
     run_incremental_bronze(spark, landing, bronze, ckpt)
     assert spark.read.parquet(bronze).count() == 1
 
-    write_raw_csv(make_raw(raw_rows[1:]), tmp_dir + "/day2")
-    for p in glob.glob(tmp_dir + "/day2/*.csv"):
-        shutil.copy(p, landing + "/b.csv")
+    _arrive(make_raw(raw_rows[1:]), tmp_dir + "/stage2", landing, "b.csv")
     run_incremental_bronze(spark, landing, bronze, ckpt)
     b = spark.read.parquet(bronze)
     assert b.count() == 2
@@ -27,4 +30,3 @@ def test_incremental_bronze_picks_only_new_files(spark, make_raw, raw_rows, tmp_
 
     run_incremental_bronze(spark, landing, bronze, ckpt)  # nothing new
     assert spark.read.parquet(bronze).count() == 2
-    assert os.path.isdir(ckpt)
