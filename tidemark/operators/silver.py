@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.quantiles import exact_quantiles
 from tidemark.functions.text import normalise, snake_case_name
 from tidemark.schemas import (DATE_COLUMNS, ID_COLUMNS, MONEY, NULL_FILLS, NUMERIC_TYPES,
                               OTHER_NUMERIC, RAW_DATE_FORMAT, RENAME_MAP, SALES_TRIM_BAND,
@@ -77,30 +78,24 @@ def normalise_strings(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     return df.withColumns({c: normalise(q(c)) for c in (cols or STRING_COLUMNS) if c in df.columns})
 
 
-def percentile_bounds(df: DataFrame, col: str, band=SALES_TRIM_BAND) -> DataFrame:
-    """Exact linear-interpolation percentiles as a one-row frame (lo, hi).
-
-    Values are first counted per distinct value (partial aggregation absorbs hot
-    values), then ``percentile`` runs over (value, frequency); its state grows with
-    the number of distinct amounts (cents), not with the number of rows.
-    """
-    lo, hi = band
-    counts = df.groupBy(q(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.agg(F.percentile("v", F.array(F.lit(lo), F.lit(hi)), F.col("n")).alias("q"))
-            .select(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")))
+def percentile_bounds(df: DataFrame, col: str, band=SALES_TRIM_BAND) -> tuple[float | None, float | None]:
+    """Exact linear-interpolation percentiles (lo, hi) of ``col``, computed distributed
+    (see ``functions.quantiles``); only the two numbers come back to the driver."""
+    lo, hi = exact_quantiles(df, q(col), list(band))
+    return lo, hi
 
 
 def percentile_trim(df: DataFrame, col: str = "Sales", band=SALES_TRIM_BAND,
                     bounds_from: DataFrame | None = None) -> DataFrame:
     """Keep lo <= x <= hi (inclusive); NULL x is dropped.
 
-    The two bounds are computed by one small job and come back to the driver as two
-    numbers, then filter the main frame as literals (no join, no repeated subquery).
-    ``bounds_from`` may be a narrower frame holding the same values of ``col`` (e.g.
-    the dedup run on just the key, order and ``col`` columns) so the bounds job does
-    not repeat the full-width work.
+    The bounds are two numbers from a distributed exact selection; the main frame is
+    filtered with them as literals (no join, no repeated subquery).  ``bounds_from``
+    may be a narrower frame holding the same values of ``col`` (e.g. the dedup run
+    on just the key, order and ``col`` columns) so the bounds do not repeat the
+    full-width work.
     """
-    lo, hi = percentile_bounds(bounds_from if bounds_from is not None else df, col, band).first()
+    lo, hi = percentile_bounds(bounds_from if bounds_from is not None else df, col, band)
     x = q(col).cast("double")
     if lo is None:  # no non-NULL value: every row fails the comparison, as in pandas
         return df.filter(F.lit(False))

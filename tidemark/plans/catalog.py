@@ -497,11 +497,11 @@ def string_normalise(spark, sf_dir):
 def percentile_trim(spark, sf_dir):
     """The exact 1 % / 99 % bounds of Sales and the rows kept between them."""
     d = S.normalise_strings(S.fill_nulls(_deduped(spark, sf_dir)))
-    b = S.percentile_bounds(d, "Sales")
-    lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
+    lo, hi = S.percentile_bounds(d, "Sales")
     x = F.col("Sales").cast("double")
-    return d.agg(lo.alias("lo"), hi.alias("hi"), F.count(F.lit(1)).alias("rows_in"),
-                 F.count_if((x >= lo) & (x <= hi)).alias("rows_kept"))
+    return d.agg(F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi"),
+                 F.count(F.lit(1)).alias("rows_in"),
+                 F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias("rows_kept"))
 
 
 @register("audit_flag")
