@@ -22,14 +22,18 @@ DIM_KEYS = {"dim_date": "date_id", "dim_customer": "customer_id", "dim_product":
             "dim_location": "location_id", "dim_shipping": "shipping_id"}
 
 
-def denormalised(tables: dict[str, DataFrame]) -> DataFrame:
-    """Fact LEFT JOIN each dimension on its key.
+def denormalised(tables: dict[str, DataFrame], dims: list[str] | None = None) -> DataFrame:
+    """Fact LEFT JOIN each dimension on its key (``dims``: only those).
 
     Dimensions below the broadcast bound are broadcast (checked by count); a large
-    customer or product dimension falls back to a shuffle join.
+    customer or product dimension falls back to a shuffle join.  Catalyst cannot
+    drop an unused LEFT join (it does not know the dimension key is unique), so a
+    caller that reads no column of a dimension leaves it out.
     """
     df = tables["fact_sales"]
     for dim, key in DIM_KEYS.items():
+        if dims is not None and dim not in dims:
+            continue
         d = tables[dim].select(key, *DENORM_DIM_COLUMNS[dim])
         df = df.join(sized_broadcast(d), key, "left")
     return df

@@ -352,8 +352,12 @@ DASH_SLICE = D.Slice(years=[1996, 1997, 1998], markets=["Asia", "Europe", "Ameri
                      modes=["Standard Class", "Second Class", "First Class"])
 
 
-def _slice(spark, sf_dir):
-    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir)))
+SLICE_DIMS = ["dim_date", "dim_customer", "dim_location", "dim_shipping"]  # the four filter columns
+
+
+def _slice(spark, sf_dir, extra_dims: tuple = ()):
+    dims = SLICE_DIMS + list(extra_dims)
+    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir), dims))
 
 
 @register("dashboard_slice")
@@ -369,12 +373,15 @@ def distinct_values(spark, sf_dir):
     return D.distinct_values(D.denormalised(layers.star_tables(spark, sf_dir)))
 
 
-for _name, _fn in [("dash_kpis", D.dash_kpis), ("dash_monthly", D.dash_monthly), ("dash_market", D.dash_market),
-                   ("dash_late_by_mode", D.dash_late_by_mode), ("dash_category", D.dash_category),
-                   ("dash_top_products", D.dash_top_products), ("dash_status_counts", D.dash_status_counts),
-                   ("dash_segment", D.dash_segment), ("dash_geo", D.dash_geo),
-                   ("margin_histogram", D.margin_histogram), ("delay_histogram", D.delay_histogram)]:
-    QUERIES[_name] = (lambda fn: (lambda spark, sf_dir: fn(_slice(spark, sf_dir))))(_fn)
+_PRODUCT = ("dim_product",)
+for _name, _fn, _extra in [("dash_kpis", D.dash_kpis, ()), ("dash_monthly", D.dash_monthly, ()),
+                           ("dash_market", D.dash_market, ()), ("dash_late_by_mode", D.dash_late_by_mode, ()),
+                           ("dash_category", D.dash_category, _PRODUCT),
+                           ("dash_top_products", D.dash_top_products, _PRODUCT),
+                           ("dash_status_counts", D.dash_status_counts, ()), ("dash_segment", D.dash_segment, ()),
+                           ("dash_geo", D.dash_geo, ()), ("margin_histogram", D.margin_histogram, ()),
+                           ("delay_histogram", D.delay_histogram, ())]:
+    QUERIES[_name] = (lambda fn, extra: (lambda spark, sf_dir: fn(_slice(spark, sf_dir, extra))))(_fn, _extra)
 
 
 # ---- Validation (V1-V9) --------------------------------------------------------------
