@@ -511,7 +511,7 @@ ORACLE["string_normalise"] = with_prefix("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, raw_value, {_title(chr(114) + 'egexp_replace(raw_value, ' + chr(39) + '^' + chr(92) + 's+|' + chr(92) + 's+$' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS normalised "
     f"FROM (SELECT DISTINCT {qi(c)} AS raw_value FROM raw)" for c in STRING_COLUMNS))
 ORACLE["percentile_trim"] = with_prefix("""
-SELECT _lo AS lo, _hi AS hi, (SELECT count(*) FROM titled) AS rows_in, (SELECT count(*) FROM silver) AS rows_kept
+SELECT floor(_lo * 1e6 + 0.5) / 1e6 AS lo, floor(_hi * 1e6 + 0.5) / 1e6 AS hi, (SELECT count(*) FROM titled) AS rows_in, (SELECT count(*) FROM silver) AS rows_kept
 FROM bounds""")
 from tidemark.checks.oracle_base import SILVER_DROPPED  # noqa: E402
 
