@@ -31,13 +31,23 @@ def _norm(v):
     return v
 
 
-def _rows(cols, rows):
+def _exact(v):
+    """No tolerance: floats compared by their repr (bit-level equality)."""
+    if isinstance(v, float):
+        return None if math.isnan(v) else repr(v)
+    if type(v).__name__ == "Decimal":
+        return repr(float(v))
+    return _norm(v)
+
+
+def _rows(cols, rows, exact=False):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    norm = _exact if exact else _norm
+    out = [tuple(norm(r[i]) for i in order) for r in rows]
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-def compare(spark, con, sf_dir: str, name: str, query, sql: str) -> dict:
+def compare(spark, con, sf_dir: str, name: str, query, sql: str, exact: bool = False) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
@@ -51,7 +61,7 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str) -> dict:
         out["oracle_cols"] = sorted(d_cols)
         out["values_match"] = False
         return out
-    a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+    a, b = _rows(s_cols, s_rows, exact), _rows(d_cols, d_rows, exact)
     out["values_match"] = a == b
     if not out["values_match"]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
