@@ -6,10 +6,10 @@ Parquet in the shared folder and read again as the docs of the next stage.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import decontam, langid, neardup, packing
 from tidemark.llm.common import read, workers_find_package, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,7 +23,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.keep_identified(docs.select(*COLUMNS), model, LEAST_SHARE)
 
 
-STAGES = [("language_id", language_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near duplicates, that with the least doc_id."""
+    workers_find_package(spark)
+    return neardup.keep_one(docs.select(*COLUMNS))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain an item of the benchmark."""
+    return decontam.drop_contaminated(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences of at most 4096 tokens: one row for each piece."""
+    workers_find_package(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", language_stage), ("near_duplicates", near_duplicate_stage),
+          ("decontamination", decontamination_stage), ("packing", packing_stage)]
 
 #: The stages learn, hash and tokenize; SQL cannot express them. tests/llm holds them against brute force.
 ORACLE_SQL = None

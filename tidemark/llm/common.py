@@ -83,6 +83,29 @@ def emit(rows: Iterable[dict], schema: pa.Schema, size: int = 4096) -> Iterator[
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+class Memo(dict):
+    """Values of compute(key), kept in two generations of at most `size` keys: frequent keys stay, memory is bounded."""
+
+    def __init__(self, compute: Callable, size: int):
+        super().__init__()
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def slices(texts: list, chars: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about `chars` code points together, one row at least: bounds memory in a task."""
     start, total = 0, 0

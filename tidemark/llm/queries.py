@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, html_extract, langid, token_counts, warc
+from tidemark.llm import (chat, decontam, fingerprints, html_extract, langid, licenses, neardup, packing,
+                          token_counts, warc)
 from tidemark.llm.common import read, written
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = "</s>[INST] ok [/INST]"
     own = spark.sql("select -7L conv_id, t turn, if(t = 0, 'user', 'assistant') role, "
@@ -24,10 +29,26 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("held").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.class_of_rows(written(neardup.classes(read(spark, sf_dir, "documents")), "classes")).drop("class_key")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(spark, read(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -38,13 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), 4096).drop("n_chunks")
 
 
-QUERIES = {
-    "op2_chat_format": op2_chat_format,
-    "op3_language_id": op3_language_id,
-    "op6_html_extract": op6_html_extract,
-    "op9_warc": op9_warc,
-    "op10_token_counts": op10_token_counts,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_chat_format, op3_language_id, op4_decontamination, op5_license_scan, op6_html_extract,
+    op7_near_duplicates, op8_fingerprints, op9_warc, op10_token_counts)}
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
 ORACLE = {
     "op2_chat_format": r"""
@@ -64,6 +83,14 @@ ORACLE = {
                sum(tl + case r when 'system' then 15 when 'user' then 18 when 'assistant' then 9 else 20 + length(r) end)::bigint formatted_chars,
                bool_and(good) and not bool_or(no = last and r = 'system') valid
         from ok group by conv_id""",
+    "op4_decontamination": f"""
+        with d as (select doc_id, {_WORDS} w from documents), i as (select item_id, {_WORDS} w from benchmark),
+        ds as (select distinct doc_id, array_to_string(w[n:n + 4], ' ') s from (select doc_id, w, unnest(range(1, len(w) - 3)) n from d)),
+        js as (select distinct item_id, array_to_string(w[n:n + 4], ' ') s from (select item_id, w, unnest(range(1, len(w) - 3)) n from i)),
+        c as (select item_id, count(*) n_item from js group by item_id)
+        select doc_id, item_id, count(*) n_shared, n_item, count(*)::double / n_item containment
+        from ds join js using (s) join c using (item_id) group by doc_id, item_id, n_item having count(*)::double / n_item >= 0.8""",
+    "op5_license_scan": licenses.oracle_sql(),
     "op9_warc": """
         with p as (select page_id, encode(coalesce(html, '')) b, sha256(coalesce(html, '')) d from pages),
         f as (select d, min(page_id) first_id from p where octet_length(b) >= 100 group by d)

@@ -4,7 +4,7 @@ A sentencepiece BPE model whose pieces never reach over a word border is a finit
 *lexemes*: a run of blanks with the word after it, or one line break. The machine has two states, START
 (the implied leading blank is still due) and MID; reading a lexeme in a state emits a fixed number of tokens.
 `CountTransducer` compiles these transitions from the model on first use, as a lazy automaton does, and keeps
-them in a table of bounded size that is emptied when full.
+them in a table of bounded size, in which frequent lexemes stay.
 
 Long texts are cut into chunks of code points anywhere. A chunk's *state map* is what it does for any state it
 may be entered in: the part before its first sure border (`head`), the tokens emitted between its first and
@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import emit, groups, text_of
+from tidemark.llm.common import Memo, emit, groups, text_of
 
 CHUNK_CHARS = 65_536     # code points per chunk
 BLOCK_CHUNKS = 64        # chunks whose maps one task folds in the first level
-TABLE_SIZE = 400_000     # transitions kept per Python worker
-LONGEST_KEPT = 64        # longer lexemes are counted without keeping the transition
+TABLE_SIZE = 200_000     # transitions of one generation of the table, per Python worker
 
 BLANK = "▁"
 
@@ -60,18 +59,7 @@ class CountTransducer:
         # a border stands before a line break, after one, and before a blank that follows a non-blank
         self.border = re.compile(f"(?<=[^ {BLANK}])(?=[ {BLANK}])|(?<=\n)|(?<!^)(?=\n)").search if self.lexical else None
         self.newline = len(self.sp.encode("\n"))
-        transducer = self
-
-        class Table(dict):
-            def __missing__(self, lexeme: str) -> int:
-                n = transducer.mid(lexeme)
-                if len(lexeme) <= LONGEST_KEPT:
-                    if len(self) >= TABLE_SIZE:
-                        self.clear()
-                    self[lexeme] = n
-                return n
-
-        self.table = Table()
+        self.table = Memo(self.mid, TABLE_SIZE)
 
     def mid(self, lexeme: str) -> int:
         """Tokens emitted for a lexeme read in state MID: behind a border there is no implied blank."""
