@@ -108,8 +108,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
 class _Stock:
     """Counts of lengths with an index of those still there, as bits of an integer and reversed."""
 
-    def __init__(self, counts: dict[int, int], capacity: int):
+    def __init__(self, counts: dict[int, int], capacity: int, most: int):
         self.left, self.capacity = dict(counts), capacity
+        self.complements = (self.single, self.pair, self.triple)[:most]
         self.bits = sum(1 << n for n, c in counts.items() if c)
         self.back = sum(1 << capacity - n for n, c in counts.items() if c)
 
@@ -150,15 +151,24 @@ class _Stock:
     def exact(self, gap: int) -> tuple | None:
         if gap == 0:
             return ()
-        return self.single(gap) or self.pair(gap) or self.triple(gap)
+        return next(filter(None, (complement(gap) for complement in self.complements)), None)
 
     def longest(self, gap: int) -> int:
         return (self.bits & ((1 << gap + 1) - 1)).bit_length() - 1
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
-    """(how many sequences, lengths in each): every piece is used once."""
-    stock, out = _Stock(counts, capacity), []
+    """(how many sequences, lengths in each): every piece is used once.
+
+    Complements of up to three pieces use up short pieces, which costs more than it saves where lengths are spread
+    evenly; so the plan with single complements only is made too, and the one with fewer sequences is taken.
+    """
+    return min((_plan(counts, capacity, most) for most in (3, 1)), key=lambda found: sum(many for many, _ in found))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[int, list[int]]]:
+    """The plan with exact complements of up to `most` pieces."""
+    stock, out = _Stock(counts, capacity, most), []
 
     def commit(items: list[int]) -> None:
         need = Counter(items)
@@ -168,14 +178,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, li
         out.append((many, sorted(items, reverse=True)))
 
     lengths = sorted(counts, reverse=True)
-    for n in lengths:                               # exact complements
-        while stock.left[n] > 0:
-            stock.take(n, 1)
-            rest = stock.exact(capacity - n)
-            stock.take(n, -1)
-            if rest is None:
-                break
-            commit([n, *rest])
+    # exact complements: singles for all lengths, then pairs, then triples, so that short pieces are kept for last
+    for complement in stock.complements:
+        for n in lengths:
+            while stock.left[n] > 0:
+                stock.take(n, 1)
+                rest = complement(capacity - n) if n < capacity else ()
+                stock.take(n, -1)
+                if rest is None:
+                    break
+                commit([n, *rest])
     for n in lengths:                               # residuals by best fit
         while stock.left[n] > 0:
             items, gap = [n], capacity - n
