@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tidemark.schemas import RAW_COLUMNS  # noqa: E402
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -20,40 +22,33 @@ def sf_small():
     return SF_SMALL
 
 
-# Two raw order items (text fields), after the reference's shared fixture.
+def _item(**fields):
+    """A raw order item of our own: a small shop's sale, with the given fields."""
+    row = dict.fromkeys(RAW_COLUMNS)
+    row.update({
+        "Type": "DEBIT", "Days for shipping (real)": "2", "Days for shipment (scheduled)": "4", "Benefit per order": "12.40",
+        "Sales per customer": "61.20", "Delivery Status": "Advance shipping", "Late_delivery_risk": "0", "Category Id": "11",
+        "Category Name": "garden tools", "Customer City": "lyon", "Customer Country": "France", "Customer Email": "hidden",
+        "Customer Password": "hidden", "Customer Segment": "Home Office", "Customer State": "RH", "Customer Street": "9 quai nord",
+        "Department Id": "3", "Department Name": "outdoors", "Latitude": "45.76", "Longitude": "4.84", "Market": "Europe",
+        "Order City": "Málaga", "Order Country": "Spain", "Order Region": "southern europe", "Order State": "Andalucía",
+        "Order Status": "COMPLETE", "Order Item Discount": "1.80", "Order Item Discount Rate": "0.03",
+        "Order Item Product Price": "31.50", "Order Item Profit Ratio": "0.20", "Order Item Quantity": "2", "Sales": "63.00",
+        "Order Item Total": "61.20", "Order Profit Per Order": "12.40", "Product Card Id": "77", "Order Item Cardprod Id": "77",
+        "Product Category Id": "11", "Product Name": "pruning shears", "Product Price": "31.50", "Product Status": "0",
+        "Shipping Mode": "Second Class", "order date (DateOrders)": "5/6/2019 9:05", "shipping date (DateOrders)": "5/8/2019 9:05"})
+    row.update(fields)
+    return row
+
+
 FIXTURE_ROWS = [
-    {"Type": "DEBIT", "Days for shipping (real)": "3", "Days for shipment (scheduled)": "4",
-     "Benefit per order": "91.25", "Sales per customer": "314.64", "Delivery Status": "Advance shipping",
-     "Late_delivery_risk": "0", "Category Id": "73", "Category Name": "Sporting Goods", "Customer City": "Caguas",
-     "Customer Country": "Puerto Rico", "Customer Email": "XXXXXXXXX", "Customer Fname": "Alice",
-     "Customer Id": "1001", "Customer Lname": "Smith", "Customer Password": "XXXXXXXXX",
-     "Customer Segment": "Consumer", "Customer State": "PR", "Customer Street": "1 Main St",
-     "Customer Zipcode": "725", "Department Id": "2", "Department Name": "Fitness", "Latitude": "18.25",
-     "Longitude": "-66.04", "Market": "Pacific Asia", "Order City": "Bekasi", "Order Country": "Indonesia",
-     "Order Customer Id": "1001", "order date (DateOrders)": "1/31/2018 22:56", "Order Id": "77202",
-     "Order Item Cardprod Id": "1360", "Order Item Discount": "13.11", "Order Item Discount Rate": "0.04",
-     "Order Item Id": "180517", "Order Item Product Price": "327.75", "Order Item Profit Ratio": "0.29",
-     "Order Item Quantity": "1", "Sales": "327.75", "Order Item Total": "314.64", "Order Profit Per Order": "91.25",
-     "Order Region": "Southeast Asia", "Order State": "Java Occidental", "Order Status": "COMPLETE",
-     "Order Zipcode": None, "Product Card Id": "1360", "Product Category Id": "73", "Product Description": None,
-     "Product Image": None, "Product Name": "Smart watch", "Product Price": "327.75", "Product Status": "0",
-     "shipping date (DateOrders)": "2/3/2018 22:56", "Shipping Mode": "Standard Class"},
-    {"Type": "TRANSFER", "Days for shipping (real)": "5", "Days for shipment (scheduled)": "4",
-     "Benefit per order": "-249.09", "Sales per customer": "311.36", "Delivery Status": "Late delivery",
-     "Late_delivery_risk": "1", "Category Id": "73", "Category Name": "Sporting Goods", "Customer City": "Caguas",
-     "Customer Country": "Puerto Rico", "Customer Email": "XXXXXXXXX", "Customer Fname": "Bob",
-     "Customer Id": "1002", "Customer Lname": None, "Customer Password": "XXXXXXXXX",
-     "Customer Segment": "Consumer", "Customer State": "PR", "Customer Street": "2 Main St",
-     "Customer Zipcode": None, "Department Id": "2", "Department Name": "Fitness", "Latitude": "18.28",
-     "Longitude": "-66.04", "Market": "Pacific Asia", "Order City": "Bikaner", "Order Country": "India",
-     "Order Customer Id": "1002", "order date (DateOrders)": "1/13/2018 12:27", "Order Id": "75939",
-     "Order Item Cardprod Id": "1360", "Order Item Discount": "16.39", "Order Item Discount Rate": "0.05",
-     "Order Item Id": "179254", "Order Item Product Price": "327.75", "Order Item Profit Ratio": "-0.8",
-     "Order Item Quantity": "1", "Sales": "311.36", "Order Item Total": "311.36", "Order Profit Per Order": "-249.09",
-     "Order Region": "South Asia", "Order State": "Rajastán", "Order Status": "PENDING",
-     "Order Zipcode": None, "Product Card Id": "1360", "Product Category Id": "73", "Product Description": None,
-     "Product Image": None, "Product Name": "Smart watch", "Product Price": "327.75", "Product Status": "0",
-     "shipping date (DateOrders)": "1/18/2018 12:27", "Shipping Mode": "Standard Class"},
+    _item(**{"Customer Id": "41", "Order Customer Id": "41", "Customer Fname": "Noor", "Customer Lname": "Haddad",
+             "Customer Zipcode": "69001", "Order Id": "900", "Order Item Id": "9001"}),
+    _item(**{"Customer Id": "42", "Order Customer Id": "42", "Customer Fname": "Ilse", "Customer Lname": None,
+             "Customer Zipcode": None, "Order Id": "901", "Order Item Id": "9011", "Type": "TRANSFER",
+             "Days for shipping (real)": "6", "Delivery Status": "Late delivery", "Late_delivery_risk": "1",
+             "Sales": "58.75", "Order Profit Per Order": "-4.10", "Order Status": "PENDING",
+             "order date (DateOrders)": "11/23/2019 18:40", "shipping date (DateOrders)": "11/29/2019 18:40"}),
 ]
 
 

@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemark.checks.compare import compare, duckdb_connection
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tidemark.checks.oracle_sql import ORACLE
+from tidemark.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,7 @@ def con(sf_small):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

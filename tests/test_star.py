@@ -31,3 +31,39 @@ def test_dim_date_is_daily_and_dense(spark, sf_small):
     d = layers.star(spark, sf_small, "dim_date").orderBy("date_id").collect()
     assert [r["date_id"] for r in d] == list(range(1, len(d) + 1))
     assert all(a["full_date"] < b["full_date"] for a, b in zip(d, d[1:]))
+
+
+def test_checks_find_orphans_duplicates_and_null_keys(spark, sf_small):
+    from tidemark.operators.star import fk_check
+    t = dict(layers.star_tables(spark, sf_small))
+    products = t["dim_product"].orderBy("product_card_id")
+    gone = products.first()["product_card_id"]
+    orphans = t["fact_sales"].where(F.col("product_card_id") == gone).count()
+    null_row = products.limit(1).withColumn("product_card_id", F.lit(None).cast("bigint"))
+    t["dim_product"] = products.where(F.col("product_card_id") != gone).unionByName(null_row).unionByName(null_row)
+    t["dim_shipping"] = t["dim_shipping"].unionByName(t["dim_shipping"].limit(1))
+    found = {(r["check"], r["table_name"], r["column_name"]): r["violations"] for r in fk_check(t).collect() if r["violations"]}
+    assert orphans > 0 and found == {
+        ("foreign_key", "fact_sales", "product_card_id"): orphans, ("primary_key_unique", "dim_product", "product_card_id"): 1,
+        ("primary_key_not_null", "dim_product", "product_card_id"): 2, ("primary_key_unique", "dim_shipping", "shipping_id"): 1}
+
+
+def test_orphan_rows_are_listed(spark, sf_small, monkeypatch):
+    real = layers.star_tables(spark, sf_small)
+    gone = real["fact_sales"].agg(F.min("location_id")).first()[0]
+    cut = {**real, "dim_location": real["dim_location"].where(F.col("location_id") != gone)}
+    monkeypatch.setattr(layers, "star_tables", lambda *_: cut)
+    rows = QUERIES["integrity_anti_join"](spark, sf_small).collect()
+    assert len(rows) == real["fact_sales"].where(F.col("location_id") == gone).count() > 0
+    assert {(r["foreign_key"], r["key_value"]) for r in rows} == {("location_id", gone)}
+
+
+def test_load_keeps_types_and_wide_keys(spark, sf_small, tmp_dir):
+    from tidemark.schemas import STAR_DDL
+    from tidemark.sources.loader import load_star
+    t = dict(layers.star_tables(spark, sf_small))
+    t["fact_sales"] = t["fact_sales"].withColumn("order_item_id", F.col("order_item_id") + 3_000_000_000)
+    report = load_star(spark, t, tmp_dir + "/wh").collect()
+    assert {(r["table_name"], r["column_name"], r["data_type"]) for r in report} == {
+        (name, c, k) for name, cols in STAR_DDL.items() for c, k in cols}
+    assert spark.read.parquet(tmp_dir + "/wh/fact_sales").agg(F.min("order_item_id")).first()[0] > 3_000_000_000

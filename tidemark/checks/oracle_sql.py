@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-from tidemark.checks.oracle_base import qi, with_prefix
-from tidemark.schemas import RAW_COLUMNS
+from tidemark.checks.oracle_base import RAW_COLUMNS, RERUN_PREFIX, half_away, qi, with_prefix
 
 ORACLE: dict[str, str] = {}
 
 
 def r2(x: str) -> str:
-    """Half-up 2 dp, spelled as in the Spark code."""
-    return f"(floor(CAST({x} AS DOUBLE) * 100 + 0.5) / 100)"
+    """A DOUBLE to 2 dp, half away from zero."""
+    return f"(sign({x}) * floor(abs(CAST({x} AS DOUBLE)) * 100 + 0.5) / 100)"
 
 
-def ratio(n: str, d: str) -> str:
-    return f"(CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0.0))"
-
-
-def pct(n: str, d: str) -> str:
-    return r2(f"{ratio(n, d)} * 100")
+def pct(n: str, d: str, places: int = 2) -> str:
+    return half_away(n, d, 100, places)
 
 
 def mean(c: str) -> str:
-    return r2(ratio(f"sum({c})", f"count({c})"))
+    return half_away(f"sum({c})", f"count({c})")
 
 
 def mean_pct(c: str) -> str:
-    return r2(ratio(f"sum(CAST({c} AS DECIMAL(18,2)))", f"count({c})"))
+    return half_away(f"sum(CAST({c} AS DECIMAL(18,2)))", f"count({c})")
 
 
 def money_sum(c: str) -> str:
@@ -36,9 +31,8 @@ def money_sum(c: str) -> str:
 # ---- Gold KPI tables -------------------------------------------------------------
 GOLD_CTES = {
     "gold_monthly_revenue": f"""gold_monthly_revenue AS (
-  SELECT *, {r2('(total_revenue / nullif(lag(total_revenue) OVER (ORDER BY order_year, order_month), 0.0) - 1) * 100')}
-         AS mom_revenue_growth_pct
-  FROM (
+  SELECT * EXCLUDE (_prev), {pct('(CAST(total_revenue AS DECIMAL(28,2)) - _prev)', '_prev')} AS mom_revenue_growth_pct
+  FROM (SELECT *, CAST(lag(total_revenue) OVER (ORDER BY order_year, order_month) AS DECIMAL(28,2)) AS _prev FROM (
     SELECT order_year, order_month, order_month_name,
            {money_sum('sales')} AS total_revenue,
            {money_sum('order_profit_per_order')} AS total_profit,
@@ -47,7 +41,7 @@ GOLD_CTES = {
            {mean('sales')} AS avg_order_value
     FROM prep
     WHERE order_year IS NOT NULL AND order_month IS NOT NULL AND order_month_name IS NOT NULL
-    GROUP BY order_year, order_month, order_month_name))""",
+    GROUP BY order_year, order_month, order_month_name)))""",
     "gold_market_performance": f"""gold_market_performance AS (
   SELECT *, {pct('late_shipments', 'total_shipments')} AS late_pct
   FROM (
@@ -84,7 +78,7 @@ gold_customer_segments AS (
   FROM (
     SELECT customer_segment,
            count(customer_id) AS total_customers,
-           {r2(ratio('sum(clv)', 'count(clv)'))} AS avg_clv,
+           {half_away('sum(clv)', 'count(clv)')} AS avg_clv,
            {r2('avg(aov)')} AS avg_aov,
            sum(CAST(order_count > 1 AS BIGINT)) AS repeat_customers,
            CAST(sum(clv) AS DOUBLE) AS total_revenue
@@ -118,15 +112,15 @@ for _key, _table in [("monthly_revenue", "gold_monthly_revenue"),
                      ("shipping_efficiency", "gold_shipping_efficiency")]:
     ORACLE[_key] = with_prefix(GOLD_CTES[_table], f"SELECT * FROM {_table}")
 
-ORACLE["silver"] = with_prefix("SELECT * FROM silver")
-ORACLE["bronze_ingest"] = with_prefix("SELECT * FROM bronze")
+ORACLE["silver"] = with_prefix("SELECT * EXCLUDE (_row_digest, _ingest) FROM silver")
+ORACLE["bronze_ingest"] = with_prefix("SELECT * EXCLUDE (_row_digest) FROM bronze")
 ORACLE["row_hash"] = with_prefix(
     'SELECT "Order Item Id" AS order_item_id, _row_number, _row_hash FROM bronze')
 _null_cells = " + ".join(f"count(*) - count({qi(c)})" for c in RAW_COLUMNS)
 ORACLE["bronze_stats"] = with_prefix(f"""
 SELECT count(*) AS rows, CAST({len(RAW_COLUMNS) + 4} AS BIGINT) AS columns,
        CAST({_null_cells} AS BIGINT) AS null_cells,
-       count(*) - count(DISTINCT _row_hash) AS duplicate_hashes
+       count(*) - count(DISTINCT _row_digest) AS duplicate_hashes
 FROM bronze""")
 
 
@@ -139,22 +133,22 @@ _nl = lambda cols: ", ".join(f"{c} ASC NULLS LAST" for c in cols)
 _nse = lambda a, b, cols: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
 
 STAR_CTES = f"""dim_date AS (
-  SELECT CAST(row_number() OVER (ORDER BY full_date ASC NULLS LAST) AS INTEGER) AS date_id, full_date,
+  SELECT row_number() OVER (ORDER BY full_date ASC NULLS LAST) AS date_id, full_date,
          CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
          CAST(month(full_date) AS INTEGER) AS month, strftime(full_date, '%B') AS month_name,
          CAST(day(full_date) AS INTEGER) AS day, strftime(full_date, '%A') AS day_of_week,
          CAST(weekofyear(full_date) AS INTEGER) AS week_of_year
   FROM (SELECT DISTINCT CAST(order_date AS DATE) AS full_date FROM prep WHERE order_date IS NOT NULL)),
 dim_location AS (
-  SELECT CAST(row_number() OVER (ORDER BY {_nl(_LOC7)}) AS INTEGER) AS location_id, {", ".join(_LOC7)}
+  SELECT row_number() OVER (ORDER BY {_nl(_LOC7)}) AS location_id, {", ".join(_LOC7)}
   FROM (SELECT DISTINCT {", ".join(_LOC7)} FROM prep)),
 dim_shipping AS (
-  SELECT CAST(row_number() OVER (ORDER BY shipping_mode ASC NULLS LAST, delivery_status ASC NULLS LAST) AS INTEGER)
+  SELECT row_number() OVER (ORDER BY shipping_mode ASC NULLS LAST, delivery_status ASC NULLS LAST)
            AS shipping_id, shipping_mode, delivery_status
   FROM (SELECT DISTINCT shipping_mode, delivery_status FROM prep)),
 cust_first AS (
   SELECT customer_id, {", ".join(_CUST_ATTRS)} FROM prep WHERE customer_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _row_number, _row_hash) = 1),
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _row_number, _row_digest) = 1),
 cust_metrics AS (
   SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
   FROM prep WHERE customer_id IS NOT NULL GROUP BY customer_id),
@@ -168,7 +162,7 @@ dim_product AS (
   SELECT product_card_id, product_name, CAST(product_price AS DOUBLE) AS product_price, category_id,
          category_name, department_id, department_name, product_status
   FROM prep WHERE product_card_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY product_card_id ORDER BY _row_number, _row_hash) = 1),
+  QUALIFY row_number() OVER (PARTITION BY product_card_id ORDER BY _row_number, _row_digest) = 1),
 loc_lookup AS (
   SELECT {", ".join(_LOC5)}, max(location_id) AS location_id FROM dim_location GROUP BY {", ".join(_LOC5)}),
 fact_sales AS (
@@ -244,7 +238,7 @@ ORACLE["customer_agg_join"] = with_star("""SELECT p.order_item_id, p.customer_id
   m.order_count, m.order_count > 1 AS is_repeat_customer
 FROM prep p LEFT JOIN (
   SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
-  FROM prep GROUP BY customer_id) m ON p.customer_id = m.customer_id""")
+  FROM prep WHERE customer_id IS NOT NULL GROUP BY customer_id) m ON p.customer_id = m.customer_id""")
 ORACLE["surrogate_key_lookup"] = with_star("SELECT order_item_id, date_id, location_id, shipping_id FROM fact_sales")
 ORACLE["surrogate_keys"] = with_star("""
 SELECT 'dim_date' AS dimension, date_id AS id, CAST(full_date AS VARCHAR) AS natural_key FROM dim_date
@@ -254,19 +248,50 @@ SELECT 'dim_location', location_id, concat_ws('|', order_city, order_state, orde
 UNION ALL
 SELECT 'dim_shipping', shipping_id, concat_ws('|', shipping_mode, delivery_status) FROM dim_shipping""")
 
-# ---- SQL query layer: the same ANSI text over the oracle's own star ---------------
-from tidemark.plans.sql_analytics import DAILY_VIEW_BODY, SQL  # noqa: E402
-
-for _name, _text in SQL.items():
-    ORACLE[_name] = with_star(_text)
-ORACLE["daily_sales_summary"] = with_star(DAILY_VIEW_BODY)
+# ---- Query layer over the star ------------------------------------------------------
+def star_rollup(dim: str, key: str, keys: str, measures: str, tail: str = "") -> str:
+    return f"SELECT {keys}, {measures} FROM fact_sales INNER JOIN {dim} USING ({key}) GROUP BY ALL {tail}"
+
+
+_REVENUE, _ORDERS = "CAST(sum(sales) AS DOUBLE)", "count(DISTINCT order_id)"
+_LATE = "count(*) FILTER (WHERE is_late)"
+for _name, _args in {
+    "sql_monthly_trend": ("dim_date", "date_id", "year, month, month_name",
+                          f"{_REVENUE} total_revenue, {_ORDERS} total_orders, {mean('sales')} avg_order_value"),
+    "sql_market_region": ("dim_location", "location_id", "market, order_region",
+                          f"{_REVENUE} revenue, count(*) order_items, {mean_pct('profit_margin_pct')} avg_margin_pct"),
+    "sql_top_products": ("dim_product", "product_card_id", "product_name, category_name, department_name",
+                         f"{_REVENUE} total_revenue, CAST(sum(order_item_quantity) AS BIGINT) units_sold, "
+                         f"{mean_pct('profit_margin_pct')} avg_margin_pct", "ORDER BY total_revenue DESC, ALL LIMIT 10"),
+    "sql_late_delivery": ("dim_shipping", "shipping_id", "shipping_mode, delivery_status",
+                          f"count(*) total_shipments, {_LATE} late_shipments, {pct(_LATE, 'count(*)')} late_pct, "
+                          f"{mean('delivery_delay_days')} avg_delay_days"),
+    "sql_shipping_efficiency": ("dim_shipping", "shipping_id", "shipping_mode",
+                                f"{mean('delivery_days_actual')} avg_actual_days, {mean('delivery_delay_days')} avg_delay, "
+                                f"{mean('sales')} avg_sale_value, count(*) shipment_count"),
+    "sql_top_countries": ("dim_location", "location_id", "order_country",
+                          f"{_ORDERS} total_orders, {_REVENUE} total_revenue, {mean('sales')} avg_order_value, "
+                          f"{mean_pct('profit_margin_pct')} avg_margin_pct", "ORDER BY total_revenue DESC, order_country LIMIT 15"),
+    "daily_sales_summary": ("dim_date", "date_id", "full_date, year, month, month_name",
+                            f"{_ORDERS} orders, {_REVENUE} revenue, CAST(sum(order_profit_per_order) AS DOUBLE) profit, "
+                            f"{_LATE} late_deliveries"),
+}.items():
+    ORACLE[_name] = with_star(star_rollup(*_args).replace("DESC, ALL LIMIT", "DESC, product_name, category_name, department_name LIMIT"))
+_BY_CATEGORY = star_rollup("dim_product", "product_card_id", "category_name, department_name", f"{_REVENUE} revenue")
+ORACLE["category_rank"] = with_star(
+    f"SELECT *, rank() OVER (PARTITION BY department_name ORDER BY revenue DESC) rank_in_dept FROM ({_BY_CATEGORY})")
+_REPEAT = "count(*) FILTER (WHERE is_repeat_customer)"
+ORACLE["sql_retention"] = with_star(f"""SELECT customer_segment, count(*) total_customers, {_REPEAT} repeat_customers,
+  {pct(_REPEAT, 'count(*)')} repeat_rate_pct FROM dim_customer GROUP BY ALL""")
+_MONTHS = star_rollup("dim_date", "date_id", "year, month", "sum(sales) exact")
+ORACLE["sql_mom_growth"] = with_star(f"""SELECT year, month, CAST(exact AS DOUBLE) revenue, CAST(prev AS DOUBLE) prev_month_revenue,
+  {pct('(exact - prev)', 'prev')} mom_growth_pct FROM (SELECT *, lag(exact) OVER (ORDER BY year, month) prev FROM ({_MONTHS}))""")
+ORACLE["sql_top_customers"] = with_star(f"""SELECT customer_id, customer_fname || ' ' || customer_lname customer_name, customer_segment,
+  customer_country, customer_lifetime_value clv, order_count, {r2('avg_order_value')} avg_order_value
+  FROM dim_customer ORDER BY clv DESC, customer_id LIMIT 10""")
 
 
 # ---- Metrics over Gold -------------------------------------------------------------
-def r1(x: str) -> str:
-    return f"(floor(CAST({x} AS DOUBLE) * 10 + 0.5) / 10)"
-
-
 def dec(c: str) -> str:
     return f"CAST({c} AS DECIMAL(18,2))"
 
@@ -279,26 +304,26 @@ def with_gold(final: str, tables: list[str], star: bool = False, *extra: str) ->
 
 
 KPI_BODY = f"""
-SELECT {r2('rev')} AS total_revenue, orders AS total_orders,
-       CASE WHEN orders > 0 THEN {r2(ratio('rev', 'orders'))} ELSE 0.0 END AS avg_order_value,
-       {r2('profit')} AS total_profit,
+SELECT CAST(rev AS DOUBLE) AS total_revenue, orders AS total_orders,
+       CASE WHEN orders > 0 THEN {half_away('rev', 'orders')} ELSE 0.0 END AS avg_order_value,
+       CAST(profit AS DOUBLE) AS total_profit,
        (SELECT count(*) FROM dim_customer) AS total_customers,
-       CASE WHEN ships > 0 THEN {r1(ratio('late', 'ships') + ' * 100')} ELSE 0.0 END AS late_pct,
-       CASE WHEN rev <> 0 THEN {r1(ratio('profit', 'rev') + ' * 100')} ELSE 0.0 END AS profit_margin
+       CASE WHEN ships > 0 THEN {pct('late', 'ships', 1)} ELSE 0.0 END AS late_pct,
+       CASE WHEN rev <> 0 THEN {pct('profit', 'rev', 1)} ELSE 0.0 END AS profit_margin
 FROM (SELECT sum({dec('total_revenue')}) AS rev, CAST(sum(total_orders) AS BIGINT) AS orders,
              sum({dec('total_profit')}) AS profit FROM gold_monthly_revenue) m,
      (SELECT sum(late_shipments) AS late, sum(total_shipments) AS ships FROM gold_late_delivery_risk) r"""
 ORACLE["kpi_summary"] = with_gold(KPI_BODY, ["gold_monthly_revenue", "gold_late_delivery_risk"], True)
 
 ORACLE["market_rollup"] = with_gold(f"""
-SELECT market, {r2('sum(' + dec('total_revenue') + ')')} AS total_revenue,
+SELECT market, CAST(sum({dec('total_revenue')}) AS DOUBLE) AS total_revenue,
        CAST(sum(total_orders) AS BIGINT) AS total_orders,
-       {r2(ratio('sum(' + dec('late_pct') + ')', 'count(late_pct)'))} AS late_pct
+       {half_away('sum(' + dec('late_pct') + ')', 'count(late_pct)')} AS late_pct
 FROM gold_market_performance GROUP BY market""", ["gold_market_performance"])
 ORACLE["category_rollup"] = with_gold(f"""
-SELECT category_name, {r2('sum(' + dec('total_revenue') + ')')} AS total_revenue,
+SELECT category_name, CAST(sum({dec('total_revenue')}) AS DOUBLE) AS total_revenue,
        CAST(sum(units_sold) AS BIGINT) AS units_sold,
-       {r2(ratio('sum(' + dec('avg_margin_pct') + ')', 'count(avg_margin_pct)'))} AS avg_margin_pct
+       {half_away('sum(' + dec('avg_margin_pct') + ')', 'count(avg_margin_pct)')} AS avg_margin_pct
 FROM gold_product_performance GROUP BY category_name""", ["gold_product_performance"])
 
 
@@ -383,14 +408,15 @@ ORACLE["name_concat"] = with_star(
 _ALL_TABLES = list(GOLD_CTES) + ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping",
                                  "fact_sales"]
 ORACLE["available_tables"] = with_gold(
-    "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _ALL_TABLES),
+    "SELECT *, (SELECT strftime(max(l_shipdate), '%Y-%m-%dT%H:%M:%S') FROM lineitem) AS refreshed_at FROM ("
+    + "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _ALL_TABLES) + ")",
     list(GOLD_CTES), True)
 
 # ---- Dashboard -----------------------------------------------------------------------
 SLICE_CTE = """slice AS (
   SELECT * FROM denorm
   WHERE year IN (1996, 1997, 1998) AND market IN ('Asia', 'Europe', 'America')
-    AND customer_segment IS NOT NULL
+    AND customer_segment IN ('Automobile', 'Building', 'Machinery')
     AND shipping_mode IN ('Standard Class', 'Second Class', 'First Class'))"""
 
 
@@ -405,57 +431,65 @@ SELECT DISTINCT 'year' AS filter, CAST(year AS VARCHAR) AS value FROM denorm WHE
 UNION SELECT DISTINCT 'market', market FROM denorm WHERE market IS NOT NULL
 UNION SELECT DISTINCT 'customer_segment', customer_segment FROM denorm WHERE customer_segment IS NOT NULL
 UNION SELECT DISTINCT 'shipping_mode', shipping_mode FROM denorm WHERE shipping_mode IS NOT NULL""")
-ORACLE["dash_kpis"] = with_slice(f"""
+
+
+def with_denorm(final: str) -> str:
+    return with_prefix(STAR_CTES, DENORM_CTE, final)
+
+
+ORACLE["dash_kpis"] = with_denorm(f"""
 SELECT CAST(coalesce(sum(sales), 0) AS DOUBLE) AS total_revenue,
        count(DISTINCT order_id) AS total_orders,
-       CASE WHEN count(DISTINCT order_id) > 0 THEN {r2(ratio('sum(sales)', 'count(DISTINCT order_id)'))} ELSE 0.0 END
+       CASE WHEN count(DISTINCT order_id) > 0 THEN {half_away('sum(sales)', 'count(DISTINCT order_id)')} ELSE 0.0 END
          AS avg_order_value,
        CAST(coalesce(sum(order_profit_per_order), 0) AS DOUBLE) AS total_profit,
        CASE WHEN count(*) > 0 THEN {pct('sum(CAST(is_late AS BIGINT))', 'count(*)')} ELSE 0.0 END AS late_pct,
        count(DISTINCT customer_id) AS total_customers
-FROM slice""")
-ORACLE["dash_monthly"] = with_slice("""
+FROM denorm""")
+ORACLE["dash_monthly"] = with_denorm("""
 SELECT *, concat_ws(' ', month_name, CAST(year AS VARCHAR)) AS period,
        (revenue / nullif(lag(revenue) OVER (ORDER BY year, month), 0.0) - 1) * 100 AS mom_growth
 FROM (SELECT year, month, month_name, CAST(sum(sales) AS DOUBLE) AS revenue,
              CAST(sum(order_profit_per_order) AS DOUBLE) AS profit, count(DISTINCT order_id) AS orders
-      FROM slice GROUP BY year, month, month_name)""")
-ORACLE["dash_market"] = with_slice("""
+      FROM denorm GROUP BY year, month, month_name)""")
+ORACLE["dash_market"] = with_denorm("""
 SELECT market, CAST(sum(sales) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS orders
-FROM slice GROUP BY market""")
-ORACLE["dash_late_by_mode"] = with_slice(f"""
+FROM denorm GROUP BY market""")
+ORACLE["dash_late_by_mode"] = with_denorm(f"""
 SELECT *, {pct('late', 'total')} AS late_pct FROM (
   SELECT shipping_mode, count(order_item_id) AS total, sum(CAST(is_late AS BIGINT)) AS late
-  FROM slice GROUP BY shipping_mode)""")
-ORACLE["dash_category"] = with_slice("""
-SELECT category_name, department_name, CAST(sum(sales) AS DOUBLE) AS revenue FROM slice
+  FROM denorm GROUP BY shipping_mode)""")
+ORACLE["dash_category"] = with_denorm("""
+SELECT category_name, department_name, CAST(sum(sales) AS DOUBLE) AS revenue FROM denorm
 GROUP BY category_name, department_name
 ORDER BY revenue DESC, category_name, department_name LIMIT 15""")
-ORACLE["dash_top_products"] = with_slice("""
+ORACLE["dash_top_products"] = with_denorm("""
 SELECT product_name, category_name, CAST(sum(sales) AS DOUBLE) AS revenue,
-       CAST(sum(order_item_quantity) AS BIGINT) AS units FROM slice
+       CAST(sum(order_item_quantity) AS BIGINT) AS units FROM denorm
 GROUP BY product_name, category_name
 ORDER BY revenue DESC, product_name, category_name LIMIT 10""")
-ORACLE["dash_status_counts"] = with_slice("""
-SELECT delivery_status AS status, count(*) AS count FROM slice WHERE delivery_status IS NOT NULL
+ORACLE["dash_status_counts"] = with_denorm("""
+SELECT delivery_status AS status, count(*) AS count FROM denorm WHERE delivery_status IS NOT NULL
 GROUP BY delivery_status""")
-ORACLE["dash_segment"] = with_slice("""
+ORACLE["dash_segment"] = with_denorm("""
 SELECT customer_segment, CAST(sum(sales) AS DOUBLE) AS revenue, count(DISTINCT customer_id) AS customers
-FROM slice GROUP BY customer_segment""")
-ORACLE["dash_geo"] = with_slice("""
+FROM denorm GROUP BY customer_segment""")
+ORACLE["dash_geo"] = with_denorm("""
 SELECT order_country, latitude, longitude, CAST(sum(sales) AS DOUBLE) AS revenue,
        count(DISTINCT order_id) AS orders
-FROM slice GROUP BY order_country, latitude, longitude""")
+FROM denorm GROUP BY order_country, latitude, longitude""")
 _W = repr(400.0 / 60)
-ORACLE["margin_histogram"] = with_slice(f"""
-SELECT bin, CAST(-200.0 AS DOUBLE) + (bin - 1) * CAST({_W} AS DOUBLE) AS bin_start,
-       CAST(-200.0 AS DOUBLE) + bin * CAST({_W} AS DOUBLE) AS bin_end, count
-FROM (SELECT least(CAST(floor((profit_margin_pct - CAST(-200.0 AS DOUBLE)) * 60 / CAST(400.0 AS DOUBLE)) AS INTEGER) + 1, 60)
-             AS bin, count(*) AS count
-      FROM slice WHERE profit_margin_pct BETWEEN -200 AND 200 GROUP BY 1)""")
-ORACLE["delay_histogram"] = with_slice("""
-SELECT delivery_delay_days, is_late, count(*) AS count FROM slice
-WHERE delivery_delay_days BETWEEN -10 AND 10 GROUP BY delivery_delay_days, is_late""")
+ORACLE["margin_histogram"] = with_star(f"""
+SELECT bin, CASE WHEN bin > 0 THEN CAST(-200.0 AS DOUBLE) + (bin - 1) * CAST({_W} AS DOUBLE) END AS bin_start,
+       CASE WHEN bin = 0 THEN CAST(-200.0 AS DOUBLE) WHEN bin <= 60 THEN CAST(-200.0 AS DOUBLE) + bin * CAST({_W} AS DOUBLE) END AS bin_end,
+       count(*) AS count
+FROM (SELECT CASE WHEN m < -200 THEN 0 WHEN m > 200 THEN 61 WHEN m = 200 THEN 60
+             ELSE CAST(floor((m + CAST(200.0 AS DOUBLE)) * 60 / CAST(400.0 AS DOUBLE)) AS INTEGER) + 1 END AS bin
+      FROM (SELECT profit_margin_pct AS m FROM fact_sales)) GROUP BY bin""")
+ORACLE["delay_histogram"] = with_star("""
+SELECT CASE WHEN d BETWEEN -10 AND 10 THEN 'in range' WHEN d < -10 THEN 'below' WHEN d > 10 THEN 'above' ELSE 'none' END AS position,
+       CASE WHEN d BETWEEN -10 AND 10 THEN d END AS delivery_delay_days, is_late, count(*) AS count
+FROM (SELECT delivery_delay_days AS d, is_late FROM fact_sales) GROUP BY ALL""")
 
 
 # ---- Validation --------------------------------------------------------------------
@@ -487,20 +521,22 @@ ORACLE["total_issues"] = with_prefix(REPORT_CTE,
                                      "SELECT CAST(coalesce(sum(count), 0) AS BIGINT) AS total_issues FROM report")
 
 # ---- Cleaning steps ----------------------------------------------------------------
-from tidemark.checks.oracle_base import RAW_EXPR, _snake, _title, _typed_expr  # noqa: E402
-from tidemark.schemas import ID_COLUMNS, NUMERIC_TYPES, RENAME_MAP, STRING_COLUMNS  # noqa: E402
-from tidemark.functions.text import snake_case_name  # noqa: E402
+from tidemark.checks.oracle_base import KEYS, MEASURES, SILVER_DROPPED, TITLED, _title, _typed_expr, snake  # noqa: E402
 
 _DROP = ["Customer Password", "Product Description", "Product Image", "Customer Email", "Customer Street"]
 ORACLE["drop_columns"] = with_prefix("SELECT * EXCLUDE (" + ", ".join(qi(c) for c in _DROP) + ") FROM raw")
 ORACLE["snake_case_header"] = with_prefix(
-    "SELECT " + ", ".join(f"{qi(c)} AS {qi(snake_case_name(c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
+    "SELECT " + ", ".join(f"{qi(c)} AS {qi(snake(c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
+# The raw names that the rename map doesn't list.
+_UNMAPPED = ["Customer Email", "Customer Password", "Customer Street", "Order Customer Id", "Order Item Cardprod Id",
+             "Order Item Discount Rate", "Order Item Profit Ratio", "Product Category Id", "Product Description", "Product Image",
+             "Sales per customer", "order date (DateOrders)", "shipping date (DateOrders)"]
 ORACLE["rename_map"] = with_prefix(
-    "SELECT " + ", ".join(f"{qi(c)} AS {qi(RENAME_MAP.get(c, c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
+    "SELECT " + ", ".join(f"{qi(c)} AS {qi(c if c in _UNMAPPED else snake(c))}" for c in RAW_COLUMNS) + ", _row_number FROM raw")
 ORACLE["numeric_coerce"] = with_prefix(
-    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {_snake(c)}" for c in NUMERIC_TYPES) + " FROM raw")
+    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {snake(c)}" for c in MEASURES) + " FROM raw")
 ORACLE["id_coerce"] = with_prefix(
-    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {RENAME_MAP[c]}" for c in ID_COLUMNS) + " FROM raw")
+    "SELECT _row_number, " + ", ".join(f"{_typed_expr(c)} AS {snake(c)}" for c in KEYS) + " FROM raw")
 ORACLE["date_parse"] = with_prefix("SELECT _row_number, order_date, ship_date FROM typed")
 ORACLE["drop_bad_dates"] = with_prefix(
     "SELECT count(*) AS rows_before, count(*) FILTER (WHERE order_date IS NOT NULL) AS rows_after FROM typed")
@@ -509,13 +545,11 @@ ORACLE["null_fill"] = with_prefix(
     "SELECT order_item_id, customer_lname, customer_zipcode, order_zipcode FROM filled")
 ORACLE["string_normalise"] = with_prefix("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, raw_value, {_title(chr(114) + 'egexp_replace(raw_value, ' + chr(39) + '^' + chr(92) + 's+|' + chr(92) + 's+$' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS normalised "
-    f"FROM (SELECT DISTINCT {qi(c)} AS raw_value FROM raw)" for c in STRING_COLUMNS))
+    f"FROM (SELECT DISTINCT {qi(c)} AS raw_value FROM raw)" for c in TITLED))
 ORACLE["percentile_trim"] = with_prefix("""
 SELECT floor(_lo * 1e6 + 0.5) / 1e6 AS lo, floor(_hi * 1e6 + 0.5) / 1e6 AS hi, (SELECT count(*) FROM titled) AS rows_in, (SELECT count(*) FROM silver) AS rows_kept
 FROM bounds""")
-from tidemark.checks.oracle_base import SILVER_DROPPED  # noqa: E402
-
-_SILVER_COLS = ([_snake(c) for c in RAW_COLUMNS if c not in SILVER_DROPPED]
+_SILVER_COLS = ([snake(c) for c in RAW_COLUMNS if c not in SILVER_DROPPED]
                 + ["order_date", "ship_date", "_row_number", "_row_hash", "_silver_processed"])
 ORACLE["audit_flag"] = with_prefix(
     "SELECT count(*) AS rows, CAST(" + " + ".join(f"(count(*) - count({c}))" for c in _SILVER_COLS)
@@ -533,12 +567,12 @@ SELECT customer_id, CAST(_clv AS DOUBLE) AS customer_lifetime_value,
        CAST(_clv AS DOUBLE) / nullif(CAST(_n AS DOUBLE), 0.0) AS avg_order_value,
        order_count, order_count > 1 AS is_repeat_customer
 FROM (SELECT customer_id, sum(sales) AS _clv, count(sales) AS _n, count(DISTINCT order_id) AS order_count
-      FROM prep GROUP BY customer_id)""")
+      FROM prep WHERE customer_id IS NOT NULL GROUP BY customer_id)""")
 
 # ---- Set operations ------------------------------------------------------------------
 ORACLE["distinct_rows"] = with_prefix(
     "SELECT DISTINCT order_city, order_state, order_country, order_region, market, latitude, longitude FROM prep")
-ORACLE["union_rerun"] = with_prefix("SELECT * FROM silver")
+ORACLE["union_rerun"] = with_prefix("SELECT * EXCLUDE (_row_digest, _ingest) FROM silver", prefix=RERUN_PREFIX)
 
 
 # ---- Sources and sinks ---------------------------------------------------------------
@@ -548,9 +582,39 @@ ORACLE["incremental_bronze"] = with_prefix(_RAW_SELECT)
 ORACLE["csv_sink"] = with_gold("SELECT * FROM gold_product_performance", ["gold_product_performance"])
 ORACLE["gold_export"] = with_gold("SELECT * FROM gold_late_delivery_risk", ["gold_late_delivery_risk"])
 _LOAD = ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]
+# The DDL of the loaded tables.
+_ID, _MONEY = "bigint", "decimal(12,2)"
+_DDL = {
+    "dim_customer": {"customer_id": _ID, "customer_fname": "string", "customer_lname": "string", "customer_segment": "string",
+                     "customer_city": "string", "customer_state": "string", "customer_country": "string",
+                     "customer_zipcode": "string", "customer_lifetime_value": _MONEY, "avg_order_value": _MONEY,
+                     "order_count": _ID, "is_repeat_customer": "boolean"},
+    "dim_product": {"product_card_id": _ID, "product_name": "string", "product_price": "decimal(10,2)", "category_id": _ID,
+                    "category_name": "string", "department_id": _ID, "department_name": "string", "product_status": "int"},
+    "dim_date": {"date_id": _ID, "full_date": "date", "year": "int", "quarter": "int", "month": "int", "month_name": "string",
+                 "day": "int", "day_of_week": "string", "week_of_year": "int"},
+    "dim_location": {"location_id": _ID, "order_city": "string", "order_state": "string", "order_country": "string",
+                     "order_region": "string", "market": "string", "latitude": "decimal(10,6)", "longitude": "decimal(10,6)"},
+    "dim_shipping": {"shipping_id": _ID, "shipping_mode": "string", "delivery_status": "string"},
+    "fact_sales": {"order_item_id": _ID, "order_id": _ID, "customer_id": _ID, "product_card_id": _ID, "date_id": _ID,
+                   "location_id": _ID, "shipping_id": _ID, "order_item_quantity": _ID, "sales": _MONEY,
+                   "order_item_discount": "decimal(10,2)", "order_profit_per_order": _MONEY, "benefit_per_order": _MONEY,
+                   "order_item_product_price": "decimal(10,2)", "order_item_total": _MONEY, "delivery_days_actual": "int",
+                   "delivery_delay_days": "int", "is_late": "boolean", "profit_margin_pct": "decimal(8,2)",
+                   "discount_pct": "decimal(8,2)", "revenue_per_item": "decimal(10,2)", "order_status": "string", "type": "string"},
+}
+
+
+def _loaded(table: str, position: int, column: str, kind: str) -> str:
+    value = {"string": f"length(CAST({column} AS VARCHAR))", "date": f"date_diff('day', DATE '1970-01-01', {column})",
+             "boolean": f"CAST({column} AS INTEGER)"}.get(kind, f"CAST({column} AS {kind})")
+    return (f"SELECT '{table}' AS table_name, {position} AS load_position, '{column}' AS column_name, '{kind}' AS data_type, "
+            f"count(*) AS row_count, count({column}) AS non_null, "
+            f"CAST(coalesce(sum(CAST({value} AS DECIMAL(28,6))), 0) AS DOUBLE) AS value_sum FROM {table}")
+
+
 ORACLE["star_load"] = with_star("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, {i} AS load_position, count(*) AS row_count FROM {t}"
-    for i, t in enumerate(_LOAD, start=1)))
+    _loaded(t, i, c, k) for i, t in enumerate(_LOAD, start=1) for c, k in _DDL[t].items()))
 ORACLE["run_metrics"] = with_gold("\nUNION ALL\n".join(
     ["SELECT 'extract' AS stage, 'rows' AS metric, count(*) AS value FROM raw",
      "SELECT 'validate', 'total_issues', CAST(coalesce(sum(count), 0) AS BIGINT) FROM report",

@@ -6,11 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def row_hash(cols: list[str], width: int = 16) -> Column:
-    """First ``width`` hex of SHA-256 over the values joined by '|'.
+def row_digest(cols: list[str]) -> Column:
+    """SHA-256 (64 hex) over the values joined by '|': the identity of a row's content.
 
     Hashes the raw text fields; NULL is spelled 'nan' because concat_ws would
     otherwise skip it and shift the fields.
     """
     parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")) for c in cols]
-    return F.left(F.sha2(F.concat_ws("|", *parts), 256), F.lit(width))
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def row_hash(digest: Column, width: int = 16) -> Column:
+    """The first ``width`` hex of the digest: for display; two rows may share it."""
+    return F.left(digest, F.lit(width))

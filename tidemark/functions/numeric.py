@@ -1,8 +1,9 @@
 """Numeric helpers shared by every aggregate.
 
-Rounding is half-up to 2 dp, spelled ``floor(x*100 + 0.5) / 100`` on DOUBLE so the
-result does not depend on an engine's own ``round`` tie rule.  Ratios are computed
-from exact DECIMAL sums cast to DOUBLE, never from sums of doubles.
+Ratios of exact numbers (DECIMAL sums, counts) are rounded half away from zero in whole
+numbers, so a tie such as -0.125 gives -0.13 whatever a DOUBLE would make of it.  Only
+values that are DOUBLE by nature (a mean of means, a difference of rounded figures) go
+through ``round2``.
 """
 
 from __future__ import annotations
@@ -10,34 +11,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EXACT = "decimal(28,2)"
 
-def round2(x: Column) -> Column:
-    return F.floor(x.cast("double") * 100 + 0.5) / 100
 
+def round_ratio(num: Column, den: Column, factor: int = 1, places: int = 2) -> Column:
+    """num * factor / den to ``places`` digits, half away from zero; NULL when den is 0 or NULL.
 
-def round1(x: Column) -> Column:
-    return F.floor(x.cast("double") * 10 + 0.5) / 10
+    Both are exact to 2 dp.  The quotient is whole: the remainder is taken off before dividing.
+    """
+    n, d = num.cast(EXACT), F.nullif(den.cast(EXACT), F.lit(0))
+    over, under = F.abs(n) * F.lit(2 * factor * 10 ** places) + F.abs(d), F.abs(d) * 2
+    steps = (over - over % under) / under
+    return F.when((n < 0) != (d < 0), -steps).otherwise(steps).cast("double") / 10 ** places
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """num / den in DOUBLE; NULL when den is 0 or NULL."""
-    return F.try_divide(num.cast("double"), F.nullif(den.cast("double"), F.lit(0.0)))
+def round2(x: Column) -> Column:
+    """A DOUBLE to 2 dp, half away from zero."""
+    x = x.cast("double")
+    return F.signum(x) * F.floor(F.abs(x) * 100 + 0.5) / 100
 
 
-def pct(num: Column, den: Column) -> Column:
-    """round2(100 * num / den); NULL when den is 0."""
-    return round2(ratio(num, den) * 100)
+def pct(num: Column, den: Column, places: int = 2) -> Column:
+    """100 * num / den, rounded; NULL when den is 0."""
+    return round_ratio(num, den, 100, places)
 
 
 def mean_exact(total: Column, n: Column) -> Column:
     """Mean from an exact sum and a count, rounded to 2 dp."""
-    return round2(ratio(total, n))
+    return round_ratio(total, n)
 
 
 def pct_or_zero(num: Column, den: Column) -> Column:
-    """Per-row percent: 0 when den == 0, NULL when an input is NULL, else round2."""
-    return (F.when(den == 0, F.lit(0.0))
-            .otherwise(round2(num.cast("double") / den.cast("double") * 100)))
+    """Per-row percent: 0 when den == 0, NULL when an input is NULL, else rounded."""
+    return F.when(den == 0, F.lit(0.0)).otherwise(pct(num, den))
 
 
 def as_money(x: Column, precision: int = 18) -> Column:

@@ -21,12 +21,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+RANGE_ROWS = 1_000_000  # rows of one range, about
+
+
+def range_count(rows: int) -> int:
+    """How many ranges so many rows are dealt to: it follows the data, not a setting."""
+    return max(1, -(-rows // RANGE_ROWS))
+
+
 def exact_quantiles(df: DataFrame, value: Column, probs: list[float]) -> list[float | None]:
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    ranged = (counts.repartitionByRange(parts, "v")
+              .groupBy("v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
+    ranged = (counts.repartitionByRange(range_count(counts.count()), "v")
               .select("v", "c", F.spark_partition_id().alias("_pid"))
               .checkpoint(eager=True))
     totals = sorted((r["_pid"], r["t"]) for r in ranged.groupBy("_pid").agg(F.sum("c").alias("t")).collect())

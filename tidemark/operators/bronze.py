@@ -7,33 +7,42 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import row_hash
-from tidemark.schemas import LINEAGE_COLUMNS, RAW_COLUMNS
+from tidemark.functions.hashing import row_digest, row_hash
+from tidemark.schemas import LINEAGE_COLUMNS, RAW_COLUMNS, ROW_COLUMNS
 
 
 def stamp_row_number(raw: DataFrame) -> DataFrame:
-    """Source order.  Applied right after a file scan it follows file order
-    (partition index, then position); it is increasing, not dense — a dense 1..n
-    would force every row through one task."""
+    """Position of a row inside the file split it was read from.
+
+    ``monotonically_increasing_id`` grows along a task's rows, and a split is read by one
+    task, so within (``_source_file``, ``_file_block``) it is the order of the file.  It is
+    not dense - a dense 1..n would force every row through one task - and across splits it
+    means nothing: Spark packs splits by size.  File order is the triple of the three.
+    """
     if "_row_number" in raw.columns:
         return raw
     return raw.withColumn("_row_number", F.monotonically_increasing_id())
 
 
 def ingest_bronze(raw: DataFrame, source_file: str, ingestion_ts: str | None = None) -> DataFrame:
-    """S2 + S3: add ``_ingestion_ts``, ``_source_file``, ``_row_number``, ``_row_hash``."""
+    """S2 + S3: add ``_ingestion_ts``, ``_source_file``, ``_row_number``, ``_row_hash`` and, of our
+    own, ``_file_block``, ``_row_digest`` and ``_row_uid`` (see ``schemas.ROW_COLUMNS``)."""
     ts = ingestion_ts or datetime.now(timezone.utc).isoformat()
-    data_cols = [c for c in raw.columns if c not in LINEAGE_COLUMNS]
+    data_cols = [c for c in raw.columns if c not in LINEAGE_COLUMNS + ROW_COLUMNS]
     hashed = [c for c in RAW_COLUMNS if c in data_cols] or data_cols
-    df = stamp_row_number(raw)
     # a per-row source (e.g. the landing file name) wins over the constant
     source = F.col("_source_file") if "_source_file" in raw.columns else F.lit(source_file)
+    block = F.col("_file_block") if "_file_block" in raw.columns else F.lit(0)
+    df = stamp_row_number(raw).withColumn("_row_digest", row_digest(hashed))
     return df.select(
         *[F.col(f"`{c}`") for c in data_cols],
         F.lit(ts).alias("_ingestion_ts"),
         source.alias("_source_file"),
         F.col("_row_number").cast("bigint").alias("_row_number"),
-        row_hash(hashed).alias("_row_hash"),
+        row_hash(F.col("_row_digest")).alias("_row_hash"),
+        block.cast("bigint").alias("_file_block"),
+        "_row_digest",
+        F.monotonically_increasing_id().alias("_row_uid"),
     )
 
 
@@ -50,12 +59,14 @@ def write_bronze(bronze: DataFrame, path: str, ingest_date: str | None = None) -
 
 
 def bronze_stats(bronze: DataFrame) -> DataFrame:
-    """Rows, columns, null cells and duplicate hashes in ONE aggregation."""
-    cols = [c for c in bronze.columns if c != "_ingest_date"]
-    null_cells = sum((F.sum(F.col(f"`{c}`").isNull().cast("bigint")) for c in cols), F.lit(0))
-    return bronze.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.lit(len(cols)).cast("bigint").alias("columns"),
-        null_cells.cast("bigint").alias("null_cells"),
-        (F.count(F.lit(1)) - F.count_distinct("_row_hash")).alias("duplicate_hashes"),
-    )
+    """Rows, columns, null cells and duplicate rows (by the full digest).
+
+    The distinct count is an aggregate of its own over one column; next to it the other
+    counters would all be shuffled by the digest.
+    """
+    cols = [c for c in bronze.columns if c not in ["_ingest_date", *ROW_COLUMNS]]
+    null_cells = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in cols), F.lit(0))
+    distinct = bronze.agg(F.count_distinct("_row_digest")).scalar()
+    return bronze.agg(F.count(F.lit(1)).alias("rows"), null_cells.cast("bigint").alias("null_cells")).select(
+        "rows", F.lit(len(cols)).cast("bigint").alias("columns"), "null_cells",
+        (F.col("rows") - distinct).alias("duplicate_hashes"))

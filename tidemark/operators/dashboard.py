@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import sized_broadcast
+from tidemark.functions.numeric import mean_exact, pct
 
+# The columns of each dimension in the denormalised star.
 DENORM_DIM_COLUMNS = {
     "dim_date": ["full_date", "year", "quarter", "month", "month_name", "day", "day_of_week", "week_of_year"],
     "dim_customer": ["customer_fname", "customer_lname", "customer_segment", "customer_city",
@@ -25,41 +26,42 @@ DIM_KEYS = {"dim_date": "date_id", "dim_customer": "customer_id", "dim_product":
 def denormalised(tables: dict[str, DataFrame], dims: list[str] | None = None) -> DataFrame:
     """Fact LEFT JOIN each dimension on its key (``dims``: only those).
 
-    Dimensions below the broadcast bound are broadcast (checked by count); a large
-    customer or product dimension falls back to a shuffle join.  Catalyst cannot
-    drop an unused LEFT join (it does not know the dimension key is unique), so a
-    caller that reads no column of a dimension leaves it out.
+    AQE broadcasts a dimension that is small in bytes; only the modes x statuses are
+    small by definition.  Catalyst cannot drop an unused LEFT join (it does not know the
+    dimension key is unique), so a caller that reads no column of a dimension leaves it out.
     """
     df = tables["fact_sales"]
     for dim, key in DIM_KEYS.items():
         if dims is not None and dim not in dims:
             continue
         d = tables[dim].select(key, *DENORM_DIM_COLUMNS[dim])
-        df = df.join(sized_broadcast(d), key, "left")
+        df = df.join(F.broadcast(d) if dim == "dim_shipping" else d, key, "left")
     return df
 
 
 class Slice:
-    """The four multi-selects (None = every value).  Rows with a NULL in a
+    """The four multi-selects (None = no restriction).  Rows with a NULL in a
     filtered column never match (``isin`` of the listed values)."""
 
     def __init__(self, years=None, markets=None, segments=None, modes=None):
-        self.years, self.markets, self.segments, self.modes = years, markets, segments, modes
+        self.selected = {"year": years, "market": markets, "customer_segment": segments, "shipping_mode": modes}
 
     def apply(self, df: DataFrame) -> DataFrame:
-        cond = F.lit(True)
-        for col, sel in [("year", self.years), ("market", self.markets),
-                         ("customer_segment", self.segments), ("shipping_mode", self.modes)]:
-            cond = cond & (F.col(col).isNotNull() if sel is None else F.col(col).isin(list(sel)))
-        return df.filter(cond)
+        for col, values in self.selected.items():
+            if values is not None:
+                df = df.filter(F.col(col).isin(list(values)))
+        return df
 
 
-def distinct_values(df: DataFrame) -> DataFrame:
-    """Sorted distinct non-NULL values of the four filter columns, as one frame."""
+def distinct_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """Sorted distinct non-NULL values of the four filter columns that occur with a
+    fact, as one frame: each dimension is semi-joined with the fact's keys alone."""
     out = None
-    for col in ["year", "market", "customer_segment", "shipping_mode"]:
-        v = (df.select(F.lit(col).alias("filter"), F.col(col).cast("string").alias("value"))
-             .dropna().distinct())
+    for col, dim in [("year", "dim_date"), ("market", "dim_location"), ("customer_segment", "dim_customer"),
+                     ("shipping_mode", "dim_shipping")]:
+        key = DIM_KEYS[dim]
+        used = tables[dim].select(key, col).join(tables["fact_sales"].select(key).distinct(), key, "left_semi")
+        v = used.select(F.lit(col).alias("filter"), F.col(col).cast("string").alias("value")).dropna().distinct()
         out = v if out is None else out.unionByName(v)
     return out.orderBy("filter", "value")
 
@@ -74,13 +76,12 @@ def dash_kpis(s: DataFrame) -> DataFrame:
     customers = s.agg(F.count_distinct("customer_id")).scalar()
     a = s.agg(F.sum("sales").alias("rev"), F.sum("order_profit_per_order").alias("profit"),
               F.sum(F.col("is_late").cast("bigint")).alias("late"), F.count(F.lit(1)).alias("n"))
-    from tidemark.functions.numeric import ratio, round2
     return a.select(
         F.coalesce(F.col("rev"), F.lit(0)).cast("double").alias("total_revenue"),
         orders.alias("total_orders"),
-        F.when(orders > 0, round2(ratio(F.col("rev"), orders))).otherwise(0.0).alias("avg_order_value"),
+        F.when(orders > 0, mean_exact(F.col("rev"), orders)).otherwise(0.0).alias("avg_order_value"),
         F.coalesce(F.col("profit"), F.lit(0)).cast("double").alias("total_profit"),
-        F.when(F.col("n") > 0, round2(ratio(F.col("late"), F.col("n")) * 100)).otherwise(0.0).alias("late_pct"),
+        F.when(F.col("n") > 0, pct(F.col("late"), F.col("n"))).otherwise(0.0).alias("late_pct"),
         customers.alias("total_customers"))
 
 
@@ -105,7 +106,6 @@ def dash_market(s: DataFrame) -> DataFrame:
 
 def dash_late_by_mode(s: DataFrame) -> DataFrame:
     """A21."""
-    from tidemark.functions.numeric import pct
     return (s.groupBy("shipping_mode")
             .agg(F.count("order_item_id").alias("total"), F.sum(F.col("is_late").cast("bigint")).alias("late"))
             .withColumn("late_pct", pct(F.col("late"), F.col("total"))))
@@ -145,16 +145,25 @@ def dash_geo(s: DataFrame) -> DataFrame:
 
 
 def margin_histogram(s: DataFrame, lo: float = -200.0, hi: float = 200.0, bins: int = 60) -> DataFrame:
-    """Equal-width bins over [lo, hi]; the upper edge falls in the last bin."""
-    x = F.col("profit_margin_pct")
-    b = F.least(F.floor((x - lo) * bins / (hi - lo)).cast("int") + 1, F.lit(bins))
+    """Equal-width bins over [lo, hi]; the upper edge falls in the last bin.
+
+    Bin 0 counts what lies below the range and bin ``bins + 1`` what lies above (no start /
+    no end), the NULL bin rows without a margin: the counts add up to the rows.
+    """
+    x, bin_no = F.col("profit_margin_pct"), F.col("bin")
+    inside = F.least(F.floor((x - lo) * bins / (hi - lo)).cast("int") + 1, F.lit(bins))
+    b = F.when(x < lo, F.lit(0)).when(x > hi, F.lit(bins + 1)).otherwise(inside)
     width = (hi - lo) / bins
-    return (s.filter(x.between(lo, hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-            .select("bin", (F.lit(lo) + (F.col("bin") - 1) * width).alias("bin_start"),
-                    (F.lit(lo) + F.col("bin") * width).alias("bin_end"), "count"))
+    return (s.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+            .select("bin", F.when(bin_no > 0, F.lit(lo) + (bin_no - 1) * width).alias("bin_start"),
+                    F.when(bin_no <= bins, F.when(bin_no == 0, F.lit(lo)).otherwise(F.lit(lo) + bin_no * width)).alias("bin_end"),
+                    "count"))
 
 
 def delay_histogram(s: DataFrame, lo: int = -10, hi: int = 10) -> DataFrame:
-    """One bin per whole day of delay in [lo, hi], split by is_late."""
-    return (s.filter(F.col("delivery_delay_days").between(lo, hi))
-            .groupBy("delivery_delay_days", "is_late").agg(F.count(F.lit(1)).alias("count")))
+    """One bin per whole day of delay in [lo, hi], split by is_late; delays outside count
+    under ``position`` below / above, rows without a delay under none."""
+    x = F.col("delivery_delay_days")
+    position = F.when(x.isNull(), "none").when(x < lo, "below").when(x > hi, "above").otherwise("in range")
+    return (s.groupBy(position.alias("position"), F.when(x.between(lo, hi), x).alias("delivery_delay_days"), "is_late")
+            .agg(F.count(F.lit(1)).alias("count")))

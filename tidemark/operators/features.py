@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import pct_or_zero, round2
+from tidemark.functions.numeric import mean_exact, pct_or_zero
 
 
 def add_features(silver: DataFrame) -> DataFrame:
@@ -24,18 +24,18 @@ def add_features(silver: DataFrame) -> DataFrame:
         "profit_margin_pct": pct_or_zero(F.col("order_profit_per_order"), F.col("sales")),
         "discount_pct": pct_or_zero(F.col("order_item_discount"), F.col("order_item_product_price")),
         "revenue_per_item": F.when(F.col("order_item_quantity") == 0, F.lit(0.0))
-                             .otherwise(round2(F.col("sales").cast("double")
-                                               / F.col("order_item_quantity").cast("double"))),
+                             .otherwise(mean_exact(F.col("sales"), F.col("order_item_quantity"))),
     })
 
 
 def customer_metrics(df: DataFrame) -> DataFrame:
     """One row per customer: CLV (sum), AOV (mean), distinct orders, repeat flag.
+    Rows without a customer form no customer.
 
     One ``groupBy`` (partial aggregation, one shuffle on customer_id); Spark has no
     DISTINCT window aggregate, so this is joined back where rows need it (J6).
     """
-    return (df.groupBy("customer_id")
+    return (df.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
             .agg(F.sum("sales").alias("_clv"), F.count("sales").alias("_n"),
                  F.count_distinct("order_id").alias("order_count"))
             .select("customer_id",

@@ -2,7 +2,7 @@
 
 Conventions (see README): NULL group keys are dropped (pandas ``groupby``); money
 sums are exact DECIMAL sums emitted as DOUBLE; means are exact sum / count rounded
-half-up to 2 dp; distinct counts are exact.
+half away from zero to 2 dp; distinct counts are exact.
 """
 
 from __future__ import annotations
@@ -38,10 +38,9 @@ def mom_growth(df: DataFrame, value: str, order: list[str], alias: str) -> DataF
     The window has no partition key: its input is one row per month, bounded by
     the calendar, not by the data volume.
     """
-    w = Window.orderBy(*order)
-    prev = F.lag(value).over(w)
-    growth = (F.col(value).cast("double") / F.nullif(prev.cast("double"), F.lit(0.0)) - 1) * 100
-    return df.withColumn(alias, round2(growth))
+    now = as_money(F.col(value), 28)
+    prev = as_money(F.lag(value).over(Window.orderBy(*order)), 28)
+    return df.withColumn(alias, pct(now - prev, prev))
 
 
 def monthly_revenue(prep: DataFrame) -> DataFrame:

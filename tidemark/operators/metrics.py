@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import nan_to_null, ratio, round1, round2
+from tidemark.functions.numeric import mean_exact, nan_to_null, pct, round2
 from tidemark.schemas import KPI_TARGETS
 
 MONTHLY_TARGET = 1_000_000.0
@@ -39,13 +39,13 @@ def kpi_summary(monthly: DataFrame, risk: DataFrame, customers: DataFrame) -> Da
                     F.sum("total_orders").cast("bigint").alias("orders"),
                     F.sum(_dec("total_profit")).alias("profit"))
     return m.select(
-        round2(F.col("rev")).alias("total_revenue"),
+        F.col("rev").cast("double").alias("total_revenue"),
         F.col("orders").alias("total_orders"),
-        F.when(F.col("orders") > 0, round2(ratio(F.col("rev"), F.col("orders")))).otherwise(0.0).alias("avg_order_value"),
-        round2(F.col("profit")).alias("total_profit"),
+        F.when(F.col("orders") > 0, mean_exact(F.col("rev"), F.col("orders"))).otherwise(0.0).alias("avg_order_value"),
+        F.col("profit").cast("double").alias("total_profit"),
         n_customers.alias("total_customers"),
-        F.when(ships > 0, round1(ratio(late, ships) * 100)).otherwise(0.0).alias("late_pct"),
-        F.when(F.col("rev") != 0, round1(ratio(F.col("profit"), F.col("rev")) * 100)).otherwise(0.0)
+        F.when(ships > 0, pct(late, ships, 1)).otherwise(0.0).alias("late_pct"),
+        F.when(F.col("rev") != 0, pct(F.col("profit"), F.col("rev"), 1)).otherwise(0.0)
          .alias("profit_margin"),
     )
 
@@ -54,18 +54,18 @@ def market_rollup(market_perf: DataFrame) -> DataFrame:
     """Per market; orders summed over countries (an order spanning countries
     counts once per country); late % is the UNWEIGHTED mean of the rounded rates."""
     return (market_perf.groupBy("market")
-            .agg(round2(F.sum(_dec("total_revenue"))).alias("total_revenue"),
+            .agg(F.sum(_dec("total_revenue")).cast("double").alias("total_revenue"),
                  F.sum("total_orders").cast("bigint").alias("total_orders"),
-                 round2(ratio(F.sum(_dec("late_pct")), F.count("late_pct"))).alias("late_pct"))
+                 mean_exact(F.sum(_dec("late_pct")), F.count("late_pct")).alias("late_pct"))
             .orderBy(F.desc("total_revenue"), "market"))
 
 
 def category_rollup(product_perf: DataFrame) -> DataFrame:
     """Per category; margin is the unweighted mean of the product margins."""
     return (product_perf.groupBy("category_name")
-            .agg(round2(F.sum(_dec("total_revenue"))).alias("total_revenue"),
+            .agg(F.sum(_dec("total_revenue")).cast("double").alias("total_revenue"),
                  F.sum("units_sold").cast("bigint").alias("units_sold"),
-                 round2(ratio(F.sum(_dec("avg_margin_pct")), F.count("avg_margin_pct"))).alias("avg_margin_pct"))
+                 mean_exact(F.sum(_dec("avg_margin_pct")), F.count("avg_margin_pct")).alias("avg_margin_pct"))
             .orderBy(F.desc("total_revenue"), "category_name"))
 
 
@@ -74,7 +74,7 @@ def mode_risk_rollup(risk: DataFrame) -> DataFrame:
     out = (risk.groupBy("shipping_mode")
            .agg(F.sum("total_shipments").cast("bigint").alias("total"),
                 F.sum("late_shipments").cast("bigint").alias("late")))
-    out = out.withColumn("late_pct", round2(ratio(F.col("late"), F.col("total")) * 100))
+    out = out.withColumn("late_pct", pct(F.col("late"), F.col("total")))
     return out.withColumn("risk_band", risk_band(F.col("late_pct")))
 
 
@@ -83,7 +83,7 @@ def status_share(risk: DataFrame) -> DataFrame:
     grand = risk.agg(F.sum("total_shipments")).scalar()
     return (risk.groupBy("delivery_status")
             .agg(F.sum("total_shipments").cast("bigint").alias("shipments"))
-            .withColumn("share_pct", round2(ratio(F.col("shipments"), grand) * 100))
+            .withColumn("share_pct", pct(F.col("shipments"), grand))
             .orderBy(F.desc("shipments"), "delivery_status"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.quantiles import exact_quantiles
@@ -11,7 +11,10 @@ from tidemark.schemas import (DATE_COLUMNS, ID_COLUMNS, MONEY, NULL_FILLS, NUMER
                               OTHER_NUMERIC, RAW_DATE_FORMAT, RENAME_MAP, SALES_TRIM_BAND,
                               SILVER_DROP, STRING_COLUMNS)
 
-BRONZE_ONLY = ["_ingestion_ts", "_source_file", "_ingest_date"]
+BRONZE_ONLY = ["_ingest_date"]
+# First seen: the earliest ingest, then file, split and position; equal positions by content.
+FILE_ORDER = ["_ingestion_ts", "_source_file", "_file_block", "_row_number", "_row_digest"]
+ROW_ID = ["_ingestion_ts", "_row_uid"]
 
 
 def q(name: str):
@@ -54,17 +57,28 @@ def drop_bad_dates(df: DataFrame, col: str = "order_date") -> DataFrame:
 
 
 def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """One row per ``key``, the first by ``order_cols``.
+    """One row per ``key``, the first by ``order_cols``; NULL keys form one group (as
+    pandas ``duplicated`` does).
 
-    A hash aggregate of ``min(struct(order..., row...))``: partial aggregation on
-    the map side collapses duplicates before the shuffle, so a key holding a third
-    of all rows costs one row per map task, not one giant sorted window group.
-    NULL keys form one group (as pandas ``duplicated`` does).
+    ``row_number = 1`` plans a group limit on the map side, so a key holding a third of all
+    rows sends one row per map task.  Rows are sorted by the key: give this few columns
+    (``first_rows`` does, for wide rows).
     """
-    rest = [c for c in df.columns if c not in order_cols]
-    packed = F.struct(*[q(c) for c in order_cols], *[q(c) for c in rest]).alias("_r")
-    return (df.groupBy(q(key).alias("_k")).agg(F.min(packed).alias("_r"))
-            .select(*[F.col("_r").getField(c).alias(c) for c in df.columns]))
+    w = Window.partitionBy(q(key)).orderBy(*[q(c) for c in order_cols])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def first_rows(df: DataFrame, key: str, *also: str) -> DataFrame:
+    """The first row of each key in file order, as (key, order columns, row id, ``also``): a
+    narrow table, written once (checkpoint), for picking the wide rows and for the bounds."""
+    cols = list(dict.fromkeys([key, *FILE_ORDER, *ROW_ID, *also]))
+    narrow = df.select(*[q(c) for c in cols])
+    return dedup_keep_first(narrow, key, [*FILE_ORDER, "_row_uid"]).checkpoint(eager=True)
+
+
+def pick_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The wide rows whose ids are in ``rows``: a hash semi-join, the wide side is not sorted."""
+    return df.join(rows.select(*ROW_ID).hint("shuffle_hash"), ROW_ID, "left_semi").select(*[q(c) for c in df.columns])
 
 
 def fill_nulls(df: DataFrame, fills: dict | None = None) -> DataFrame:
@@ -85,17 +99,13 @@ def percentile_bounds(df: DataFrame, col: str, band=SALES_TRIM_BAND) -> tuple[fl
     return lo, hi
 
 
-def percentile_trim(df: DataFrame, col: str = "Sales", band=SALES_TRIM_BAND,
-                    bounds_from: DataFrame | None = None) -> DataFrame:
+def percentile_trim(df: DataFrame, col: str = "Sales", band=SALES_TRIM_BAND) -> DataFrame:
     """Keep lo <= x <= hi (inclusive); NULL x is dropped.
 
-    The bounds are two numbers from a distributed exact selection; the main frame is
-    filtered with them as literals (no join, no repeated subquery).  ``bounds_from``
-    may be a narrower frame holding the same values of ``col`` (e.g. the dedup run
-    on just the key, order and ``col`` columns) so the bounds do not repeat the
-    full-width work.
+    The bounds are two numbers from a distributed exact selection; the frame is filtered
+    with them as literals (no join, no repeated subquery).
     """
-    lo, hi = percentile_bounds(bounds_from if bounds_from is not None else df, col, band)
+    lo, hi = percentile_bounds(df, col, band)
     x = q(col).cast("double")
     if lo is None:  # no non-NULL value: every row fails the comparison, as in pandas
         return df.filter(F.lit(False))
@@ -112,16 +122,11 @@ def rename_to_snake(df: DataFrame) -> DataFrame:
 def refine_silver(bronze: DataFrame, band=SALES_TRIM_BAND) -> DataFrame:
     """Bronze -> Silver, in the reference's order of steps.
 
-    ``_row_number`` / ``_row_hash`` are kept: they define "first seen" for the
+    One narrow pass picks the surviving row of each order item; the trim bounds come from
+    the same table.  The columns of FILE_ORDER are kept: they define "first seen" for the
     customer and product dimensions.
     """
-    key, order = "Order Item Id", ["_row_number", "_row_hash"]
     typed = drop_bad_dates(parse_dates(enforce_types(drop_columns(bronze, SILVER_DROP + BRONZE_ONLY))))
-    df = dedup_keep_first(typed, key, order)
-    df = fill_nulls(df)
-    df = normalise_strings(df)
-    # same surviving row per key, so the same Sales values, on 4 columns instead of ~50
-    narrow = dedup_keep_first(typed.select(q(key), *order, q("Sales")), key, order)
-    df = percentile_trim(df, "Sales", band, bounds_from=narrow)
-    df = df.withColumn("_silver_processed", F.lit(True))
-    return rename_to_snake(df)
+    first = percentile_trim(first_rows(typed, "Order Item Id", "Sales"), "Sales", band)
+    df = normalise_strings(fill_nulls(pick_rows(typed, first)))
+    return rename_to_snake(df.drop("_row_uid").withColumn("_silver_processed", F.lit(True)))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.quantiles import range_count
 from tidemark.operators.features import customer_metrics
-from tidemark.plans.joins import sized_broadcast
 from tidemark.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
-FIRST_SEEN = ["_row_number", "_row_hash"]
+FIRST_SEEN = ["_ingestion_ts", "_source_file", "_file_block", "_row_number", "_row_digest"]
 
+# The columns of the star tables.
 CUSTOMER_ATTRS = ["customer_fname", "customer_lname", "customer_segment", "customer_city",
                   "customer_state", "customer_country", "customer_zipcode"]
 PRODUCT_ATTRS = ["product_name", "product_price", "category_id", "category_name",
@@ -46,7 +47,7 @@ def first_seen(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
 def dim_customer(prep: DataFrame) -> DataFrame:
     """First-seen customer attributes + CLV, AOV, distinct orders, repeat flag."""
     attrs = first_seen(prep, "customer_id", CUSTOMER_ATTRS)
-    metrics = customer_metrics(prep.filter(F.col("customer_id").isNotNull()))
+    metrics = customer_metrics(prep)
     return (attrs.join(metrics, "customer_id")
             .select("customer_id", *CUSTOMER_ATTRS,
                     F.col("customer_lifetime_value").cast("double").alias("customer_lifetime_value"),
@@ -71,10 +72,9 @@ def _surrogate(df: DataFrame, id_col: str, natural: list[str]) -> DataFrame:
     The tagged rows are checkpointed (to ``spark.checkpoint.dir``) so the counts and
     the numbering see the same partitioning.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in natural]
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = df.select(*natural).checkpoint(eager=True)
+    tagged = (rows.repartitionByRange(range_count(rows.count()), *order).sortWithinPartitions(*order)
               .select(*natural, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mono"))
               .checkpoint(eager=True))
@@ -83,7 +83,7 @@ def _surrogate(df: DataFrame, id_col: str, natural: list[str]) -> DataFrame:
                .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (tagged.join(F.broadcast(offsets), "_pid")  # one row per partition
-            .select((F.col("_off") + local + 1).cast("int").alias(id_col), *natural))
+            .select((F.col("_off") + local + 1).alias(id_col), *natural))
 
 
 def dim_date(prep: DataFrame) -> DataFrame:
@@ -118,14 +118,14 @@ def fact_sales(prep: DataFrame, dates: DataFrame, locations: DataFrame, shipping
     loc_lookup = (locations.groupBy(*LOCATION_KEY).agg(F.max("location_id").alias("location_id")))
     date_lookup = dates.select(F.col("full_date").alias("_d"), "date_id")
     ship_lookup = shipping.select(*[F.col(c).alias("_s_" + c) for c in SHIPPING_COLS], "shipping_id")
-    f = prep.join(sized_broadcast(date_lookup), F.to_date(prep.order_date) == F.col("_d"), "left")
-    ll = sized_broadcast(loc_lookup.select(*[F.col(c).alias("_l_" + c) for c in LOCATION_KEY], "location_id"))
+    f = prep.join(date_lookup, F.to_date(prep.order_date) == F.col("_d"), "left")
+    ll = loc_lookup.select(*[F.col(c).alias("_l_" + c) for c in LOCATION_KEY], "location_id")
     cond = None
     for c in LOCATION_KEY:
         e = f[c].eqNullSafe(ll["_l_" + c])
         cond = e if cond is None else cond & e
     f = f.join(ll, cond, "left")
-    sl = sized_broadcast(ship_lookup)
+    sl = F.broadcast(ship_lookup)  # modes x statuses: bounded by their domains
     cond = None
     for c in SHIPPING_COLS:
         e = f[c].eqNullSafe(sl["_s_" + c])
@@ -162,13 +162,14 @@ def fk_check(tables: dict[str, DataFrame]) -> DataFrame:
         parts.append(orphans.select(F.lit("foreign_key").alias("check"), F.lit("fact_sales").alias("table_name"),
                                     F.lit(fk).alias("column_name"), "violations"))
     for tbl, pk in PRIMARY_KEYS.items():
-        dups = (tables[tbl].groupBy(pk).count().filter(F.col("count") > 1)
-                .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("violations")))
-        nulls = tables[tbl].agg(F.count_if(F.col(pk).isNull()).alias("violations"))
-        parts.append(dups.select(F.lit("primary_key_unique").alias("check"), F.lit(tbl).alias("table_name"),
-                                 F.lit(pk).alias("column_name"), "violations"))
-        parts.append(nulls.select(F.lit("primary_key_not_null").alias("check"), F.lit(tbl).alias("table_name"),
-                                  F.lit(pk).alias("column_name"), "violations"))
+        # one pass per table: rows per key, then duplicates and NULLs from the same counts
+        found = tables[tbl].groupBy(F.col(pk).alias("k")).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dups"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("nulls"))
+        parts.append(found.select(F.inline(F.array(*[
+            F.struct(F.lit(check).alias("check"), F.lit(tbl).alias("table_name"), F.lit(pk).alias("column_name"),
+                     F.col(c).alias("violations"))
+            for check, c in (("primary_key_unique", "dups"), ("primary_key_not_null", "nulls"))]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

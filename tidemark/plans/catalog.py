@@ -17,6 +17,9 @@ from tidemark.plans import layers
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# kept in Silver for "first seen", left out of what queries show
+ORDER_COLUMNS = ["_ingestion_ts", "_source_file", "_file_block", "_row_digest"]
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -41,14 +44,14 @@ for _key, _table in [("monthly_revenue", "gold_monthly_revenue"),
 
 @register("silver")
 def silver(spark, sf_dir):
-    """The Silver table as written."""
-    return layers.silver(spark, sf_dir)
+    """The Silver table as written, without the columns that only order rows."""
+    return layers.silver(spark, sf_dir).drop(*ORDER_COLUMNS)
 
 
 @register("bronze_ingest")
 def bronze_ingest(spark, sf_dir):
     """Bronze rows (raw text + row number + hash); run-specific stamps left out."""
-    return layers.bronze(spark, sf_dir).drop("_ingestion_ts", "_source_file", "_ingest_date")
+    return layers.bronze(spark, sf_dir).drop(*ORDER_COLUMNS, "_row_uid", "_ingest_date")
 
 
 @register("row_hash")
@@ -73,6 +76,7 @@ def _star(name: str) -> Query:
 for _name in layers.STAR_TABLES:
     QUERIES[_name] = _star(_name)
 
+# The legacy fact table's columns.
 LEGACY_FACT_COLUMNS = [
     "order_item_id", "order_id", "customer_id", "product_card_id", "date_id", "location_id",
     "shipping_id", "order_item_quantity", "sales", "order_item_discount", "order_profit_per_order",
@@ -112,10 +116,9 @@ def integrity_anti_join(spark, sf_dir):
 
 def _fact_join(dim: str, key: str, cols: list[str]) -> Query:
     def q(spark, sf_dir):
-        from tidemark.plans.joins import sized_broadcast
         f = layers.star(spark, sf_dir, "fact_sales").select("order_item_id", key)
         d = layers.star(spark, sf_dir, dim).select(key, *cols)
-        return f.join(sized_broadcast(d), key).select("order_item_id", key, *cols)
+        return f.join(F.broadcast(d) if dim == "dim_shipping" else d, key).select("order_item_id", key, *cols)
     return q
 
 
@@ -168,27 +171,24 @@ def surrogate_keys(spark, sf_dir):
     return d.unionByName(loc).unionByName(s)
 
 
-# ---- SQL query layer (A7-A14, W1, W3, T2) ------------------------------------------
-def _sql(name: str) -> Query:
+# ---- Query layer over the star (A7-A14, W1, W3, T2) ---------------------------------
+def _analysis(name: str) -> Query:
     def q(spark, sf_dir):
-        from tidemark.plans.sql_analytics import SQL
-        layers.register_star_views(spark, sf_dir)
-        return spark.sql(SQL[name])
+        from tidemark.plans.sql_analytics import ANALYSES
+        return ANALYSES[name](layers.star_tables(spark, sf_dir))
     return q
 
 
 for _name in ["sql_monthly_trend", "sql_market_region", "sql_top_products", "sql_top_customers",
               "sql_late_delivery", "category_rank", "sql_retention", "sql_mom_growth",
               "sql_shipping_efficiency", "sql_top_countries"]:
-    QUERIES[_name] = _sql(_name)
+    QUERIES[_name] = _analysis(_name)
 
 
 @register("daily_sales_summary")
 def daily_sales_summary(spark, sf_dir):
     """The view, created as a temp view and read back."""
-    from tidemark.plans.sql_analytics import DAILY_VIEW_BODY
-    layers.register_star_views(spark, sf_dir)
-    spark.sql("CREATE OR REPLACE TEMP VIEW daily_sales_summary AS " + DAILY_VIEW_BODY)
+    _analysis("daily_sales_summary")(spark, sf_dir).createOrReplaceTempView("daily_sales_summary")
     return spark.table("daily_sales_summary")
 
 
@@ -336,52 +336,50 @@ def name_concat(spark, sf_dir):
 
 @register("available_tables")
 def available_tables(spark, sf_dir):
-    """The Gold and star tables with their row counts."""
+    """The Gold and star tables with their row counts and the ingestion time they reflect."""
+    refreshed = layers.bronze(spark, sf_dir).agg(F.max("_ingestion_ts")).scalar()
     out = None
     for n in layers.GOLD_TABLES + layers.STAR_TABLES:
         df = layers.gold(spark, sf_dir, n) if n in layers.GOLD_TABLES else layers.star(spark, sf_dir, n)
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
-    return out
+    return out.withColumn("refreshed_at", refreshed)
 
 
 # ---- Dashboard over the denormalised star (P13, P14, A18-A27, T3 dashboard form) ---
 from tidemark.operators import dashboard as D  # noqa: E402
 
-DASH_SLICE = D.Slice(years=[1996, 1997, 1998], markets=["Asia", "Europe", "America"], segments=None,
+DASH_SLICE = D.Slice(years=[1996, 1997, 1998], markets=["Asia", "Europe", "America"],
+                     segments=["Automobile", "Building", "Machinery"],
                      modes=["Standard Class", "Second Class", "First Class"])
 
 
-SLICE_DIMS = ["dim_date", "dim_customer", "dim_location", "dim_shipping"]  # the four filter columns
-
-
-def _slice(spark, sf_dir, extra_dims: tuple = ()):
-    dims = SLICE_DIMS + list(extra_dims)
-    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir), dims))
-
-
 @register("dashboard_slice")
 def dashboard_slice(spark, sf_dir):
-    """P13."""
-    return _slice(spark, sf_dir).select("order_item_id", "year", "market", "customer_segment",
-                                        "shipping_mode", "sales")
+    """The one query that slices; it joins the dimensions of the four filter columns."""
+    dims = ["dim_date", "dim_customer", "dim_location", "dim_shipping"]
+    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir), dims)).select(
+        "order_item_id", "year", "market", "customer_segment", "shipping_mode", "sales")
 
 
 @register("distinct_values")
 def distinct_values(spark, sf_dir):
     """P14."""
-    return D.distinct_values(D.denormalised(layers.star_tables(spark, sf_dir)))
+    return D.distinct_values(layers.star_tables(spark, sf_dir))
 
 
-_PRODUCT = ("dim_product",)
-for _name, _fn, _extra in [("dash_kpis", D.dash_kpis, ()), ("dash_monthly", D.dash_monthly, ()),
-                           ("dash_market", D.dash_market, ()), ("dash_late_by_mode", D.dash_late_by_mode, ()),
-                           ("dash_category", D.dash_category, _PRODUCT),
-                           ("dash_top_products", D.dash_top_products, _PRODUCT),
-                           ("dash_status_counts", D.dash_status_counts, ()), ("dash_segment", D.dash_segment, ()),
-                           ("dash_geo", D.dash_geo, ()), ("margin_histogram", D.margin_histogram, ()),
-                           ("delay_histogram", D.delay_histogram, ())]:
-    QUERIES[_name] = (lambda fn, extra: (lambda spark, sf_dir: fn(_slice(spark, sf_dir, extra))))(_fn, _extra)
+# A18-A27 over the full selection, the default of every filter; each joins what it reads.
+for _name, _fn, _dims in [("dash_kpis", D.dash_kpis, []), ("dash_monthly", D.dash_monthly, ["dim_date"]),
+                          ("dash_market", D.dash_market, ["dim_location"]),
+                          ("dash_late_by_mode", D.dash_late_by_mode, ["dim_shipping"]),
+                          ("dash_category", D.dash_category, ["dim_product"]),
+                          ("dash_top_products", D.dash_top_products, ["dim_product"]),
+                          ("dash_status_counts", D.dash_status_counts, ["dim_shipping"]),
+                          ("dash_segment", D.dash_segment, ["dim_customer"]),
+                          ("dash_geo", D.dash_geo, ["dim_location"]),
+                          ("margin_histogram", D.margin_histogram, []), ("delay_histogram", D.delay_histogram, [])]:
+    QUERIES[_name] = (lambda fn, dims: (lambda spark, sf_dir: fn(
+        D.denormalised(layers.star_tables(spark, sf_dir), dims))))(_fn, _dims)
 
 
 # ---- Validation (V1-V9) --------------------------------------------------------------
@@ -391,14 +389,11 @@ from tidemark.operators import validate as V  # noqa: E402
 @register("issue_report")
 def issue_report(spark, sf_dir):
     """V8: the whole report (V1-V7 rows)."""
-    return V.issue_report(layers.raw(spark, sf_dir).drop("_row_number"))
+    return V.issue_report(layers.raw(spark, sf_dir))
 
 
-for _key, _check in [("missing_values", "missing_values"), ("duplicates", "duplicates"),
-                     ("negative_price", "negative_price"), ("negative_sales", "negative_sales"),
-                     ("invalid_date", "invalid_date"), ("null_customer_id", "null_customer_id"),
-                     ("unknown_delivery_status", "unknown_delivery_status")]:
-    QUERIES[_key] = (lambda c: (lambda spark, sf_dir: issue_report(spark, sf_dir).filter(F.col("check") == c)))(_check)
+for _check in V.CHECKS:   # each builds its own counters only
+    QUERIES[_check] = (lambda c: (lambda spark, sf_dir: V.issue_report(layers.raw(spark, sf_dir), [c])))(_check)
 
 
 @register("total_issues")
@@ -409,7 +404,7 @@ def total_issues(spark, sf_dir):
 
 # ---- Cleaning steps one by one (P1-P12) --------------------------------------------
 from tidemark.operators import silver as S  # noqa: E402
-from tidemark.schemas import (ID_COLUMNS, NUMERIC_TYPES, RAW_COLUMNS, RENAME_MAP,  # noqa: E402
+from tidemark.schemas import (ID_COLUMNS, NUMERIC_TYPES, RENAME_MAP,  # noqa: E402
                               SILVER_DROP, STRING_COLUMNS)
 from tidemark.functions.text import normalise, snake_case_name  # noqa: E402
 
@@ -469,20 +464,21 @@ def drop_bad_dates(spark, sf_dir):
                  F.count_if(F.col("order_date").isNotNull()).alias("rows_after"))
 
 
-def _deduped(spark, sf_dir):
-    return S.dedup_keep_first(S.drop_bad_dates(_typed(spark, sf_dir)), "Order Item Id", ["_row_number", "_row_hash"])
+def _first(spark, sf_dir, *also):
+    return S.first_rows(S.drop_bad_dates(_typed(spark, sf_dir)), "Order Item Id", *also)
 
 
 @register("dedup_keep_first")
 def dedup_keep_first(spark, sf_dir):
     """Which row survives per order item id."""
-    return _deduped(spark, sf_dir).select(F.col("`Order Item Id`").alias("order_item_id"), "_row_number", "_row_hash")
+    rows = S.pick_rows(S.drop_bad_dates(_typed(spark, sf_dir)), _first(spark, sf_dir))
+    return rows.select(F.col("`Order Item Id`").alias("order_item_id"), "_row_number", "_row_hash")
 
 
 @register("null_fill")
 def null_fill(spark, sf_dir):
     """P9."""
-    d = S.fill_nulls(_deduped(spark, sf_dir))
+    d = S.fill_nulls(S.pick_rows(S.drop_bad_dates(_typed(spark, sf_dir)), _first(spark, sf_dir)))
     return d.select(F.col("`Order Item Id`").alias("order_item_id"), F.col("`Customer Lname`").alias("customer_lname"),
                     F.col("`Customer Zipcode`").alias("customer_zipcode"),
                     F.col("`Order Zipcode`").alias("order_zipcode"))
@@ -492,18 +488,14 @@ def null_fill(spark, sf_dir):
 def string_normalise(spark, sf_dir):
     """P10: every distinct raw value of the 15 string columns and its normal form."""
     r = layers.raw(spark, sf_dir)
-    out = None
-    for c in STRING_COLUMNS:
-        v = r.select(F.lit(c).alias("column_name"), r[f"`{c}`"].alias("raw_value")).distinct()
-        v = v.withColumn("normalised", normalise(F.col("raw_value")))
-        out = v if out is None else out.unionByName(v)
-    return out
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), r[f"`{c}`"].alias("raw_value")) for c in STRING_COLUMNS])
+    return r.select(F.inline(pairs)).distinct().withColumn("normalised", normalise(F.col("raw_value")))
 
 
 @register("percentile_trim")
 def percentile_trim(spark, sf_dir):
     """The exact 1 % / 99 % bounds of Sales and the rows kept between them."""
-    d = S.normalise_strings(S.fill_nulls(_deduped(spark, sf_dir)))
+    d = _first(spark, sf_dir, "Sales")
     lo, hi = S.percentile_bounds(d, "Sales")
     x = F.col("Sales").cast("double")
     # reported at 6 dp: engines interpolate with different (equally exact) formulas
@@ -516,7 +508,7 @@ def percentile_trim(spark, sf_dir):
 @register("audit_flag")
 def audit_flag(spark, sf_dir):
     """Silver rows, NULL cells, and whether every row carries the flag."""
-    s = layers.silver(spark, sf_dir)
+    s = silver(spark, sf_dir)
     nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in s.columns), F.lit(0))
     return s.agg(F.count(F.lit(1)).alias("rows"), nulls.cast("bigint").alias("null_cells"),
                  F.bool_and("_silver_processed").alias("all_processed"))
@@ -554,11 +546,14 @@ def distinct_rows(spark, sf_dir):
 
 @register("union_rerun")
 def union_rerun(spark, sf_dir):
-    """A second ingest of the same rows (Bronze unioned with itself) refines to the
-    same Silver: the Order Item Id dedup absorbs the copies."""
-    from tidemark.operators.silver import refine_silver
-    b = layers.bronze(spark, sf_dir)
-    return refine_silver(b.unionByName(b))
+    """Two ingests unioned and refined: the first misses the debit payments, the second, a day
+    later, has every row with another status and at earlier places.  First seen goes by ingest
+    before place, so the second adds the debits and changes nothing else."""
+    first = layers.bronze(spark, sf_dir).drop("_ingest_date")
+    second = first.withColumns({
+        "_ingestion_ts": F.lit("9999-12-31T00:00:00"), "_row_number": F.col("_row_number") - 1_000_000_000_000,
+        "Order Status": F.concat(F.col("Order Status"), F.lit(" again"))})
+    return S.refine_silver(first.filter(F.col("Type") != "DEBIT").unionByName(second)).drop(*ORDER_COLUMNS)
 
 
 # ---- Sources and sinks (S1, S7-S9, S11), streaming ingest (X1) ------------------------
@@ -577,40 +572,44 @@ def csv_scan(spark, sf_dir):
 def csv_sink(spark, sf_dir):
     """A Gold table written as CSV and read back with its schema."""
     g = layers.gold(spark, sf_dir, "gold_product_performance")
-    path = layers.scratch(spark, sf_dir, "csv_sink")
-    CSV.write_csv(g, path)
-    return CSV.read_csv(spark, path, g.schema)
+    return CSV.read_csv(spark, layers.output(spark, sf_dir, "csv_sink", lambda path: CSV.write_csv(g, path)), g.schema)
 
 
 @register("gold_export")
 def gold_export(spark, sf_dir):
     """The whitelisted export of ``late_delivery_risk`` read back."""
     g = layers.gold(spark, sf_dir, "gold_late_delivery_risk")
-    path = CSV.export_gold(g, "late_delivery_risk", layers.scratch(spark, sf_dir, "export"))
+    path = layers.output(spark, sf_dir, "export", lambda path: CSV.export_gold(g, "late_delivery_risk", path))
     return CSV.read_csv(spark, path, g.schema)
 
 
 @register("star_load")
 def star_load(spark, sf_dir):
-    """Dimensions then fact, DDL types enforced; (table, position, rows)."""
-    from tidemark.sources.loader import load_star
-    return load_star(spark, layers.star_tables(spark, sf_dir), layers.scratch(spark, sf_dir, "warehouse"))
+    """Dimensions then fact, DDL types enforced; what each loaded column holds, read back."""
+    from tidemark.sources.loader import load_report, load_star
+    path = layers.output(spark, sf_dir, "warehouse",
+                         lambda path: load_star(spark, layers.star_tables(spark, sf_dir), path))
+    return load_report(spark, path)
 
 
 @register("run_metrics")
 def run_metrics(spark, sf_dir):
-    """Per-stage counts of the session's pipeline run."""
-    from tidemark.plans.pipeline import stage_counts
-    gold = {n: layers.gold(spark, sf_dir, n) for n in layers.GOLD_TABLES}
-    return stage_counts(layers.raw(spark, sf_dir), issue_report(spark, sf_dir), layers.bronze(spark, sf_dir),
-                        layers.silver(spark, sf_dir), gold, layers.star_tables(spark, sf_dir))
+    """Per-stage counts of the session's pipeline run, from the written ``pipeline_runs``."""
+    from tidemark.plans.pipeline import record_run, stage_counts
+
+    def build(path):
+        gold = {n: layers.gold(spark, sf_dir, n) for n in layers.GOLD_TABLES}
+        counts = stage_counts(layers.raw(spark, sf_dir), issue_report(spark, sf_dir), layers.bronze(spark, sf_dir),
+                              layers.silver(spark, sf_dir), gold, layers.star_tables(spark, sf_dir))
+        record_run(counts, path, layers.as_of(spark, sf_dir))
+    return spark.read.parquet(layers.output(spark, sf_dir, "pipeline_runs", build)).drop("run_id", "finished_at")
 
 
 @register("incremental_bronze")
 def incremental_bronze(spark, sf_dir):
-    """Landing files streamed into an append-only Bronze (availableNow trigger)."""
+    """Landing files streamed into Bronze (availableNow trigger); a second call finds nothing new."""
     from tidemark.streaming.incremental_bronze import run_incremental_bronze
-    out = layers.scratch(spark, sf_dir, "stream")
+    out = layers.output(spark, sf_dir, "stream", lambda path: None)
     run_incremental_bronze(spark, layers.landing_csv(spark, sf_dir), f"{out}/bronze", f"{out}/_checkpoint")
     b = spark.read.parquet(f"{out}/bronze")
     return b.select(*[b[f"`{c}`"] for c in _RAW])

@@ -11,9 +11,9 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import gold as gold_ops
@@ -22,28 +22,43 @@ from tidemark.operators.features import add_features
 from tidemark.operators.silver import refine_silver
 from tidemark.session import apply_base_conf, checkpoint_root
 from tidemark.sources.adapter import raw_order_items
+from tidemark.sources.driver_tables import read_table, table_path
 
 _LOCK = threading.RLock()
 _BUILT: dict[tuple, str] = {}
 
+SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 GOLD_TABLES = list(gold_ops.GOLD_BUILDERS)
 STAR_TABLES = ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]
 
 
-def _root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
-    return f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}/{tag}"
+def _version(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a source file is added, replaced or rewritten: layers of other files are not reused."""
+    paths = [table_path(sf_dir, t) for t in SOURCE_TABLES]
+    if all(os.path.exists(p) for p in paths):
+        files = [e for p in paths for e in (os.scandir(p) if os.path.isdir(p) else [p])]
+        seen = sorted((os.fspath(f), os.stat(f).st_mtime_ns, os.stat(f).st_size) for f in files)
+    else:   # a store that only Spark reads
+        seen = spark.read.format("binaryFile").load(paths).agg(
+            F.count("*"), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((sf_dir.rstrip("/"), tuple(seen))).encode()).hexdigest()[:16]
 
 
-def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+def _layer_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """The folder of a layer, built by ``build(path)`` once per session and version of the sources."""
+    version = _version(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, version, name)
     with _LOCK:
         path = _BUILT.get(key)
         if path is None:
-            path = f"{_root(spark, sf_dir)}/{name}"
+            path = f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}/{version}/{name}"
             build(path)
             _BUILT[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    return spark.read.parquet(_layer_path(spark, sf_dir, name, build))
 
 
 def reset() -> None:
@@ -51,12 +66,18 @@ def reset() -> None:
         _BUILT.clear()
 
 
+def as_of(spark: SparkSession, sf_dir: str) -> str:
+    """Ingestion time of the driver tables: their latest shipping date, so that a run can be repeated."""
+    return read_table(spark, sf_dir, "lineitem", ["l_shipdate"]).agg(
+        F.date_format(F.max("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0] or "1970-01-01T00:00:00"
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_base_conf(spark)
 
     def build(path):
         raw = raw_order_items(spark, sf_dir)
-        ts = datetime.now(timezone.utc).isoformat()
+        ts = as_of(spark, sf_dir)
         bronze_ops.write_bronze(bronze_ops.ingest_bronze(raw, f"driver-tables:{sf_dir}", ts), path, ts[:10])
     return _materialise(spark, sf_dir, "bronze", build)
 
@@ -76,7 +97,7 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     builder = gold_ops.GOLD_BUILDERS[name]
 
     def build(path):
-        builder(prep(spark, sf_dir)).coalesce(1).write.mode("overwrite").parquet(path)
+        builder(prep(spark, sf_dir)).write.mode("overwrite").parquet(path)
     return _materialise(spark, sf_dir, name, build)
 
 
@@ -106,12 +127,6 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: star(spark, sf_dir, n) for n in STAR_TABLES}
 
 
-def register_star_views(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views for the SQL query layer."""
-    for n, df in star_tables(spark, sf_dir).items():
-        df.createOrReplaceTempView(n)
-
-
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw text rows as landed (Bronze minus its run-specific lineage columns)."""
     from tidemark.schemas import RAW_COLUMNS
@@ -122,17 +137,9 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_csv(spark: SparkSession, sf_dir: str) -> str:
     """The raw rows written once as a latin1 landing CSV folder (input of S1 / X1)."""
     from tidemark.sources.csv_source import write_raw_csv
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "landing")
-    with _LOCK:
-        path = _BUILT.get(key)
-        if path is None:
-            path = f"{_root(spark, sf_dir)}/landing"
-            write_raw_csv(raw(spark, sf_dir), path)
-            _BUILT[key] = path
-    return path
+    return _layer_path(spark, sf_dir, "landing", lambda path: write_raw_csv(raw(spark, sf_dir), path))
 
 
-def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A fresh output folder under the shared root (one per call)."""
-    import uuid
-    return f"{_root(spark, sf_dir)}/out/{name}-{uuid.uuid4().hex[:8]}"
+def output(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The folder of a sink's output, written once like a layer (no copy per call)."""
+    return _layer_path(spark, sf_dir, f"out/{name}", write)

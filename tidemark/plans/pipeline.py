@@ -1,11 +1,12 @@
 """One pipeline run — extract, validate, Bronze, Silver, Gold + star, load — with
-per-stage counts (S11) returned as a small ``pipeline_runs`` frame.
+per-stage counts (S11) written to a ``pipeline_runs`` table.
 
 Every stage boundary is a written table, read back by the next stage.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,6 @@ from tidemark.operators.validate import issue_report, total_issues
 from tidemark.sources.csv_source import read_raw_csv, write_csv
 from tidemark.sources.loader import load_star
 
-METRICS_SCHEMA = "stage string, metric string, value bigint"
-
-
 def stage_counts(raw: DataFrame, report: DataFrame, bronze: DataFrame, silver: DataFrame,
                  gold: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
     """One row per (stage, metric); each count is its own small aggregate."""
@@ -40,12 +38,20 @@ def stage_counts(raw: DataFrame, report: DataFrame, bronze: DataFrame, silver: D
     return out
 
 
+def record_run(counts: DataFrame, path: str, finished_at: str) -> DataFrame:
+    """Append the counts of one run, with its id and time, to the ``pipeline_runs`` table; returns the run's rows."""
+    run_id = uuid.uuid4().hex
+    (counts.withColumns({"run_id": F.lit(run_id), "finished_at": F.lit(finished_at)})
+     .write.mode("append").parquet(path))
+    return counts.sparkSession.read.parquet(path).where(F.col("run_id") == run_id)
+
+
 def run_pipeline(spark: SparkSession, landing_csv: str, out_root: str, encoding: str = "ISO-8859-1",
                  load_target: str | None = None) -> DataFrame:
-    """Run every stage over a landing CSV folder; returns the per-stage counts."""
+    """Run every stage over a landing CSV folder; returns the run's rows of ``pipeline_runs``."""
     root = out_root.rstrip("/")
     raw = read_raw_csv(spark, landing_csv, encoding)
-    report = issue_report(raw.drop("_row_number"))
+    report = issue_report(raw)
     write_csv(report, f"{root}/validation_report")
     report = spark.read.schema("check string, column string, count bigint, pct double").option(
         "header", "true").csv(f"{root}/validation_report")
@@ -57,7 +63,7 @@ def run_pipeline(spark: SparkSession, landing_csv: str, out_root: str, encoding:
     prep = add_features(silver)
     gold = {}
     for name, build in gold_ops.GOLD_BUILDERS.items():
-        build(prep).coalesce(1).write.mode("overwrite").parquet(f"{root}/gold/{name}")
+        build(prep).write.mode("overwrite").parquet(f"{root}/gold/{name}")
         gold[name] = spark.read.parquet(f"{root}/gold/{name}")
     star = {}
     for name in ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping"]:
@@ -68,4 +74,4 @@ def run_pipeline(spark: SparkSession, landing_csv: str, out_root: str, encoding:
     star["fact_sales"] = spark.read.parquet(f"{root}/gold/fact_sales")
     if load_target:
         load_star(spark, star, load_target)
-    return stage_counts(raw, report, bronze, silver, gold, star)
+    return record_run(stage_counts(raw, report, bronze, silver, gold, star), f"{root}/pipeline_runs", ts)

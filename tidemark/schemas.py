@@ -71,6 +71,9 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_C
 
 # Bronze lineage columns (added at ingest).
 LINEAGE_COLUMNS = ["_ingestion_ts", "_source_file", "_row_number", "_row_hash"]
+# Of our own: the file split a row was read from, the full digest of its content, and an
+# id of the stored row within its ingest.
+ROW_COLUMNS = ["_file_block", "_row_digest", "_row_uid"]
 
 # ---- fixed values: Silver column groups --------------------------------------------
 # Dropped at Silver: the reference drops password, description, image; we also drop
@@ -92,15 +95,6 @@ STRING_COLUMNS = [
     "Customer Segment", "Product Name",
 ]
 
-NUMERIC_COLUMNS = [
-    "Days for shipping (real)", "Days for shipment (scheduled)",
-    "Benefit per order", "Sales per customer",
-    "Order Item Discount", "Order Item Discount Rate",
-    "Order Item Product Price", "Order Item Profit Ratio",
-    "Order Item Quantity", "Sales", "Order Item Total",
-    "Order Profit Per Order", "Product Price",
-]
-
 ID_COLUMNS = ["Customer Id", "Order Id", "Order Item Id",
               "Product Card Id", "Category Id", "Department Id"]
 
@@ -199,37 +193,37 @@ KPI_TARGETS = {
     "repeat_rate": 60.0,
 }
 
-# ---- fixed values: star schema DDL types ------------------------------------------
+# ---- fixed values: star schema DDL types (keys and counts 64 bits wide, so that they hold at any size) ------------------------------------------
 STAR_DDL = {
     "dim_customer": [
-        ("customer_id", "int"), ("customer_fname", "string"), ("customer_lname", "string"),
+        ("customer_id", "bigint"), ("customer_fname", "string"), ("customer_lname", "string"),
         ("customer_segment", "string"), ("customer_city", "string"), ("customer_state", "string"),
         ("customer_country", "string"), ("customer_zipcode", "string"),
         ("customer_lifetime_value", "decimal(12,2)"), ("avg_order_value", "decimal(12,2)"),
-        ("order_count", "int"), ("is_repeat_customer", "boolean"),
+        ("order_count", "bigint"), ("is_repeat_customer", "boolean"),
     ],
     "dim_product": [
-        ("product_card_id", "int"), ("product_name", "string"), ("product_price", "decimal(10,2)"),
-        ("category_id", "int"), ("category_name", "string"), ("department_id", "int"),
+        ("product_card_id", "bigint"), ("product_name", "string"), ("product_price", "decimal(10,2)"),
+        ("category_id", "bigint"), ("category_name", "string"), ("department_id", "bigint"),
         ("department_name", "string"), ("product_status", "int"),
     ],
     "dim_date": [
-        ("date_id", "int"), ("full_date", "date"), ("year", "int"), ("quarter", "int"),
+        ("date_id", "bigint"), ("full_date", "date"), ("year", "int"), ("quarter", "int"),
         ("month", "int"), ("month_name", "string"), ("day", "int"), ("day_of_week", "string"),
         ("week_of_year", "int"),
     ],
     "dim_location": [
-        ("location_id", "int"), ("order_city", "string"), ("order_state", "string"),
+        ("location_id", "bigint"), ("order_city", "string"), ("order_state", "string"),
         ("order_country", "string"), ("order_region", "string"), ("market", "string"),
         ("latitude", "decimal(10,6)"), ("longitude", "decimal(10,6)"),
     ],
     "dim_shipping": [
-        ("shipping_id", "int"), ("shipping_mode", "string"), ("delivery_status", "string"),
+        ("shipping_id", "bigint"), ("shipping_mode", "string"), ("delivery_status", "string"),
     ],
     "fact_sales": [
-        ("order_item_id", "int"), ("order_id", "int"), ("customer_id", "int"),
-        ("product_card_id", "int"), ("date_id", "int"), ("location_id", "int"),
-        ("shipping_id", "int"), ("order_item_quantity", "int"), ("sales", "decimal(12,2)"),
+        ("order_item_id", "bigint"), ("order_id", "bigint"), ("customer_id", "bigint"),
+        ("product_card_id", "bigint"), ("date_id", "bigint"), ("location_id", "bigint"),
+        ("shipping_id", "bigint"), ("order_item_quantity", "bigint"), ("sales", "decimal(12,2)"),
         ("order_item_discount", "decimal(10,2)"), ("order_profit_per_order", "decimal(12,2)"),
         ("benefit_per_order", "decimal(12,2)"), ("order_item_product_price", "decimal(10,2)"),
         ("order_item_total", "decimal(12,2)"), ("delivery_days_actual", "int"),

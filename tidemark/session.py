@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,24 +44,24 @@ def build_session(master: str = "local[*]", app_name: str = "tidemark",
 
 
 def apply_base_conf(spark: SparkSession) -> None:
-    """Pin the semantics-relevant settings on a session we did not build."""
+    """On a session we did not build, pin only what results depend on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage-cutting writes.
 
-    Read from ``spark.checkpoint.dir`` (what the cluster names); only when it is
-    unset — local tests — create a folder of our own and register it.
+    Read from ``spark.checkpoint.dir`` (what the cluster names).  Where it is unset, a
+    local session gets a folder of its own; on a cluster that is an error, because a
+    machine-local folder would hold only part of what the executors write.
     """
     sc = spark.sparkContext
     root = (spark.conf.get("spark.checkpoint.dir", None)
             or sc.getConf().get("spark.checkpoint.dir", None)
             or sc.getCheckpointDir())
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR") or "/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

@@ -73,13 +73,10 @@ def order_items_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """53 raw TEXT columns plus ``_row_number`` (the landing file's order).
 
-    The joined (still narrow, typed) rows are spread over
-    ``spark.sql.shuffle.partitions`` before the wide text projection: AQE may have
-    coalesced the last join to a handful of partitions, and every later stage reads
-    the files this projection writes, so its parallelism is set explicitly here.
+    The wide text projection runs on top of the last join, whose partitions AQE sizes; no
+    shuffle is added for it.
     """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    j = order_items_typed(spark, sf_dir).repartition(n)
+    j = order_items_typed(spark, sf_dir)
     prio = F.substring("o_orderpriority", 1, 1)
     sched = (F.when(prio == "1", 0).when(prio == "2", 1).when(prio == "3", 2).otherwise(4))
     mode = (F.when(prio == "1", "Same Day").when(prio == "2", "First Class")
@@ -182,7 +179,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     assert list(cols) == RAW_COLUMNS
     out = [cols[name].cast("string").alias(name) for name in RAW_COLUMNS]
-    # Landing order: by order item id; rows sharing an id have no order in the
-    # source, so Silver breaks that tie by the row fingerprint.
-    out.append((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_row_number"))
+    # Landing order: by part, then supplier, so the copies of an order item lie apart in
+    # the file; rows at one place are told apart by their content.
+    out.append((F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000).alias("_row_number"))
     return j.select(*out)

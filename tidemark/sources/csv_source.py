@@ -17,38 +17,51 @@ PANDAS_NULL_TOKENS = [
 EXPORTABLE = ["monthly_revenue", "market_performance", "product_performance",
               "customer_segments", "late_delivery_risk", "shipping_efficiency"]
 
-_KEEP_WS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: RFC 4180: quotes inside a field are doubled; white space is data.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def with_nulls(df: DataFrame, null_tokens: list[str] | None = PANDAS_NULL_TOKENS) -> DataFrame:
+    """The null rule of the landing files, for batch and stream alike: a field that is one of the
+    tokens (an empty field among them, quoted or not) is NULL."""
+    if not null_tokens:
+        return df
+    return df.withColumns({c: F.when(F.col(f"`{c}`").isin(null_tokens), F.lit(None)).otherwise(F.col(f"`{c}`"))
+                           for c in RAW_COLUMNS})
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """``_source_file``, ``_file_block`` and ``_row_number`` of rows read from files."""
+    return df.select("*", F.col("_metadata.file_name").alias("_source_file"),
+                     F.col("_metadata.file_block_start").alias("_file_block"),
+                     F.monotonically_increasing_id().alias("_row_number"))
 
 
 def read_raw_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
-                 null_tokens: list[str] | None = PANDAS_NULL_TOKENS) -> DataFrame:
-    """The landing CSV as 53 TEXT columns + ``_row_number`` (scan order).
+                 null_tokens: list[str] | None = PANDAS_NULL_TOKENS, multi_line: bool = False) -> DataFrame:
+    """The landing CSV as 53 TEXT columns + the place of each row in its file.
 
     Explicit schema (no inference pass); latin1 decodes every byte, so there is no
-    retry path.  A missing path raises ``AnalysisException`` [PATH_NOT_FOUND].
+    retry path.  ``multi_line`` allows line breaks inside quoted fields, at the price of
+    one task per file.  A missing path raises ``AnalysisException`` [PATH_NOT_FOUND].
     """
-    df = (spark.read.schema(RAW_SCHEMA).options(header="true", encoding=encoding, nullValue="", **_KEEP_WS)
-          .csv(path))
-    if null_tokens:
-        toks = [t for t in null_tokens if t]
-        df = df.withColumns({c: F.when(F.col(f"`{c}`").isin(toks), F.lit(None)).otherwise(F.col(f"`{c}`"))
-                             for c in RAW_COLUMNS})
-    return df.withColumn("_row_number", F.monotonically_increasing_id())
+    df = spark.read.schema(RAW_SCHEMA).options(encoding=encoding, multiLine=multi_line, **CSV_OPTIONS).csv(path)
+    return with_nulls(with_file_order(df), null_tokens)
 
 
 def write_raw_csv(raw: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
     """Landing-file writer (the reverse of S1), whitespace kept as is."""
     (raw.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
-     .write.mode("overwrite").options(header="true", encoding=encoding, **_KEEP_WS).csv(path))
+     .write.mode("overwrite").options(encoding=encoding, **CSV_OPTIONS).csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header + RFC-4180 quoting (a comma inside a value stays in its field)."""
-    df.write.mode("overwrite").options(header="true", quoteAll="false", escape='"', **_KEEP_WS).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).options(header="true", escape='"', **_KEEP_WS).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def export_gold(df: DataFrame, table: str, path: str) -> str:

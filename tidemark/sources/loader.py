@@ -15,22 +15,48 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], target_root: str,
-              jdbc_url: str | None = None, jdbc_props: dict | None = None) -> DataFrame:
-    """Write the six tables in LOAD_ORDER; returns (table_name, load_position, row_count).
+              jdbc_url: str | None = None, jdbc_props: dict | None = None, connections: int = 8) -> DataFrame:
+    """Write the six tables in LOAD_ORDER to Parquet folders under ``target_root``; returns what was
+    loaded, read back: see ``load_report``.
 
-    With ``jdbc_url`` the same conformed frames go to a database through
-    ``DataFrameWriter.jdbc`` (each partition writes its own batches); otherwise to
-    Parquet folders under ``target_root``.
+    With ``jdbc_url`` the loaded tables go on to a database, from the written Parquet, by at
+    most ``connections`` connections; existing tables are emptied, not dropped, so that the
+    DDL's types and keys stay (``truncate``).
     """
-    rows = []
-    for pos, name in enumerate(LOAD_ORDER, start=1):
-        df = conform(tables[name], name)
+    for name in LOAD_ORDER:
+        path = f"{target_root.rstrip('/')}/{name}"
+        conform(tables[name], name).write.mode("overwrite").parquet(path)
         if jdbc_url:
-            df.write.jdbc(jdbc_url, name, mode="overwrite", properties=jdbc_props or {})
-            n = df.count()
-        else:
-            path = f"{target_root.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            n = spark.read.parquet(path).count()
-        rows.append((name, pos, n))
-    return spark.createDataFrame(rows, "table_name string, load_position int, row_count bigint")
+            (spark.read.parquet(path).write.option("truncate", "true").option("numPartitions", connections)
+             .jdbc(jdbc_url, name, mode="overwrite", properties=jdbc_props or {}))
+    return load_report(spark, target_root)
+
+
+def load_report(spark: SparkSession, target_root: str) -> DataFrame:
+    """One row per loaded column: table, load position, column, type, rows, non-NULL values and a
+    sum over the values (numbers: their sum; text: its length; dates: days; flags: the true ones)."""
+    out = None
+    for pos, name in enumerate(LOAD_ORDER, start=1):
+        df = spark.read.parquet(f"{target_root.rstrip('/')}/{name}")
+
+        def total(column, kind):
+            c = F.col(column)
+            if kind == "string":
+                c = F.char_length(c)
+            elif kind == "date":
+                c = F.datediff(c, F.lit("1970-01-01").cast("date"))
+            elif kind == "boolean":
+                c = c.cast("int")
+            return F.coalesce(F.sum(c.cast("decimal(28,6)")), F.lit(0)).cast("decimal(38,6)")
+
+        kinds = dict(df.dtypes)
+        one = df.agg(F.count(F.lit(1)).alias("n"), *[
+            F.struct(F.count(c).alias("non_null"), total(c, kinds[c]).cast("double").alias("value_sum")).alias(f"c{i}")
+            for i, c in enumerate(df.columns)])
+        part = one.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(pos).alias("load_position"), F.lit(c).alias("column_name"),
+                     F.lit(kinds[c]).alias("data_type"), F.col("n").alias("row_count"),
+                     F.col(f"c{i}.non_null").alias("non_null"), F.col(f"c{i}.value_sum").alias("value_sum"))
+            for i, c in enumerate(df.columns)])))
+        out = part if out is None else out.unionByName(part)
+    return out
