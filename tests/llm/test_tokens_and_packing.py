@@ -11,7 +11,7 @@ import pytest
 from tidemark.llm import packing, token_counts
 
 PIECE, WORD = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
-ALPHABET = ["a", "Th", "e", " ", "  ", "\n", "\n\n", "É", "İ", "Σ", "▁", "x.", "9", "&&&", "\t", "漢", "</s>", "<s>", "a.,", ",",
+ALPHABET = ["a", "Th", "ß", "œ", "Œ", "ÿ", "Ÿ", "à", "a!?", "#", "'", "e", " ", "  ", "\n", "\n\n", "É", "İ", "Σ", "▁", "x.", "9", "&&&", "\t", "漢", "</s>", "<s>", "a.,", ",",
             "́", "\x1c", "\xa0", "it's", "<|endoftext|>", "<|ENDOFTEXT|>"]
 EDGES = [(1, None), (2, ""), (3, " "), (4, "\n"), (5, "one"), (5, "one"), (None, "no id"), (7, "x" * 300), (8, "a b\n" * 4000)]
 
@@ -61,7 +61,7 @@ def test_token_counts_empty_table(docs_of):
 
 def test_word_ids_equal_the_library():
     rng, tok = random.Random(7), packing.tokenizer(WORD)
-    assert tok.by_word and tok.lower
+    assert tok.by_word and tok.parted and tok.lower and len(tok.spelling) > 50
     for _ in range(4000):
         text = mixed(rng, rng.randint(0, 12))
         assert tok.ids(text) == tok.encode(text), repr(text)

@@ -18,7 +18,9 @@ table gives an empty result; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,13 +34,18 @@ from tidemark.llm.common import Memo, written
 CAPACITY = 4096
 END_ID = 1
 SALT_ROWS = 20_000       # pieces for each salt, about
-WORDS_KEPT = 200_000     # words of one generation of the table, per Python worker
+WORDS_KEPT = 300_000     # words of one generation of the table, per Python worker
+PUNCTUATION = ",.*#$%&!?;:"
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins text over white space: words are looked up.
 
-    Only blanks and line breaks are split at here; the tokenizer drops both and sees every word once.
+    Only blanks and line breaks are split at here; the tokenizer drops both and sees every word once. A word is
+    taken apart where the tokenizer does so too: punctuation behind letters is a token run of its own, and capital
+    Latin letters count as small ones. A run of small Latin letters goes straight to the tokenizer's merge model, in the
+    spelling that its own pre-tokenizer gives each letter; anything else is encoded whole. These short cuts are used
+    only if the tokenizer shows on loading that it works so.
     """
 
     def __init__(self, path: str):
@@ -46,27 +53,42 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        probe = ["a b", "a\nb", " A. b\n\n c"]
-        whole = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in probe]
-        parts = [[i for w in x.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids] for x in probe]
-        self.by_word = whole == parts
-        self.lower = self.tokenizer.encode("Ab", add_special_tokens=False).ids == self.tokenizer.encode("ab", add_special_tokens=False).ids
+        self.model = self.tokenizer.model
+        whole = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
+        split = lambda x: [i for w in x for i in whole(w)]
+        self.by_word = all(whole("".join(x)) == split(y) for x, y in (
+            (("a", " ", "b"), "ab"), (("a", "\n", "b"), "ab"), ((" ", "A.", " ", "b", "\n\n", " ", "c"), ("A.", "b", "c"))))
+        self.parted = self.by_word and all(whole(x + "ab" + p) == split((x + "ab", p)) for x in "\u00e9z" for p in PUNCTUATION)
+        self.lower = self.by_word and all(whole(c) == whole(c.lower()) for c in map(chr, range(0x41, 0x100)) if c.isupper())
+        spelt = {}
+        for c in map(chr, range(0x61, 0x180)):
+            if self.by_word and c.isalpha() and c.islower():
+                found = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(c)) if (
+                    self.tokenizer.pre_tokenizer and self.tokenizer.normalizer) else []
+                if len(found) == 1 and [t.id for t in self.model.tokenize(found[0][0])] == whole(c):
+                    spelt[ord(c)] = found[0][0]
+        self.spelling = spelt
+        self.small = re.compile(f"[{''.join(map(chr, spelt))}]+").fullmatch if spelt else lambda w: None
         self.words = Memo(self.word, WORDS_KEPT)
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ",." and word[-2].lower()[-1].isalpha():
-            return self.words[word[:-1]] + self.words[word[-1]]
+        if self.small(word):
+            return array("I", [t.id for t in self.model.tokenize(word.translate(self.spelling))]).tobytes()
+        if self.parted:
+            base = word.rstrip(PUNCTUATION)
+            if len(base) < len(word) and base and base.lower()[-1].isalpha():
+                return self.words[base] + self.words[word[len(base):]]
+        if self.lower and word.isalpha() and max(word) < "\u0100" and not word.islower():
+            return self.words[word.lower()]
         return self.encode(word)
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not self.by_word:
             return self.encode(text)
-        if self.lower and text.isascii() and "<|" not in text:
-            text = text.lower()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
