@@ -607,7 +607,8 @@ _DDL = {
 
 def _loaded(table: str, position: int, column: str, kind: str) -> str:
     value = {"string": f"length(CAST({column} AS VARCHAR))", "date": f"date_diff('day', DATE '1970-01-01', {column})",
-             "boolean": f"CAST({column} AS INTEGER)"}.get(kind, f"CAST({column} AS {kind})")
+             "boolean": f"CAST({column} AS INTEGER)"}.get(
+                 kind, f"CAST({r2(column) if kind.endswith(',2)') else column} AS {kind})")
     return (f"SELECT '{table}' AS table_name, {position} AS load_position, '{column}' AS column_name, '{kind}' AS data_type, "
             f"count(*) AS row_count, count({column}) AS non_null, "
             f"CAST(coalesce(sum(CAST({value} AS DECIMAL(28,6))), 0) AS DOUBLE) AS value_sum FROM {table}")

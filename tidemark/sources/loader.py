@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import round2
 from tidemark.schemas import LOAD_ORDER, STAR_DDL
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the DDL's columns in DDL order, cast to the DDL's types (the reference's
-    loader lost types and keys by letting the writer guess them)."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in STAR_DDL[table]])
+    loader lost types and keys by letting the writer guess them); fractions go to 2 dp half
+    away from zero, as in every report."""
+    kinds = dict(df.dtypes)
+
+    def to(c, t):
+        return (round2(F.col(c)) if kinds[c] == "double" and t.endswith(",2)") else F.col(c)).cast(t).alias(c)
+
+    return df.select(*[to(c, t) for c, t in STAR_DDL[table]])
 
 
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], target_root: str,
