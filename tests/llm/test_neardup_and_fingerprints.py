@@ -150,7 +150,8 @@ def test_weights_count(spark):
     want = neardup.similarity(a, b)
     ones = spark.createDataFrame([(" ".join(few * 6 + [str(i)]), " ".join(few * 2 + [str(i)])) for i in range(1)], "a string, b string")
     bins = 512
-    near = ones.select(fingerprints.likeness(fingerprints.fingerprint(F.col("a"), bins), fingerprints.fingerprint(F.col("b"), bins))).first()[0]
+    both = fingerprints.with_fingerprint(fingerprints.with_fingerprint(ones, "a", "x", bins), "b", "y", bins)
+    near = both.select(fingerprints.likeness(F.col("x"), F.col("y"))).first()[0]
     assert 0.25 < want < 0.4 and abs(near - want) < 0.25
 
 

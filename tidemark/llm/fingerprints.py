@@ -27,51 +27,65 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, text_of, word_array
-from tidemark.llm.decontam import SHINGLE, shingle_hashes
+from tidemark.llm.common import WORD_SPLIT, let, text_of
+from tidemark.llm.decontam import SHINGLE
 
 BINS = 64
 RANGE_ROWS = 1500      # documents in one range, about
 MAX_RANGES = 8192      # ranges at most: beyond about 12 million documents they get longer and spill
 _LOW = (1 << 26) - 1
+_VALUE_BITS = 54       # of a sample; its bin is above
+
+
+def _sample(term: Column, weight: Column | None, bins: int) -> Column:
+    """One number for a term: its bin above its `a`, in steps of 2^-48. weight None: 1, where t is 0.
+
+    The bits of a term, itself a hash, give its bin and r; two more hashes give c and b. Each is written once in the
+    common case, because a lambda computes what is written twice two times.
+    """
+    own = bins.bit_length() - 1
+    part = lambda x, skip: F.shiftright(x, skip).bitwiseAND(_LOW).cast("double") + 0.5 if skip else (
+        x.bitwiseAND(_LOW).cast("double") + 0.5)
+    gamma = lambda x, y: F.lit(52 * math.log(2)) - F.ln(x * y)
+    r = gamma(part(term, own), part(term, own + 26))
+    h = F.xxhash64(term, F.lit(1))
+    c = gamma(part(h, 0), part(h, 26))
+    b = part(F.xxhash64(term, F.lit(2)), 0) * (1.0 / (_LOW + 1))
+    after = F.lit(1.0) - b if weight is None else F.floor(F.ln(weight.cast("double")) / r + b).cast("double") + (F.lit(1.0) - b)
+    a = c * F.exp(-(r * after))
+    value = F.least((a * float(1 << 48)).cast("long"), F.lit((1 << _VALUE_BITS) - 1))
+    return F.coalesce(F.shiftleft(term.bitwiseAND(bins - 1), _VALUE_BITS).bitwiseOR(value), F.lit(0))
+
+
+def with_fingerprint(df: DataFrame, text: str, name: str, bins: int = BINS) -> DataFrame:
+    """df with the samples of a text column as a sorted array of longs, one for each bin that a term falls in.
+
+    bins: a power of 2, 512 at most. The steps are columns of their own, so that sorting and hashing words stay
+    outside of lambdas.
+    """
+    w, s, v = (F.col(f"_{name}_{x}") for x in "wsv")
+    none = F.array().cast("array<long>")
+    runs = F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)]))
+    terms = F.when(F.size(w) >= SHINGLE, runs).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(none)
 
-
-def _sample(term: Column, weight: Column, bins: int) -> Column:
-    """One number for a term: its bin above its `a` (as a 54-bit fraction)."""
-    unit = lambda x: (x.bitwiseAND(_LOW).cast("double") + 0.5) / float(_LOW + 1)
-    h1, h2 = F.xxhash64(term, F.lit(1)), F.xxhash64(term, F.lit(2))
-    r = -F.ln(unit(h1) * unit(F.shiftright(h1, 26)))
-    c = -F.ln(unit(h2) * unit(F.shiftright(h2, 26)))
-    b = unit(F.xxhash64(term, F.lit(3)))
-    t = F.floor(F.ln(weight.cast("double")) / r + b)
-    a = c / F.exp(r * (t - b + 1))
-    return F.shiftleft(F.pmod(term, F.lit(bins)), 54).bitwiseOR((a / (a + 1) * float((1 << 54) - 1)).cast("long"))
-
-
-def fingerprint(text: Column, bins: int = BINS) -> Column:
-    """The samples of a text as a sorted array of longs, one for each bin that a term falls in."""
-    def of_terms(s: Column) -> Column:
+    def repeated(s: Column) -> Column:
         n = F.size(s)
-        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        return let(starts, lambda at: F.transform(
-            at, lambda i, k: _sample(F.get(s, i), F.coalesce(F.get(at, k + 1), n) - i, bins)))
+        first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.get(s, i) != F.get(s, i - 1), F.lit(True)))
+        weight = lambda at, i, k: F.coalesce(F.get(at, k + 1), n) - i
+        return let(first, lambda at: F.transform(at, lambda i, k: F.when(
+            weight(at, i, k) == 1, _sample(F.get(s, i), None, bins)).otherwise(_sample(F.get(s, i), weight(at, i, k), bins))))
 
-    def of_words(w: Column) -> Column:
-        whole = F.array(F.xxhash64(w))
-        terms = F.when(F.size(w) >= SHINGLE, shingle_hashes(w)).otherwise(whole)
-        return let(F.sort_array(terms), of_terms)
-
-    def first_of_bins(v: Column) -> Column:
-        return F.filter(v, lambda x, i: (i == 0) | (F.shiftright(x, 54) != F.shiftright(F.get(v, i - 1), 54)))
-
-    none = F.array().cast("array<long>")
-    return let(word_array(text), lambda w: F.when(F.size(w) == 0, none).otherwise(
-        let(F.sort_array(of_words(w)), first_of_bins)))
+    samples = F.when(F.size(F.array_distinct(s)) == F.size(s), F.transform(s, lambda x: _sample(x, None, bins))).otherwise(repeated(s))
+    in_bins = F.filter(v, lambda x, i: F.coalesce(x.bitwiseXOR(F.get(v, i - 1)) >= (1 << _VALUE_BITS), F.lit(True)))
+    return (df.withColumn(f"_{name}_w", F.array_remove(F.split(F.lower(F.col(text)), WORD_SPLIT), ""))
+            .withColumn(f"_{name}_s", F.sort_array(terms)).drop(f"_{name}_w")
+            .withColumn(f"_{name}_v", F.sort_array(samples)).drop(f"_{name}_s")
+            .withColumn(name, in_bins).drop(f"_{name}_v"))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal samples among the bins that either fingerprint fills; 1 for two empty ones."""
-    bin_of = lambda x: F.transform(x, lambda v: F.shiftright(v, 54))
+    bin_of = lambda x: F.transform(x, lambda v: F.shiftright(v, _VALUE_BITS))
     either = F.size(F.array_union(bin_of(a), bin_of(b)))
     return let(either, lambda n: F.when(n == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / n))
 
@@ -80,20 +94,21 @@ def as_text(samples: Column) -> Column:
     return F.array_join(F.transform(samples, lambda v: F.lower(F.hex(v))), ".")
 
 
-def with_next(docs: DataFrame, extra: dict[str, Column] | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """doc_id, t (text), the extra columns, and next: a struct of t and the extra columns of the next document."""
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("t")).withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    n = rows.count()
+def with_next(rows: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """rows (doc_id, t, more columns) with next: a struct of t and the further columns of the next document."""
+    names = [c for c in rows.columns if c != "doc_id"]
+    rows = rows.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    ids = rows.select("k")
+    n = ids.count()
     parts = min(MAX_RANGES, max(1, math.ceil(n / range_rows)))
     # bounds are ids of the table, so a range is known to begin with its bound
-    found = rows.agg(F.min("k").alias("least"), F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)
+    found = ids.agg(F.min("k").alias("least"), F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)
                      .alias("cuts")).first()
     bounds = sorted({found["least"], *found["cuts"]}) if n else [0]
     at = F.array(*map(F.lit, bounds)) if len(bounds) < 2 else F.array([F.lit(b) for b in bounds])
-    names = ["t", *(extra or {})]
     number = _range_of(F.col("k"), bounds)
     before = F.pmod(F.col("range") - 1, F.lit(len(bounds)))
-    dealt = (rows.withColumns(extra or {}).withColumn("range", number)
+    dealt = (rows.withColumn("range", number)
              .withColumn("first", F.col("k") == F.element_at(at, F.col("range") + 1))
              .withColumn("sent", F.when(F.col("first"), F.array(F.struct(F.col("range").alias("to"), F.lit(False).alias("guest")),
                                                                 F.struct(before.alias("to"), F.lit(True).alias("guest"))))
@@ -116,11 +131,13 @@ def _range_of(k: Column, bounds: list[int]) -> Column:
 
 def fingerprints(docs: DataFrame, bins: int = BINS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
-    rows = with_next(docs, {"own": fingerprint(F.col("t"), bins)})
+    texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("t"))
+    rows = with_next(with_fingerprint(texts, "t", "own", bins))
     n = F.char_length("t")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.left(F.col("t"), n - quarter), F.left(F.col("next.t"), quarter))
-    return (rows.withColumn("n_chars", n.cast("long")).withColumn("e", edited).withColumn("other", fingerprint(F.col("e"), bins))
-            .select("doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
-                    as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"),
-                    likeness(F.col("own"), F.col("next.own")).alias("near_next")))
+    rows = with_fingerprint(rows.withColumn("n_chars", n.cast("long")).withColumn("e", edited), "e", "other", bins)
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("e", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
+        as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next.own")).alias("near_next"))
