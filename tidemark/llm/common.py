@@ -106,12 +106,12 @@ class Memo(dict):
         return value
 
 
-def slices(texts: list, chars: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about `chars` code points together, one row at least: bounds memory in a task."""
+def slices(texts: list, chars: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `rows` rows and `chars` code points, one row at least: bounds memory in a task."""
     start, total = 0, 0
     for i, t in enumerate(texts):
         n = len(t or "")
-        if i > start and total + n > chars:
+        if i > start and (total + n > chars or i - start >= rows):
             yield start, i
             start, total = i, 0
         total += n

@@ -34,7 +34,8 @@ BUCKETS = 1 << 16        # hashed n-gram features
 SWITCH_PENALTY = 8.0     # log cost of changing the language between two words
 WORD_FLOOR = -5.0        # no word counts more than this against a language
 SCRIPT_SHARE = 0.01      # a language writes in a script if this share of its words does
-BATCH_CHARS = 12_000_000  # code points of text a task works on at once
+BATCH_CHARS = 5_000_000  # code points of text a task works on at once
+WORDS_AT_ONCE = 20_000   # distinct words whose n-grams are held at once
 UNKNOWN = "und"
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -109,8 +110,8 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
                 for t, k in zip(texts[lo:hi], own[lo:hi]):
                     by.setdefault(number[k], []).extend(LETTERS.findall(t.lower()))
                 for i, words in by.items():
-                    if words:
-                        _, f, script = _features(words)
+                    for at in range(0, len(words), WORDS_AT_ONCE):
+                        _, f, script = _features(words[at:at + WORDS_AT_ONCE])
                         total[i, :BUCKETS] += np.bincount(f, minlength=BUCKETS)
                         total[i, BUCKETS:] += np.bincount(script, minlength=len(_NAMES))
         i, f = np.nonzero(total)
@@ -132,12 +133,10 @@ def _word_scores(words: list[str], model: dict) -> np.ndarray:
     """Log probability of each language for each distinct word, floored; a language of another script gets the
     floor twice, a word in a script that no language writes gets zeros."""
     out = np.empty((len(words), len(model["langs"])), dtype=np.float32)
-    for lo in range(0, len(words), 100_000):
-        part = words[lo:lo + 100_000]
+    for lo in range(0, len(words), WORDS_AT_ONCE):
+        part = words[lo:lo + WORDS_AT_ONCE]
         ids, feats, script = _features(part)
-        order = np.argsort(ids, kind="stable")
-        starts = np.searchsorted(ids[order], np.arange(len(part)))
-        s = np.add.reduceat(model["logp"][feats[order]], starts, axis=0) / 2.0
+        s = np.stack([np.bincount(ids, weights=col[feats], minlength=len(part)) for col in model["logp"].T], axis=1) / 2.0
         top = s.max(axis=1, keepdims=True)
         s = s - (top + np.log(np.exp(s - top).sum(axis=1, keepdims=True)))
         s = np.maximum(s, WORD_FLOOR)

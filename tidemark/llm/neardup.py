@@ -39,8 +39,9 @@ BANDS, ROWS = 28, 5
 K = BANDS * ROWS
 SLACK = 0.2                # six standard deviations of the estimate from K coordinates at 0.8
 TILE = 512                 # members of a bucket in one side of a tile
-BATCH_CHARS = 3_000_000    # code points a task works on at once
-WORDS_KEPT = 150_000       # hashes of words kept per Python worker
+BATCH_CHARS = 1_500_000    # code points a task works on at once
+BATCH_ROWS = 500           # and texts: each throws about K ln K + 2 K darts
+WORDS_KEPT = 100_000       # hashes of words kept per Python worker
 
 
 _WORD_HASH = Memo(xxhash.xxh3_64_intdigest, WORDS_KEPT)
@@ -110,7 +111,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     band_step = np.uint64(0xD6E8FEB86659FD93)
     for b in batches:
         all_texts = b.column("t").to_pylist()
-        for lo, hi in slices(all_texts, BATCH_CHARS):
+        for lo, hi in slices(all_texts, BATCH_CHARS, BATCH_ROWS):
             texts = all_texts[lo:hi]
             of, h, n, digests = shingle_sets(texts)
             full = np.unique(of)

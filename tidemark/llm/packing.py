@@ -34,7 +34,7 @@ from tidemark.llm.common import Memo, written
 CAPACITY = 4096
 END_ID = 1
 SALT_ROWS = 20_000       # pieces for each salt, about
-WORDS_KEPT = 300_000     # words of one generation of the table, per Python worker
+WORDS_KEPT = 150_000     # words of one generation of the table, per Python worker
 PUNCTUATION = ",.*#$%&!?;:"
 
 
