@@ -28,6 +28,14 @@ def test_unlabelled_page_by_line_blocks():
     assert main_text(page) == " ".join(re.findall(r"<div>(.*?)</div>", body))
 
 
+def test_labels_and_unclosed_boilerplate():
+    long = "A paragraph of running text that says a number of things at some length."
+    assert main_text(f"<div class=menu-bar>Menu</div><div class='post-content'><h2>Head</h2><p>{long}<p>End.</div><div>Other</div>") == f"Head {long} End."
+    assert main_text(f"<div class=content>Box</div><p>{long}<p>{long}") == f"Box {long} {long}"    # the label holds too little
+    assert main_text(f"<div class='ad'>Buy<article><p>{long}</p></article>") == long
+    assert main_text(f"<div class='related'><article>Teaser</article></div><article>{long}</article>") == long
+
+
 def test_broken_and_empty_pages(spark):
     cases = {None: "", "": "", "<p>": "", "plain < text &amp": "", "<article>open <b>never closed": "open never closed",
              "<article><a title=\"x>y'>link</a> tail": "y'>link tail", "<article>a<script>never ends": "a", "<article>a<!-- never ends": "a",

@@ -2,7 +2,8 @@
 
 Markup is stripped into *lines*, one for each block of the page. A line weighs its visible code points outside
 links; lines of boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, comments) and,
-if the page labels its article (`article`, `main` or their roles), lines outside of it weigh nothing. Sums of
+if the page labels its article (`article`, `main`, their roles, or a class or id such as `post-content` that holds at least
+LABEL_SHARE of the text), lines outside of it weigh nothing. Sums of
 weights over a sliding window of `WINDOW` lines give the distribution; it *surges* where a window rises to the
 threshold and *dives* where a window falls to zero, and the text between a surge and its dive is kept. Inside a
 labelled article any text is a surge; on unlabelled pages SURGE_CHARS are needed, and regions of less than
@@ -11,7 +12,8 @@ REGION_SHARE of the largest are left out.
 Character references are decoded, white space inside a block becomes one space, blocks join by one space.
 
 Cases: a null or empty page, or one without main text, gives '' and 0; unclosed and misnested tags, comments and
-scripts end where a browser would end them or at the end of the page; repeated rows give repeated results; an
+scripts end where a browser would end them or at the end of the page, but an advert that is never closed doesn't
+swallow the article; repeated rows give repeated results; an
 empty table gives an empty result; columns other than page_id, url and html are ignored.
 """
 
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 WINDOW = 3            # lines in a block
 SURGE_CHARS = 80      # a window's weight where main text begins on an unlabelled page
 REGION_SHARE = 0.2    # a region of an unlabelled page counts from this share of the largest on
+LABEL_SHARE = 0.5     # a container labelled by class or id alone must hold this share of the page's weight
 LINK_SHARE = 0.5      # a line with more of its text in links weighs nothing on an unlabelled page
 
 # HTML element groups.
@@ -46,9 +49,12 @@ DROPPED_WORDS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs footer sidebar ad ads advert adverts advertisement "
     "advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr notice banner popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "commentlist reply replies disqus pagination pager paging toolbar masthead".split())
+    "commentlist reply replies disqus pagination pager paging toolbar masthead alert toast paywall skip search searchform "
+    "topbar dropdown widget copyright".split())
 HEADER_WORDS = frozenset("header".split())
 CONTENT_WORDS = frozenset("article entry post content story main body title".split())
+LABELS = frozenset("article content main story articlebody articlecontent postcontent entrycontent maincontent storybody "
+                   "postbody entrybody articletext bodycopy".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -87,14 +93,20 @@ def _is_boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 
 def _is_article(tag: str, attrs: dict[str, str]) -> int:
-    """2: the article; 1: the main part; 0: neither."""
+    """3: the article; 2: the main part; 1: the main part by its class or id; 0: none of these."""
     if tag == "article" or attrs.get("itemprop", "").lower() == "articlebody" or attrs.get("role", "").lower() == "article":
+        return 3
+    if tag == "main" or attrs.get("role", "").lower() == "main":
         return 2
-    return int(tag == "main" or attrs.get("role", "").lower() == "main")
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().replace("-", "").replace("_", "").split()
+    return int(tag in ("div", "section", "td") and not LABELS.isdisjoint(names))
 
 
-def lines_of(page: str) -> list[tuple[str, int, int]]:
-    """(text, code points in links, article level) of every line; text of boilerplate lines is ''."""
+def lines_of(page: str, revive: bool = False) -> list[tuple[str, int, int]]:
+    """(text, code points in links, article level) of every line; text of boilerplate lines is ''.
+
+    revive: an article or main element ends whatever boilerplate is still open.
+    """
     lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = 0
@@ -161,6 +173,8 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         kind = 0 if bad else _is_article(tag, attrs)
         if bad or kind or tag in BLOCK and tag not in ("p", "li", "td", "th", "tr", "dd", "dt", "option"):
             flush()
+            if revive and kind > 1:
+                dropped, stack[:] = 0, [(t, False, lv) for t, _, lv in stack]
             stack.append((tag, bad, level))
             dropped += bad
             level = max(level, kind)
@@ -169,12 +183,19 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
+    return _kept(lines_of(page or "")) or (_kept(lines_of(page, True)) if page else "")
+
+
+def _kept(lines: list[tuple[str, int, int]]) -> str:
+    """The text between surges and dives."""
     best = max((lv for text, _, lv in lines if text), default=0)
+    plain = [0 if a > LINK_SHARE * len(t) else len(t) for t, a, _ in lines]
+    if best == 1 and sum(n for n, (_, _, lv) in zip(plain, lines) if lv) < LABEL_SHARE * sum(plain):
+        best = 0
     if best:
         weights, surge = [len(t) if lv == best else 0 for t, _, lv in lines], 1
     else:
-        weights, surge = [0 if a > LINK_SHARE * len(t) else len(t) for t, a, _ in lines], SURGE_CHARS
+        weights, surge = plain, SURGE_CHARS
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(lines))]
     regions: list[list[int]] = []
     inside = False
