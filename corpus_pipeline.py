@@ -13,7 +13,7 @@ from tidemark.llm import decontam, langid, neardup, packing
 from tidemark.llm.common import read, workers_find_package, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SHARE = 0.5      # a document without one language that has this share of its letters is rejected
+LEAST_SHARE = 0.4      # a document without one language that has this share of its letters is rejected
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
