@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpointed
+
 
 RANGE_ROWS = 1_000_000  # rows of one range, about
 
@@ -31,11 +33,10 @@ def range_count(rows: int) -> int:
 
 def exact_quantiles(df: DataFrame, value: Column, probs: list[float]) -> list[float | None]:
     spark = df.sparkSession
-    counts = (df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True))
-    ranged = (counts.repartitionByRange(range_count(counts.count()), "v")
-              .select("v", "c", F.spark_partition_id().alias("_pid"))
-              .checkpoint(eager=True))
+    counts = checkpointed(df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
+                          .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    ranged = checkpointed(counts.repartitionByRange(range_count(counts.count()), "v")
+                          .select("v", "c", F.spark_partition_id().alias("_pid")))
     totals = sorted((r["_pid"], r["t"]) for r in ranged.groupBy("_pid").agg(F.sum("c").alias("t")).collect())
     n = sum(t for _, t in totals)
     if n == 0:

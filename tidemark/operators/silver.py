@@ -10,6 +10,7 @@ from tidemark.functions.text import normalise, snake_case_name
 from tidemark.schemas import (DATE_COLUMNS, ID_COLUMNS, MONEY, NULL_FILLS, NUMERIC_TYPES,
                               OTHER_NUMERIC, RAW_DATE_FORMAT, RENAME_MAP, SALES_TRIM_BAND,
                               SILVER_DROP, STRING_COLUMNS)
+from tidemark.session import checkpointed
 
 BRONZE_ONLY = ["_ingest_date"]
 # First seen: the earliest ingest, then file, split and position; equal positions by content.
@@ -73,7 +74,7 @@ def first_rows(df: DataFrame, key: str, *also: str) -> DataFrame:
     narrow table, written once (checkpoint), for picking the wide rows and for the bounds."""
     cols = list(dict.fromkeys([key, *FILE_ORDER, *ROW_ID, *also]))
     narrow = df.select(*[q(c) for c in cols])
-    return dedup_keep_first(narrow, key, [*FILE_ORDER, "_row_uid"]).checkpoint(eager=True)
+    return checkpointed(dedup_keep_first(narrow, key, [*FILE_ORDER, "_row_uid"]))
 
 
 def pick_rows(df: DataFrame, rows: DataFrame) -> DataFrame:

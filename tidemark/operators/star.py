@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.quantiles import range_count
 from tidemark.operators.features import customer_metrics
 from tidemark.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+from tidemark.session import checkpointed
 
 FIRST_SEEN = ["_ingestion_ts", "_source_file", "_file_block", "_row_number", "_row_digest"]
 
@@ -73,11 +74,10 @@ def _surrogate(df: DataFrame, id_col: str, natural: list[str]) -> DataFrame:
     the numbering see the same partitioning.
     """
     order = [F.col(c).asc_nulls_last() for c in natural]
-    rows = df.select(*natural).checkpoint(eager=True)
-    tagged = (rows.repartitionByRange(range_count(rows.count()), *order).sortWithinPartitions(*order)
-              .select(*natural, F.spark_partition_id().alias("_pid"),
-                      F.monotonically_increasing_id().alias("_mono"))
-              .checkpoint(eager=True))
+    rows = checkpointed(df.select(*natural))
+    tagged = checkpointed(rows.repartitionByRange(range_count(rows.count()), *order).sortWithinPartitions(*order)
+                          .select(*natural, F.spark_partition_id().alias("_pid"),
+                                  F.monotonically_increasing_id().alias("_mono")))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
                .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))

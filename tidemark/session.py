@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (dates are formatted and parsed as
 # text), AQE for runtime coalescing / skew splitting / broadcast conversion.
@@ -69,3 +69,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # already set identically
         pass
     return root.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of df: computed now and written to the shared folder."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
