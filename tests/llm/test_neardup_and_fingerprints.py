@@ -96,8 +96,7 @@ def planted():
     return [" ".join(r) for r in rows] + [None, "", "", "...", "Same!"]
 
 
-def test_planted_groups(spark, docs_of, planted, monkeypatch):
-    monkeypatch.setattr(neardup, "TILE", 16)        # many tiles
+def test_planted_groups(docs_of, planted):
     docs = docs_of(list(enumerate(planted)))
     want = {frozenset(c) for c in exact_classes(planted)}
     assert classes_of(docs) == want
@@ -106,6 +105,16 @@ def test_planted_groups(spark, docs_of, planted, monkeypatch):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(min(c) for c in want)
 
 
+def test_tiles_alone_find_every_link(docs_of, planted, monkeypatch):
+    """Without any link from pivots, and with nobody excused as a pivot, the tiles give the same classes."""
+    across, verified = neardup._across, neardup._verified
+    monkeypatch.setattr(neardup, "TILE", 16)        # many tiles
+    monkeypatch.setattr(neardup, "_verified", lambda *a: verified(*a).limit(0))
+    monkeypatch.setattr(neardup, "_across", lambda members, labels, pivots, *more: across(
+        members, labels, pivots.withColumn("pivot", F.lit(b"")), *more))
+    assert classes_of(docs_of(list(enumerate(planted)))) == {frozenset(c) for c in exact_classes(planted)}
+
+
 def test_near_duplicate_edges(docs_of):
     docs = docs_of([(1, "a b c d e f"), (1, "a b c d e f"), (1, "other text of five words"), (None, "A b, c d e f"), (None, "alone here now then there"), (2, None)])
     rows = neardup.class_of_rows(written(neardup.classes(docs), "c")).collect()

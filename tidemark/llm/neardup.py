@@ -9,8 +9,9 @@ counts; two texts are near duplicates if the generalised Jaccard similarity of t
    in all buckets, is compared with the others. Pairs whose signatures agree in less than `threshold` - 0.2 of
    their coordinates (six standard deviations) go; the rest are compared exactly on their texts.
 3. Links make components. Where a bucket still holds different components, its members outside of the pivot's
-   reach are compared in tiles of TILE by TILE rows, only across components, by signature and then exactly. So
-   no link is lost that shares a band: at similarity 0.8 that misses 2 links in 100,000, and nothing is capped.
+   reach are compared in tiles of TILE by TILE rows, only across components, by size, signature and then exactly
+   on their texts, inside the tile: it gives links, never pairs. So no link is lost that shares a band: at
+   similarity 0.8 that misses 2 links in 100,000, and nothing is capped.
 4. All links make the classes; a row's class is the least doc_id among them.
 
 Cases: a null text counts as empty; texts without any word are classed by their raw text; repeated rows are in one
@@ -38,7 +39,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 28, 5
 K = BANDS * ROWS
 SLACK = 0.2                # six standard deviations of the estimate from K coordinates at 0.8
-TILE = 512                 # members of a bucket in one side of a tile
+TILE = 256                 # members of a bucket in one side of a tile
 BATCH_CHARS = 1_500_000    # code points a task works on at once
 BATCH_ROWS = 500           # and texts: each throws about K ln K + 2 K darts
 WORDS_KEPT = 100_000       # hashes of words kept per Python worker
@@ -97,14 +98,21 @@ def similarity(a: str, b: str) -> float:
     if digests[0] == digests[1]:
         return 1.0
     left, right = of == 0, of == 1
-    _, i, j = np.intersect1d(h[left], h[right], assume_unique=True, return_indices=True)
-    both = np.minimum(n[left][i], n[right][j]).sum()
-    total = n.sum() - both
-    return float(both / total) if total else 0.0
+    return _jaccard((h[left], n[left]), (h[right], n[right]))
+
+
+def _jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Generalised Jaccard similarity of two (sorted hashes, counts)."""
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    hit = b[0][at] == a[0]
+    both = np.minimum(a[1][hit], b[1][at[hit]]).sum()
+    return float(both / (a[1].sum() + b[1].sum() - both))
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("digest", pa.binary()),
-                     ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+                     ("bands", pa.list_(pa.int64())), ("sig", pa.binary()), ("size", pa.int64())])
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,10 +133,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             short = (sig >> np.uint64(48)).astype(np.uint16)
             bands = [keys[back[i]].tolist() if back[i] >= 0 else [] for i in range(len(texts))]
             sigs = [short[back[i]].tobytes() if back[i] >= 0 else b"" for i in range(len(texts))]
+            sizes = np.bincount(of, weights=n, minlength=len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c).slice(lo, hi - lo) for c in ("doc_id", "k1", "k2")),
-                 pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                schema=_SIGNED)
+                 pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary()),
+                 pa.array(sizes)], schema=_SIGNED)
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
@@ -167,8 +176,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, labels: DataFrame, pivots: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """Pairs in different components of buckets that a pivot has not settled, found in tiles."""
+def _across(members: DataFrame, labels: DataFrame, pivots: DataFrame, reps: DataFrame, texts: DataFrame,
+            threshold: float) -> DataFrame:
+    """Links between different components of buckets that a pivot has not settled, found in tiles."""
     rest = (members.join(pivots, "bucket").where("digest <> pivot")
             .join(labels.withColumnsRenamed({"node": "digest", "root": "comp"}), "digest", "left")
             .select("bucket", "digest", F.coalesce("comp", "digest").alias("comp")))
@@ -188,11 +198,13 @@ def _across(members: DataFrame, labels: DataFrame, pivots: DataFrame, reps: Data
              .withColumn("i", F.when(F.col("is_main"), -1 - F.col("block")).when(x < 0, x).otherwise(F.least(x, F.col("block"))))
              .withColumn("j", F.when(F.col("is_main"), x).when(x < 0, F.col("block")).otherwise(F.greatest(x, F.col("block"))))
              .select("bucket", "i", "j", "digest", "comp", "is_main", "block")
-             .join(reps.select("digest", "sig"), "digest"))
+             .join(reps.select("digest", "sig", "size", "bands"), "digest").join(texts, "digest")
+             # the bucket's place among the bands: a pair counts in the first band it shares
+             .withColumn("band", F.array_position("bands", F.col("bucket")) - 1).drop("bands"))
     out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs():
+        def links():
             for (_, i, j), part in groups(batches, ["bucket", "i", "j"]):
                 if i < 0:
                     one, two = [r for r in part if r["is_main"]], [r for r in part if not r["is_main"]]
@@ -201,13 +213,29 @@ def _across(members: DataFrame, labels: DataFrame, pivots: DataFrame, reps: Data
                 if not one or not two:
                     continue
                 left, right = (np.frombuffer(b"".join(r["sig"] for r in s), np.uint16).reshape(-1, K) for s in (one, two))
+                size = np.array([r["size"] for r in two])
+                numbers: dict[bytes, int] = {}
+                comp = np.array([numbers.setdefault(r["comp"], len(numbers)) for r in two])
+                sets: dict[bytes, tuple] = {}
+
+                def set_of(r):
+                    if r["digest"] not in sets:
+                        sets[r["digest"]] = shingle_sets([r["t"]])[1:3]
+                    return sets[r["digest"]]
+
                 for p, row in zip(one, left):
-                    for q in np.flatnonzero(_agree(right, row) >= least):
+                    same = right == row
+                    near = (same.mean(axis=1) >= threshold - SLACK) & (comp != numbers.get(p["comp"], -1)) & (
+                        np.minimum(size, p["size"]) >= threshold * np.maximum(size, p["size"]))
+                    if not near.any():
+                        continue
+                    near[near] = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == p["band"]
+                    for q in np.flatnonzero(near):
                         other = two[q]
-                        if p["comp"] != other["comp"]:
+                        if _jaccard(set_of(p), set_of(other)) >= threshold:
                             a, b = sorted((p["digest"], other["digest"]))
                             yield {"a": a, "b": b}
-        yield from emit(pairs(), out)
+        yield from emit(links(), out)
 
     return (tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .mapInArrow(run, "a binary, b binary").distinct())
@@ -217,9 +245,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, k1, k2, digest, root (digest that names the class): one row per input row, a written table's join."""
     rows = row_keys(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     signed = written(rows.select(F.col("doc_id").cast("long"), "k1", "k2", text_of().alias("t")).mapInArrow(
-        _sign, "doc_id long, k1 long, k2 long, digest binary, bands array<long>, sig binary"), "signed")
+        _sign, "doc_id long, k1 long, k2 long, digest binary, bands array<long>, sig binary, size long"), "signed")
     reps = written(signed.where(F.size("bands") > 0).groupBy("digest").agg(
-        F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"), F.min("k1").alias("k1")), "distinct-texts")
+        F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"), F.any_value("size").alias("size"),
+        F.min("k1").alias("k1")), "distinct-texts")
     buckets = reps.select("digest", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(buckets.join(shared, "bucket"), "buckets")
@@ -236,7 +265,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
              .select(F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct())
     links = written(_verified(_estimated(pairs, reps, threshold - SLACK), texts, threshold), "links")
     labels = components(links)
-    more = written(_verified(_across(members, labels, pivots, reps, threshold - SLACK), texts, threshold), "links")
+    more = written(_across(members, labels, pivots, reps, texts, threshold), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
     return signed.select("doc_id", "k1", "k2", "digest").join(
