@@ -12,7 +12,7 @@ Work and rows grow with documents plus matches, whatever their number; documents
 
 Cases: texts are compared by lower-case runs of letters and digits; an item of fewer than five words has no shingle
 and is never found; null or empty texts hold nothing; repeated item rows count once, items of one id with different
-texts are told apart by text; repeated documents each give their rows; empty tables give an empty result; extra
+texts are told apart by text, an item without an id counts; repeated documents are one document; empty tables give an empty result; extra
 columns are ignored.
 """
 
@@ -83,14 +83,15 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     whole = (rows.withColumn("k", F.coalesce("doc_id", F.lit(-1))).join(met, ["k", "text_key"], "left_semi")
              .dropDuplicates(["k", "text_key"]).select("k", "text_key", shingles(word_array(F.col("t"))).alias("held")))
     shared = F.size(F.array_intersect("shingles", "held"))
-    return (candidates.withColumn("k", F.coalesce("doc_id", F.lit(-1))).join(whole, ["k", "text_key"])
-            .join(base, ["item_id", "item_key"])
+    item = base.withColumnRenamed("item_id", "own_id")
+    same = (candidates["item_key"] == item["item_key"]) & candidates["item_id"].eqNullSafe(item["own_id"])
+    return (candidates.withColumn("k", F.coalesce("doc_id", F.lit(-1))).join(whole, ["k", "text_key"]).join(item, same)
             .select("doc_id", "text_key", "item_id", shared.cast("long").alias("n_shared"), F.col("n").cast("long").alias("n_item"))
             .withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("containment") >= threshold))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row and item: doc_id, item_id, n_shared, n_item, containment."""
+    """One row per document (rows of equal doc_id and text are one) and item: doc_id, item_id, n_shared, n_item, containment."""
     found = contained_items(docs, items, threshold)
     return found.select("doc_id", "item_id", "n_shared", "n_item", "containment")
 
