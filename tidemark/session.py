@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +73,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of df: computed now and written to the shared folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of df: computed now, once, as a written table in the shared folder (``checkpoint()``
+    computes it twice unless it is cached)."""
+    path = f"{checkpoint_root(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

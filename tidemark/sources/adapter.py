@@ -73,10 +73,11 @@ def order_items_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """53 raw TEXT columns plus ``_row_number`` (the landing file's order).
 
-    The wide text projection runs on top of the last join, whose partitions AQE sizes; no
-    shuffle is added for it.
+    The joins may all be broadcasts, and then the rows lie as the files' row groups did; the
+    narrow typed rows are rebalanced before the wide text projection, into as many
+    partitions as AQE finds for their size.
     """
-    j = order_items_typed(spark, sf_dir)
+    j = order_items_typed(spark, sf_dir).hint("rebalance")
     prio = F.substring("o_orderpriority", 1, 1)
     sched = (F.when(prio == "1", 0).when(prio == "2", 1).when(prio == "3", 2).otherwise(4))
     mode = (F.when(prio == "1", "Same Day").when(prio == "2", "First Class")
