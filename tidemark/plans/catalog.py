@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold as gold_ops
 from tidemark.plans import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
