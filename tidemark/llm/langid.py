@@ -18,7 +18,6 @@ Repeated rows give repeated results, an empty table an empty result; extra colum
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
