@@ -1,12 +1,13 @@
 """Licence scan by canonical digest lookup (operator 5).
 
-A text is made canonical line by line: lower case, copyright lines left out, everything but letters and digits to one
+A text is made canonical line by line: lower case, copyright notices left out (not the lines of a licence that begin with
+"copyright holders" or the like), everything but letters and digits to one
 blank, equivalent spellings to one of them. The SHA-256 digest of the canonical entire text, and of each of its
 lines, is joined by hash with the digests of known licences, made canonical in the same way. Only digests travel.
 
 Cases: null and empty texts, and texts of copyright lines alone, have the digest of '' and no licence; repeated rows
 are reported each; a line that matches more than once counts each time; licences that are equal in canonical form
-are all reported; an empty table gives an empty result; columns other than doc_id and text are ignored.
+are all reported; a notice on one line with the text is part of it; an empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -16,10 +17,35 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
 
-#: a line that only says who holds the rights
-COPYRIGHT_LINE = r"^[^\p{L}\p{N}(©]*(copyright([^\p{L}\p{N}]|$)|\(c\)|©|all rights reserved)"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
+# Words after "copyright" with which a line goes on with the text of a licence and names no holder.
+PROSE = ("holder holders owner owners notice notices law laws license licenses licence licences statement statements "
+         "permission permissions protection infringement interest interests status treaty treaties claim claims act and or in "
+         "on of as is are was to for with under that which also line lines page material materials work works disclaimer "
+         "disclaimers information rights right term terms restrictions regulations legislation has have may shall will must "
+         "not if from file files management subject").split()
+
+
+GAPS = r"\x00-/:-@\[-`{-\x{bf}\x{2000}-\x{206f}"
+
+
+def _no_prose(words: list[str]) -> str:
+    """A pattern of the beginning of a word that is none of `words`, without lookahead (DuckDB has none)."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], []).append(w[1:])
+    ends = [] if "" in words or words == PROSE else [rf"[{GAPS}]|$"]
+    heads.pop("", None)
+    return "(" + "|".join([f"[^{GAPS}{''.join(heads)}]", *ends, *(h + _no_prose(rest) for h, rest in heads.items())]) + ")"
+
+
+#: a line that only says who holds the rights: "copyright" alone or before the sign, a year or a holder; "(c)" before a
+#: year or "copyright", or a line of it that ends in a year or a company (else it is the third item of a list)
+COPYRIGHT_LINE = (r"^[^\p{L}\p{N}(©]*(copyright([^\p{L}\p{N}]*$|[^\p{L}\p{N}]+" + _no_prose(PROSE) + ")"
+                  r"|\(c\)([^\p{L}\p{N}]*($|\p{N}{4}|copyright)|[^\n]*[^\p{L}\p{N}](\p{N}{4}|all rights reserved|inc|ltd|llc|gmbh|corp"
+                  r"|corporation|foundation)[^\p{L}\p{N}]*$)|©|all rights reserved)")
+
 # Words that count as the same in licence texts (variant, kept form).
 EQUIVALENTS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
@@ -86,6 +112,15 @@ language governing permissions and limitations under the License."""),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
 
+# Title lines that stand above these texts.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "MIT/X11 License", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD License", "0BSD"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"],
+}
+KNOWN += [(i, f"{title}\n{text}") for i, text in KNOWN[:len(TITLES)] for title in TITLES[i]]
+
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form of each line that is not empty in it."""
