@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import license_table
 from tidemark.llm.common import text_of
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -60,7 +61,7 @@ EQUIVALENTS = [
     ("whilst", "while"), ("wilful", "willful"),
 ]
 
-# Public licence texts and the short notices in use for longer licences.
+# Public licence texts and short notices, with more of both from the data table.
 KNOWN = [
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
@@ -111,15 +112,8 @@ language governing permissions and limitations under the License."""),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
-
-# Title lines that stand above these texts.
-TITLES = {
-    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "MIT/X11 License", "Expat License"],
-    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
-    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD License", "0BSD"],
-    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"],
-}
-KNOWN += [(i, f"{title}\n{text}") for i, text in KNOWN[:len(TITLES)] for title in TITLES[i]]
+KNOWN += [(i, f"{title}\n{text}") for i, text in KNOWN[:4] for title in license_table.TITLES[i]]
+KNOWN = list(dict.fromkeys(KNOWN + license_table.rows()))
 
 
 def canonical_lines(text: Column) -> Column:
