@@ -2,8 +2,8 @@
 
 Markup is stripped into *lines*, one for each block of the page. A line weighs its visible code points outside
 links; lines of boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, comments) and,
-if the page labels its article (`article`, `main`, their roles, or a class or id such as `post-content` that holds at least
-LABEL_SHARE of the text), lines outside of it weigh nothing. Sums of
+if the page labels its article (`article`, `main`, their roles, or a class or id such as `post-content`) and what is labelled holds
+at least LABEL_SHARE of the text, lines outside of it weigh nothing; the closest such label counts, with the `main` around an `article`. Sums of
 weights over a sliding window of `WINDOW` lines give the distribution; it *surges* where a window rises to the
 threshold and *dives* where a window falls to zero, and the text between a surge and its dive is kept. Inside a
 labelled article any text is a surge; on unlabelled pages SURGE_CHARS are needed, and regions of less than
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 WINDOW = 3            # lines in a block
 SURGE_CHARS = 80      # a window's weight where main text begins on an unlabelled page
 REGION_SHARE = 0.2    # a region of an unlabelled page counts from this share of the largest on
-LABEL_SHARE = 0.5     # a container labelled by class or id alone must hold this share of the page's weight
+LABEL_SHARE = 0.5     # labelled containers must hold this share of the page's weight
 LINK_SHARE = 0.5      # a line with more of its text in links weighs nothing on an unlabelled page
 
 # HTML element groups.
@@ -56,6 +56,8 @@ CONTENT_WORDS = frozenset("article entry post content story main body title".spl
 LABELS = frozenset("article content main story articlebody articlecontent postcontent entrycontent maincontent storybody "
                    "postbody entrybody articletext bodycopy".split())
 
+LABELLED, MAIN, ARTICLE = 1, 2, 4    # bits of a line: what it lies in
+
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -93,24 +95,24 @@ def _is_boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 
 def _is_article(tag: str, attrs: dict[str, str]) -> int:
-    """3: the article; 2: the main part; 1: the main part by its class or id; 0: none of these."""
+    """ARTICLE, MAIN, LABELLED (the main part by its class or id), or 0: none of these."""
     if tag == "article" or attrs.get("itemprop", "").lower() == "articlebody" or attrs.get("role", "").lower() == "article":
-        return 3
+        return ARTICLE
     if tag == "main" or attrs.get("role", "").lower() == "main":
-        return 2
+        return MAIN
     names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().replace("-", "").replace("_", "").split()
-    return int(tag in ("div", "section", "td") and not LABELS.isdisjoint(names))
+    return LABELLED if tag in ("div", "section", "td") and not LABELS.isdisjoint(names) else 0
 
 
 def lines_of(page: str, revive: bool = False) -> list[tuple[str, int, int]]:
-    """(text, code points in links, article level) of every line; text of boilerplate lines is ''.
+    """(text, code points in links, labels around it) of every line; text of boilerplate lines is ''.
 
     revive: an article or main element ends whatever boilerplate is still open.
     """
     lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, int]] = []    # open containers: tag, boilerplate, article level
+    stack: list[tuple[str, bool, int]] = []    # open containers: tag, boilerplate, labels outside
     dropped = level = anchors = 0
 
     def flush() -> None:
@@ -173,11 +175,11 @@ def lines_of(page: str, revive: bool = False) -> list[tuple[str, int, int]]:
         kind = 0 if bad else _is_article(tag, attrs)
         if bad or kind or tag in BLOCK and tag not in ("p", "li", "td", "th", "tr", "dd", "dt", "option"):
             flush()
-            if revive and kind > 1:
+            if revive and kind in (ARTICLE, MAIN):
                 dropped, stack[:] = 0, [(t, False, lv) for t, _, lv in stack]
             stack.append((tag, bad, level))
             dropped += bad
-            level = max(level, kind)
+            level |= kind
     flush()
     return lines
 
@@ -186,14 +188,22 @@ def main_text(page: str | None) -> str:
     return _kept(lines_of(page or "")) or (_kept(lines_of(page, True)) if page else "")
 
 
+def _label(lines: list[tuple[str, int, int]], plain: list[int]) -> int:
+    """The labels whose lines are the main text: the closest that hold LABEL_SHARE of the weight; 0 if none do."""
+    held = [lv for text, _, lv in lines if text]
+    for best in (ARTICLE, MAIN, ARTICLE | MAIN, LABELLED, ARTICLE | MAIN | LABELLED):
+        if any(lv & best for lv in held) and sum(n for n, (_, _, lv) in zip(plain, lines) if lv & best) >= LABEL_SHARE * sum(plain):
+            # a main element around the article holds its headings and lead
+            return best | MAIN if best == ARTICLE and any(lv & ARTICLE and lv & MAIN for lv in held) else best
+    return 0
+
+
 def _kept(lines: list[tuple[str, int, int]]) -> str:
     """The text between surges and dives."""
-    best = max((lv for text, _, lv in lines if text), default=0)
     plain = [0 if a > LINK_SHARE * len(t) else len(t) for t, a, _ in lines]
-    if best == 1 and sum(n for n, (_, _, lv) in zip(plain, lines) if lv) < LABEL_SHARE * sum(plain):
-        best = 0
+    best = _label(lines, plain)
     if best:
-        weights, surge = [len(t) if lv == best else 0 for t, _, lv in lines], 1
+        weights, surge = [len(t) if lv & best else 0 for t, _, lv in lines], 1
     else:
         weights, surge = plain, SURGE_CHARS
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(lines))]
