@@ -19,3 +19,27 @@ def test_headings_and_lead_of_the_main_element():
     want = " ".join(TEXT)
     assert main_text(f"<body><div>Out</div><main><h1>Head</h1><p>Lead.</p><article>{BODY}</article></main><div>Out</div></body>") == f"Head Lead. {want}"
     assert main_text(f"<body><main>Other</main><article>{BODY}</article></body>") == want
+
+
+def test_unlabelled_region_keeps_its_lines():
+    links = "".join(f"<li><a href='#'>Link {i}</a></li>" for i in range(4))
+    linked = "<div><a href='#'>A sentence of the article that is a link as a whole</a></div>"
+    body = "".join(f"<div>{t}</div>" for t in TEXT[:3]) + linked + "".join(f"<div>{t}</div>" for t in TEXT[3:])
+    want = " ".join([*TEXT[:3], "A sentence of the article that is a link as a whole", *TEXT[3:]])
+    assert main_text(f"<body><ul>{links}</ul>{body}<ul>{links}</ul></body>") == want
+    last = "A last section after some links, much shorter than the article above, that belongs to it still."
+    assert len(last) < 0.2 * len(want)
+    assert main_text(f"<body>{body}<ul>{links}</ul><div>{last}</div><ul>{links}</ul></body>") == f"{want} {last}"
+
+
+def test_short_unlabelled_page():
+    assert main_text("<body><ul><li><a href='#'>Home</a></li></ul><h1>News</h1><p>It rained.</p></body>") == "News It rained."
+    assert main_text("<body><ul><li><a href='#'>Home</a></li></ul></body>") == ""
+
+
+def test_region_of_links_is_left_out():
+    menu = "".join(f"<div>{'x' * 9} <a href='#'>{'A link with a long name ' * 2}</a></div><div>{'Some words of ' * 3}</div>"
+                   f"<div><a href='#'>{'Another link with a long name ' * 3}</a></div>" for _ in range(4))
+    blank = "<ul>" + "<li><a href='#'>Home</a></li>" * 4 + "</ul>"
+    body = "".join(f"<div>{t}</div>" for t in TEXT)
+    assert main_text(f"<body>{menu}{blank}{body}</body>") == " ".join(TEXT)

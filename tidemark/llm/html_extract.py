@@ -6,12 +6,12 @@ if the page labels its article (`article`, `main`, their roles, or a class or id
 at least LABEL_SHARE of the text, lines outside of it weigh nothing; the closest such label counts, with the `main` around an `article`. Sums of
 weights over a sliding window of `WINDOW` lines give the distribution; it *surges* where a window rises to the
 threshold and *dives* where a window falls to zero, and the text between a surge and its dive is kept. Inside a
-labelled article any text is a surge; on unlabelled pages SURGE_CHARS are needed, and regions of less than
-REGION_SHARE of the largest are left out.
+labelled article any text is a surge; on unlabelled pages SURGE_CHARS are needed, or as much as the page's heaviest window has,
+and regions with more than REGION_LINKS of their text in links are left out. All else of a region is kept, lines of links too.
 
 Character references are decoded, white space inside a block becomes one space, blocks join by one space.
 
-Cases: a null or empty page, or one without main text, gives '' and 0; unclosed and misnested tags, comments and
+Cases: a null or empty page, or one without main text, or less than SURGE_CHARS of text without any tag, gives '' and 0; unclosed and misnested tags, comments and
 scripts end where a browser would end them or at the end of the page, but an advert that is never closed doesn't
 swallow the article; repeated rows give repeated results; an
 empty table gives an empty result; columns other than page_id, url and html are ignored.
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 WINDOW = 3            # lines in a block
 SURGE_CHARS = 80      # a window's weight where main text begins on an unlabelled page
-REGION_SHARE = 0.2    # a region of an unlabelled page counts from this share of the largest on
+REGION_LINKS = 0.5    # a region of an unlabelled page with more of its text in links is no main text
 LABEL_SHARE = 0.5     # labelled containers must hold this share of the page's weight
-LINK_SHARE = 0.5      # a line with more of its text in links weighs nothing on an unlabelled page
+LINK_SHARE = 0.5      # a line with more of its text in links weighs nothing on an unlabelled page, but stays inside a region
 
 # HTML element groups.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "textarea", "select", "title", "object",
@@ -63,6 +63,7 @@ _TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>"
     r"|(?P<text>[^<]+|<)", re.S)
+_TAG = re.compile(r"<[a-zA-Z][^>]*>")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
@@ -185,7 +186,10 @@ def lines_of(page: str, revive: bool = False) -> list[tuple[str, int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    return _kept(lines_of(page or "")) or (_kept(lines_of(page, True)) if page else "")
+    if not page:
+        return ""
+    surge = SURGE_CHARS if _TAG.search(page) is None else 0
+    return _kept(lines_of(page), surge) or _kept(lines_of(page, True), surge)
 
 
 def _label(lines: list[tuple[str, int, int]], plain: list[int]) -> int:
@@ -198,15 +202,13 @@ def _label(lines: list[tuple[str, int, int]], plain: list[int]) -> int:
     return 0
 
 
-def _kept(lines: list[tuple[str, int, int]]) -> str:
-    """The text between surges and dives."""
+def _kept(lines: list[tuple[str, int, int]], least: int) -> str:
+    """The text between surges and dives; least: the weight that a surge needs at least on an unlabelled page."""
     plain = [0 if a > LINK_SHARE * len(t) else len(t) for t, a, _ in lines]
     best = _label(lines, plain)
-    if best:
-        weights, surge = [len(t) if lv & best else 0 for t, _, lv in lines], 1
-    else:
-        weights, surge = plain, SURGE_CHARS
+    weights = [len(t) if lv & best else 0 for t, _, lv in lines] if best else plain
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(lines))]
+    surge = 1 if best else max(least, min(SURGE_CHARS, max(sums, default=0)), 1)
     regions: list[list[int]] = []
     inside = False
     for i, s in enumerate(sums):
@@ -216,9 +218,9 @@ def _kept(lines: list[tuple[str, int, int]]) -> str:
         elif inside and s == 0:
             inside = False
             regions[-1][1] = i
-    size = [sum(weights[a:b]) for a, b in regions]
-    least = REGION_SHARE * max(size, default=0) if not best else 0
-    return " ".join(lines[i][0] for (a, b), s in zip(regions, size) if s >= least for i in range(a, b) if weights[i])
+    if not best:
+        regions = [[a, b] for a, b in regions if sum(n for _, n, _ in lines[a:b]) <= REGION_LINKS * sum(len(t) for t, _, _ in lines[a:b])]
+    return " ".join(lines[i][0] for a, b in regions for i in range(a, b) if (weights[i] if best else lines[i][0]))
 
 
 def extract(pages: DataFrame) -> DataFrame:
