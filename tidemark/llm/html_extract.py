@@ -1,20 +1,21 @@
 """Main text of web pages by line-block distribution (operator 6).
 
 Markup is stripped into *lines*, one for each block of the page. A line weighs its visible code points outside
-links; lines of boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, comments) and,
-if the page labels its article (`article`, `main`, their roles, or a class or id such as `post-content`) and what is labelled holds
-at least LABEL_SHARE of the text, lines outside of it weigh nothing; the closest such label counts, with the `main` around an `article`. Sums of
-weights over a sliding window of `WINDOW` lines give the distribution; it *surges* where a window rises to the
-threshold and *dives* where a window falls to zero, and the text between a surge and its dive is kept. Inside a
-labelled article any text is a surge; on unlabelled pages SURGE_CHARS are needed, or as much as the page's heaviest window has,
-and regions with more than REGION_LINKS of their text in links are left out. All else of a region is kept, lines of links too.
+links; lines of boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, comments) weigh nothing. If
+the page labels its article (`article`, `main`, their roles, or a class or id such as `post-content`) and what is labelled
+holds at least LABEL_SHARE of the text, lines outside of it weigh nothing either; the closest such label counts, with the
+`main` around an `article`. Sums of weights over a sliding window of `WINDOW` lines give the distribution; it *surges* where
+a window rises to the threshold and *dives* where a window falls to zero, and the text between a surge and its dive is kept.
+Inside a labelled article any text is a surge, so its markup alone cuts such a page (windows would lose short paragraphs). On
+unlabelled pages SURGE_CHARS are needed, or as much as the page's heaviest window has, and regions with more than REGION_LINKS
+of their text in links are left out. All else of a region is kept, lines of links too.
 
 Character references are decoded, white space inside a block becomes one space, blocks join by one space.
 
-Cases: a null or empty page, or one without main text, or less than SURGE_CHARS of text without any tag, gives '' and 0; unclosed and misnested tags, comments and
-scripts end where a browser would end them or at the end of the page, but an advert that is never closed doesn't
-swallow the article; repeated rows give repeated results; an
-empty table gives an empty result; columns other than page_id, url and html are ignored.
+Cases: a null or empty page, one without main text, or less than SURGE_CHARS of text without any tag, gives '' and 0;
+unclosed and misnested tags, comments and scripts end where a browser would end them or at the end of the page, but an advert
+that is never closed doesn't swallow the article; repeated rows give repeated results; an empty table gives an empty result;
+columns other than page_id, url and html are ignored.
 """
 
 from __future__ import annotations
