@@ -1,12 +1,13 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search (operator 4, built-in functions only).
+"""Benchmark decontamination by MinHash containment search (operator 4, built-in functions only).
 
 A document contains a test item if it holds at least `threshold` of the item's distinct 5-word shingles anywhere in its
-whole text. Items are partitioned by size, in classes of shingle counts up to 8, 16, 32, ... In a class with counts
-up to u, an item's sketch is its floor((1 - threshold) * n) + 1 least shingle hashes (bottom-k MinHash, k by the size n);
-its class has a cut, the largest hash in any of its sketches. A document that contains the item can miss at most
+whole text. An item's sketch is its floor((1 - threshold) * n) + 1 least shingle hashes (bottom-k MinHash, k by its
+number n of shingles). There is one cut for all items, the largest hash in any sketch; the search is not partitioned by size
+(size_class is a label of the sketches that nothing reads). A document that contains the item can miss at most
 floor((1 - threshold) * n) of its shingles, so it holds at least one of the sketch: the search loses nothing. A
-document's shingle hashes below the largest cut are joined with the sketches, map-side where they are small; what they
-meet are candidates, and these are verified by exact containment of the shingles themselves, not hashes.
+document's shingle hashes up to the cut are joined with the sketches, map-side where they are small; what they
+meet are candidates, and these are verified by exact containment of the shingles themselves, not hashes. An item of few
+shingles has one hash, which may be any: with such items the cut is high and nearly all shingles are joined.
 
 Work and rows grow with documents plus matches, whatever their number; documents and items are joined by key only.
 
@@ -69,7 +70,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     """doc_id, text_key, item_id, n_shared, n_item, containment of every document row's text and item contained in it."""
     base, sketch = sketches(items, threshold)
     base, sketch = written(base, "items"), written(sketch, "sketches")
-    # the cut: one number for each size class, the largest of them bounds what a document has to look up
+    # the cut: the largest hash in any sketch bounds what a document has to look up
     cut = sketch.agg(F.max("h")).first()[0]
     cut = cut if cut is not None else -(1 << 63)
 
