@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (chat, decontam, fingerprints, html_extract, langid, licenses, neardup, packing,
-                          token_counts, warc)
+from tidemark.llm import (chat, codes, concat, decontam, fingerprints, html_extract, langid, licenses, neardup, packing,
+                          resample, token_counts, warc)
 from tidemark.llm.common import read, written
 
 
@@ -59,12 +59,56 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), 4096).drop("n_chunks")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concat.concatenate_and_cut(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.codes(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_chat_format, op3_language_id, op4_decontamination, op5_license_scan, op6_html_extract,
-    op7_near_duplicates, op8_fingerprints, op9_warc, op10_token_counts)}
+    op7_near_duplicates, op8_fingerprints, op9_warc, op10_token_counts,
+    op11_importance_resampling, op12_concat_packing, op13_vector_codes)}
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
+_RUNS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _lloyd_sql(rounds: int = 6) -> str:
+    """The rounds one after another: whole-number parts, nearest entries (distance * 16 + index), floors of means."""
+    def nearest(book: str) -> str:
+        return f"""select p.no, p.part, min(16 * list_sum(list_transform(range(1, 9), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::bigint + b.entry) k
+            from parts p join {book} b using (part) group by p.no, p.part"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""a{r} as materialized ({nearest(f'b{r}')}),
+        m{r} as (select part, k % 16 entry, i, sum(v[i])::bigint s, count(*) n
+            from (select a.part, a.k, p.v, unnest(range(1, 9)) i from a{r} a join parts p using (no, part)) group by 1, 2, 3),
+        b{r + 1} as materialized (select b.part, b.entry, coalesce(m.v, b.v) v from b{r} b left join (
+            select part, entry, list((s - ((s % n) + n) % n) // n order by i) v from m{r} group by 1, 2) m using (part, entry))""")
+    return f"""
+        with kept as (select row_number() over (order by vec_id, embedding) no, vec_id, label,
+                             list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) v from embeddings
+                      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        parts as materialized (select no, part, v[8 * part + 1:8 * part + 8] v from (select no, v, unnest(range(8)) part from kept)),
+        b0 as materialized (select part, no - 1 entry, v from parts where no <= 16),
+        {", ".join(steps)},
+        last as materialized ({nearest(f'b{rounds}')}),
+        found as (select no, string_agg(printf('%02x', k % 16), '' order by part) code, sum(k // 16)::bigint error from last group by no)
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error,
+               (select sha256(string_agg(x, ',' order by part, entry, i)) from (
+                   select part, entry, unnest(v)::varchar x, unnest(range(1, 9)) i from b{rounds})) codebooks_sha256
+        from found join kept using (no)"""
+
+
 ORACLE = {
     "op2_chat_format": r"""
         with rows as (select conv_id::bigint conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations
@@ -98,4 +142,24 @@ ORACLE = {
                case when first_id <> p.page_id then 'revisit' else 'response' end record_type,
                case when first_id <> p.page_id then first_id end refers_to
         from p left join f on p.d = f.d""",
+    "op11_importance_resampling": f"""
+        with crcs as (select list_transform(range(256), lambda i: list_reduce(range(8),
+                         lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) crc),
+        d as (select doc_id, coalesce({_RUNS}, []) w from documents),
+        dw as (select doc_id, unnest(w) w from d), bw as (select unnest({_RUNS}) w from benchmark),
+        words as (select w, sum(s) s, sum(t) t from (select w, 1 s, 0 t from dw union all select w, 0, 1 from bw) group by w),
+        bytes as (select w, s, t, list_transform(range(octet_length(encode(w))),
+                         lambda i: ('0x' || hex(encode(w))[2 * i + 1:2 * i + 2])::bigint) b from words),
+        bucket as materialized (select w, s, t, xor(list_reduce(b, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295),
+                                       4294967295) % 10000 k from bytes, crcs),
+        sums as (select k, sum(s)::double s, sum(t)::double t from bucket group by k),
+        every as (select sum(s) + 10000 s, sum(t) + 10000 t from sums),
+        gain as (select k, floor(1000 * ln((sums.t + 1) * every.s / ((sums.s + 1) * every.t)))::bigint g from sums, every),
+        value as (select w, g from bucket join gain using (k)),
+        weight as (select doc_id, count(*) n, sum(g)::bigint g from dw join value using (w) group by doc_id),
+        score as (select doc_id, coalesce(n, 0)::bigint n_features, coalesce(g, 0)::bigint weight, coalesce(g, 0)::bigint + floor(-1000 * ln(-ln(
+                      (('0x' || sha256('2024:' || doc_id)[:8])::bigint + 0.5::double) / 4294967296)))::bigint score from d left join weight using (doc_id)),
+        place as (select doc_id, row_number() over (order by score desc, doc_id) r, count(*) over () n from score where n_features >= 20)
+        select score.*, case when r <= 10 * n // 100 then r end rank from score left join place using (doc_id)""",
+    "op13_vector_codes": _lloyd_sql(),
 }
