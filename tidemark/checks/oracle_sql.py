@@ -574,6 +574,45 @@ ORACLE["distinct_rows"] = with_prefix(
     "SELECT DISTINCT order_city, order_state, order_country, order_region, market, latitude, longitude FROM prep")
 ORACLE["union_rerun"] = with_prefix("SELECT * EXCLUDE (_row_digest, _ingest) FROM silver", prefix=RERUN_PREFIX)
 
+# ---- The daily job: two landings ------------------------------------------------------
+ORACLE["incremental_silver"] = ORACLE["union_rerun"]
+ORACLE["incremental_bounds"] = with_prefix(
+    """first_bounds AS (
+  SELECT quantile_cont(CAST(sales AS DOUBLE), 0.01) AS _lo, quantile_cont(CAST(sales AS DOUBLE), 0.99) AS _hi
+  FROM titled WHERE _ingest = 1)""",
+    """SELECT 1 AS landing, floor(_lo * 1e6 + 0.5) / 1e6 AS lo, floor(_hi * 1e6 + 0.5) / 1e6 AS hi,
+       (SELECT count(*) FROM titled WHERE _ingest = 1 AND CAST(sales AS DOUBLE) BETWEEN _lo AND _hi) AS rows_kept FROM first_bounds
+UNION ALL
+SELECT 2, floor(_lo * 1e6 + 0.5) / 1e6, floor(_hi * 1e6 + 0.5) / 1e6, (SELECT count(*) FROM silver) FROM bounds""", prefix=RERUN_PREFIX)
+for _table, _cte in GOLD_CTES.items():
+    ORACLE[_table.replace("gold_", "incremental_")] = with_prefix(_cte, f"SELECT * FROM {_table}", prefix=RERUN_PREFIX)
+
+
+def _stable(name: str, id_col: str, natural: list[str], table: str = "cleaned") -> str:
+    """Natural keys with the landing that brought them; ids go by landing, then by natural key."""
+    return (f"{name} AS (SELECT row_number() OVER (ORDER BY _ingest, {_nl(natural)}) AS {id_col}, * FROM ("
+            f"SELECT {', '.join(natural)}, min(_ingest) AS _ingest FROM {table} GROUP BY {', '.join(natural)}))")
+
+
+_STABLE_CTES = ("cleaned AS (SELECT *, CAST(order_date AS DATE) AS full_date FROM titled)",
+                _stable("dim_date", "date_id", ["full_date"]), _stable("dim_location", "location_id", _LOC7),
+                _stable("dim_shipping", "shipping_id", ["shipping_mode", "delivery_status"]))
+ORACLE["stable_keys"] = with_prefix(*_STABLE_CTES, """
+SELECT 'dim_date' AS dimension, date_id AS id, CAST(full_date AS VARCHAR) AS natural_key FROM dim_date
+UNION ALL
+SELECT 'dim_location', location_id, concat_ws('|', order_city, order_state, order_country, order_region, market,
+  CAST(CAST(latitude AS DECIMAL(10,2)) AS VARCHAR), CAST(CAST(longitude AS DECIMAL(10,2)) AS VARCHAR)) FROM dim_location
+UNION ALL
+SELECT 'dim_shipping', shipping_id, concat_ws('|', shipping_mode, delivery_status) FROM dim_shipping""", prefix=RERUN_PREFIX)
+# a fact takes the highest id that its five location columns have by its own landing
+ORACLE["incremental_fact_keys"] = with_prefix(*_STABLE_CTES, f"""
+places AS (SELECT _n, {", ".join(_LOC5)}, max(location_id) AS location_id FROM dim_location, (VALUES (1), (2)) v(_n)
+  WHERE _ingest <= _n GROUP BY _n, {", ".join(_LOC5)})""", f"""
+SELECT s.order_item_id, d.date_id, l.location_id, m.shipping_id FROM silver s
+JOIN dim_date d ON CAST(s.order_date AS DATE) = d.full_date
+LEFT JOIN places l ON l._n = s._ingest AND {_nse('s', 'l', _LOC5)}
+LEFT JOIN dim_shipping m ON {_nse('s', 'm', ['shipping_mode', 'delivery_status'])}""", prefix=RERUN_PREFIX)
+
 
 # ---- Sources and sinks ---------------------------------------------------------------
 _RAW_SELECT = "SELECT " + ", ".join(qi(c) for c in RAW_COLUMNS) + " FROM raw"

@@ -31,10 +31,19 @@ def range_count(rows: int) -> int:
     return max(1, -(-rows // RANGE_ROWS))
 
 
+def value_counts(df: DataFrame, value: Column) -> DataFrame:
+    """v and c: how often each non-NULL value occurs. Counts of several tables add up."""
+    return (df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
+            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+
+
 def exact_quantiles(df: DataFrame, value: Column, probs: list[float]) -> list[float | None]:
-    spark = df.sparkSession
-    counts = checkpointed(df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
-                          .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    return quantiles_of_counts(checkpointed(value_counts(df, value)), probs)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float]) -> list[float | None]:
+    """Steps 2 to 4 on a written table of distinct values v and their counts c."""
+    spark = counts.sparkSession
     ranged = checkpointed(counts.repartitionByRange(range_count(counts.count()), "v")
                           .select("v", "c", F.spark_partition_id().alias("_pid")))
     totals = sorted((r["_pid"], r["t"]) for r in ranged.groupBy("_pid").agg(F.sum("c").alias("t")).collect())

@@ -156,17 +156,19 @@ def surrogate_key_lookup(spark, sf_dir):
 @register("surrogate_keys")
 def surrogate_keys(spark, sf_dir):
     """Dense ids over the sorted natural keys of the three sequence-keyed dimensions."""
-    d = layers.star(spark, sf_dir, "dim_date").select(
-        F.lit("dim_date").alias("dimension"), F.col("date_id").alias("id"),
-        F.col("full_date").cast("string").alias("natural_key"))
-    loc = layers.star(spark, sf_dir, "dim_location").select(
+    return _natural_keys(*(layers.star(spark, sf_dir, d) for d in ("dim_date", "dim_location", "dim_shipping")))
+
+
+def _natural_keys(dates: DataFrame, locations: DataFrame, shipping: DataFrame) -> DataFrame:
+    d = dates.select(F.lit("dim_date").alias("dimension"), F.col("date_id").alias("id"),
+                     F.col("full_date").cast("string").alias("natural_key"))
+    loc = locations.select(
         F.lit("dim_location").alias("dimension"), F.col("location_id").alias("id"),
         F.concat_ws("|", "order_city", "order_state", "order_country", "order_region", "market",
                     F.col("latitude").cast("decimal(10,2)").cast("string"),
                     F.col("longitude").cast("decimal(10,2)").cast("string")).alias("natural_key"))
-    s = layers.star(spark, sf_dir, "dim_shipping").select(
-        F.lit("dim_shipping").alias("dimension"), F.col("shipping_id").alias("id"),
-        F.concat_ws("|", "shipping_mode", "delivery_status").alias("natural_key"))
+    s = shipping.select(F.lit("dim_shipping").alias("dimension"), F.col("shipping_id").alias("id"),
+                        F.concat_ws("|", "shipping_mode", "delivery_status").alias("natural_key"))
     return d.unionByName(loc).unionByName(s)
 
 
@@ -545,14 +547,60 @@ def distinct_rows(spark, sf_dir):
 
 @register("union_rerun")
 def union_rerun(spark, sf_dir):
-    """Two ingests unioned and refined: the first misses the debit payments, the second, a day
-    later, has every row with another status and at earlier places.  First seen goes by ingest
-    before place, so the second adds the debits and changes nothing else."""
-    first = layers.bronze(spark, sf_dir).drop("_ingest_date")
-    second = first.withColumns({
-        "_ingestion_ts": F.lit("9999-12-31T00:00:00"), "_row_number": F.col("_row_number") - 1_000_000_000_000,
-        "Order Status": F.concat(F.col("Order Status"), F.lit(" again"))})
-    return S.refine_silver(first.filter(F.col("Type") != "DEBIT").unionByName(second)).drop(*ORDER_COLUMNS)
+    """Two ingests unioned and refined (``layers.two_landings``).  First seen goes by ingest before place, so the
+    second adds the debits and changes nothing else."""
+    first, second = layers.two_landings(layers.bronze(spark, sf_dir))
+    return S.refine_silver(first.unionByName(second)).drop(*ORDER_COLUMNS)
+
+
+# ---- The daily job: layers that move on batch by batch (X1, P8, P11, A1-A6, W8, J7) -----
+@register("incremental_silver")
+def incremental_silver(spark, sf_dir):
+    """P8 across batches: Silver after two landings; the second read no wide row of the first."""
+    from tidemark.incremental.silver import silver as latest
+    return latest(layers.landed_store(spark, sf_dir)).drop(*ORDER_COLUMNS)
+
+
+@register("incremental_bounds")
+def incremental_bounds(spark, sf_dir):
+    """P11 across batches: the bounds after each landing and the rows between them."""
+    from tidemark.incremental.silver import bounds_of, silver as rows_of
+    store = layers.landed_store(spark, sf_dir)
+    out = None
+    for number in (1, 2):
+        version = store.version(number)
+        b = bounds_of(store, version)
+        one = rows_of(store, version).agg(F.count(F.lit(1)).alias("rows_kept")).select(
+            F.lit(number).alias("landing"), F.lit(b.lo).alias("lo"), F.lit(b.hi).alias("hi"), "rows_kept")
+        out = one if out is None else out.unionByName(one)
+    r6 = lambda c: (F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c)
+    return out.select("landing", r6("lo"), r6("hi"), "rows_kept")
+
+
+def _incremental_gold(name: str) -> Query:
+    def q(spark, sf_dir):
+        from tidemark.incremental.gold import gold as folded
+        return folded(layers.landed_store(spark, sf_dir), name)
+    return q
+
+
+for _name in layers.GOLD_TABLES:   # A1-A6 folded from the state of two landings
+    QUERIES[_name.replace("gold_", "incremental_")] = _incremental_gold(_name)
+
+
+@register("stable_keys")
+def stable_keys(spark, sf_dir):
+    """W8 across batches: the ids of the first landing stay, the second goes on from them."""
+    from tidemark.incremental.keys import dimension
+    store = layers.landed_store(spark, sf_dir)
+    return _natural_keys(*(dimension(store, d) for d in ("dim_date", "dim_location", "dim_shipping")))
+
+
+@register("incremental_fact_keys")
+def incremental_fact_keys(spark, sf_dir):
+    """J7 across batches: the ids that each fact got with its landing."""
+    from tidemark.incremental.daily import facts
+    return facts(layers.landed_store(spark, sf_dir)).select("order_item_id", "date_id", "location_id", "shipping_id")
 
 
 # ---- Sources and sinks (S1, S7-S9, S11), streaming ingest (X1) ------------------------

@@ -143,3 +143,24 @@ def landing_csv(spark: SparkSession, sf_dir: str) -> str:
 def output(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """The folder of a sink's output, written once like a layer (no copy per call)."""
     return _layer_path(spark, sf_dir, f"out/{name}", write)
+
+
+def two_landings(bronze_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two batches of Bronze: the first misses the debit payments; the second, a later ingest, has every row with another
+    status and at earlier places, so it brings new order items and repeats the known ones."""
+    first = bronze_rows.drop("_ingest_date")
+    second = first.withColumns({
+        "_ingestion_ts": F.lit("9999-12-31T00:00:00"), "_row_number": F.col("_row_number") - 1_000_000_000_000,
+        "Order Status": F.concat(F.col("Order Status"), F.lit(" again"))})
+    return first.filter(F.col("Type") != "DEBIT"), second
+
+
+def landed_store(spark: SparkSession, sf_dir: str):
+    """The incremental layers after two landings, one published version for each."""
+    from tidemark.incremental.daily import run_batch
+    from tidemark.incremental.tables import VersionedTables
+
+    def build(path):
+        for n, batch in enumerate(two_landings(bronze(spark, sf_dir))):
+            run_batch(VersionedTables(spark, path), batch, n)
+    return VersionedTables(spark, output(spark, sf_dir, "landings", build))

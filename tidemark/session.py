@@ -78,3 +78,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_root(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours on whatever store it lies."""
+    where, store = _hadoop_path(spark, path)
+    store.delete(where, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    where, store = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(where) if s.isDirectory()) if store.exists(where) else []
