@@ -60,10 +60,10 @@ def test_orphan_rows_are_listed(spark, sf_small, monkeypatch):
 
 def test_load_keeps_types_and_wide_keys(spark, sf_small, tmp_dir):
     from tidemark.schemas import STAR_DDL
-    from tidemark.sources.loader import load_star
+    from tidemark.sources.loader import load_star, loaded
     t = dict(layers.star_tables(spark, sf_small))
     t["fact_sales"] = t["fact_sales"].withColumn("order_item_id", F.col("order_item_id") + 3_000_000_000)
     report = load_star(spark, t, tmp_dir + "/wh").collect()
     assert {(r["table_name"], r["column_name"], r["data_type"]) for r in report} == {
         (name, c, k) for name, cols in STAR_DDL.items() for c, k in cols}
-    assert spark.read.parquet(tmp_dir + "/wh/fact_sales").agg(F.min("order_item_id")).first()[0] > 3_000_000_000
+    assert loaded(spark, tmp_dir + "/wh")["fact_sales"].agg(F.min("order_item_id")).first()[0] > 3_000_000_000

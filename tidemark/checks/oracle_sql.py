@@ -574,6 +574,27 @@ ORACLE["distinct_rows"] = with_prefix(
     "SELECT DISTINCT order_city, order_state, order_country, order_region, market, latitude, longitude FROM prep")
 ORACLE["union_rerun"] = with_prefix("SELECT * EXCLUDE (_row_digest, _ingest) FROM silver", prefix=RERUN_PREFIX)
 
+ORACLE["load_rejects"] = with_star("""
+WITH broken AS (SELECT order_item_id AS item, 0 AS copy, customer_id, date_id, shipping_id,
+    CASE WHEN order_item_id % 97 = 0 THEN -product_card_id ELSE product_card_id END AS product_card_id,
+    CASE WHEN order_item_id % 101 = 0 THEN NULL ELSE location_id END AS location_id FROM fact_sales),
+faulty AS (SELECT *, CASE WHEN item % 89 = 0 THEN NULL ELSE item END AS order_item_id FROM (
+    SELECT * FROM broken UNION ALL SELECT * REPLACE (1 AS copy, -1 AS customer_id) FROM broken WHERE item % 83 = 0))
+SELECT item, copy, order_item_id, product_card_id, customer_id, concat_ws(',',
+    CASE WHEN order_item_id IS NOT NULL AND copy = 1 THEN 'duplicate_key' END,
+    CASE WHEN order_item_id IS NULL THEN 'null_key' END,
+    CASE WHEN customer_id NOT IN (SELECT customer_id FROM dim_customer) THEN 'orphan:customer_id' END,
+    CASE WHEN date_id NOT IN (SELECT date_id FROM dim_date) THEN 'orphan:date_id' END,
+    CASE WHEN location_id NOT IN (SELECT location_id FROM dim_location) THEN 'orphan:location_id' END,
+    CASE WHEN product_card_id NOT IN (SELECT product_card_id FROM dim_product) THEN 'orphan:product_card_id' END,
+    CASE WHEN shipping_id NOT IN (SELECT shipping_id FROM dim_shipping) THEN 'orphan:shipping_id' END) AS reasons
+FROM faulty""")
+ORACLE["mergeable_distinct"] = with_denorm("""
+SELECT 'order_id' AS what, year, month, count(DISTINCT order_id) AS n FROM denorm GROUP BY ROLLUP (year, month)
+UNION ALL
+SELECT 'customer_id', year, month, count(DISTINCT customer_id) FROM denorm GROUP BY ROLLUP (year, month)""")
+
+
 # ---- The daily job: two landings ------------------------------------------------------
 ORACLE["incremental_silver"] = ORACLE["union_rerun"]
 ORACLE["incremental_bounds"] = with_prefix(
@@ -618,6 +639,9 @@ LEFT JOIN dim_shipping m ON {_nse('s', 'm', ['shipping_mode', 'delivery_status']
 _RAW_SELECT = "SELECT " + ", ".join(qi(c) for c in RAW_COLUMNS) + " FROM raw"
 ORACLE["csv_scan"] = with_prefix(_RAW_SELECT)
 ORACLE["incremental_bronze"] = with_prefix(_RAW_SELECT)
+ORACLE["dense_row_number"] = with_prefix("""
+SELECT CAST("Order Item Id" AS BIGINT) AS order_item_id, _row_hash,
+       row_number() OVER (ORDER BY CAST("Order Item Id" AS BIGINT), _row_digest) AS _row_number FROM bronze""")
 ORACLE["csv_sink"] = with_gold("SELECT * FROM gold_product_performance", ["gold_product_performance"])
 ORACLE["gold_export"] = with_gold("SELECT * FROM gold_late_delivery_risk", ["gold_late_delivery_risk"])
 _LOAD = ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.incremental import gold, keys, silver
-from tidemark.incremental.tables import Version, VersionedTables
+from tidemark.incremental.tables import Version, VersionedTables, at_once
 from tidemark.operators.features import add_features
 from tidemark.operators.star import FACT_COLUMNS
 from tidemark.session import checkpointed
@@ -23,11 +23,11 @@ def run_batch(store: VersionedTables, bronze: DataFrame, batch: int, key_parts:
         return version
     step = silver.add_batch(store, version, bronze, parts=key_parts)
     maps, key_folders = keys.add_batch(store, version, step.rows)
-    featured = add_features(step.rows)
-    facts = store.write(keys.with_ids(featured, maps).select(*FACT_COLUMNS), "facts")
-    signed = checkpointed(add_features(silver.changed(store, version, step)).select(*GOLD_COLUMNS))
-    gold_folders = gold.add_batch(store, version, signed)
-    return store.publish({**step.folders, **key_folders, **gold_folders, "facts": [*version.of("facts"), facts]}, batch)
+    facts = keys.with_ids(add_features(step.rows), maps).select(*FACT_COLUMNS)
+    signed = add_features(silver.changed(store, version, step)).select(*GOLD_COLUMNS)
+    done = at_once({"facts": lambda: store.write(facts, "facts"),
+                    "gold": lambda: gold.add_batch(store, version, checkpointed(signed))})
+    return store.publish({**step.folders, **key_folders, **done["gold"], "facts": [*version.of("facts"), done["facts"]]}, batch)
 
 
 # what Gold reads of a row

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import as_money, mean_exact, pct, round2
 from tidemark.incremental.silver import merged
-from tidemark.incremental.tables import Version, VersionedTables
+from tidemark.incremental.tables import Version, VersionedTables, at_once
 from tidemark.operators.gold import mom_growth
 
 SUM, COUNT = "decimal(38,2)", "bigint"
@@ -166,15 +167,16 @@ def _states() -> dict[str, State]:
 
 def add_batch(store: VersionedTables, version: Version, signed: DataFrame) -> dict[str, list[str]]:
     """Write the deltas of a batch, from the featured rows that enter or leave Silver; the folders of every state table."""
-    out = {}
+    tasks = {}
     for name, state in _states().items():
-        delta = store.write(state.sums_of(signed), f"{name}_sums")
-        out[f"{name}_sums"] = merged(store, [*version.of(f"{name}_sums"), delta], f"{name}_sums", state.sum_schema(signed), state.add_sums)
+        tasks[f"{name}_sums"] = (state.sums_of(signed), state.sum_schema(signed), state.add_sums)
         if state.orders:
-            delta = store.write(state.orders_of(signed), f"{name}_orders")
-            out[f"{name}_orders"] = merged(store, [*version.of(f"{name}_orders"), delta], f"{name}_orders",
-                                           state.order_schema(signed), state.add_orders)
-    return out
+            tasks[f"{name}_orders"] = (state.orders_of(signed), state.order_schema(signed), state.add_orders)
+
+    def write(table, delta, schema, add):
+        return merged(store, [*version.of(table), store.write(delta, table)], table, schema, add)
+
+    return at_once({table: partial(write, table, *task) for table, task in tasks.items()})
 
 
 def gold(store: VersionedTables, name: str, version: Version | None = None) -> DataFrame:

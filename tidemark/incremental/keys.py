@@ -7,11 +7,13 @@ right; the first batch gives the same ids as a run from scratch.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.incremental.silver import merged
-from tidemark.incremental.tables import Version, VersionedTables
+from tidemark.incremental.tables import Version, VersionedTables, at_once
 from tidemark.operators.star import LOCATION_COLS, LOCATION_KEY, SHIPPING_COLS, _surrogate
 
 # dimension: (id column, natural key)
@@ -49,10 +51,8 @@ def natural_keys(rows: DataFrame) -> DataFrame:
 def add_batch(store: VersionedTables, version: Version, rows: DataFrame) -> tuple[dict[str, DataFrame], dict[str, list[str]]]:
     """Key maps after the batch's first rows (trimmed or not: a key once given is never taken back)."""
     rows = natural_keys(rows)
-    maps, folders = {}, {}
-    for name in KEY_MAPS:
-        maps[name], folders[f"keys_{name}"] = assign(store, version, name, rows)
-    return maps, folders
+    found = at_once({name: partial(assign, store, version, name, rows) for name in KEY_MAPS})
+    return {name: found[name][0] for name in KEY_MAPS}, {f"keys_{name}": found[name][1] for name in KEY_MAPS}
 
 
 def with_ids(rows: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:

@@ -9,18 +9,28 @@ Old folders are never changed, so a reader that has begun goes on. There is one
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import delete_folder, folder_names
+from tidemark.session import delete_folder, folder_names, path_exists
 
 _VERSIONS = "version long, batch long, table string, part int, folders array<string>"
 WHOLE = -1      # the part of tables that have no parts
 
+JOBS = 8        # Spark jobs of a batch that run side by side
+
+
+def at_once(tasks: dict[str, Callable]) -> dict:
+    """Results of independent tasks by name; each starts Spark jobs, which share the executors."""
+    with ThreadPoolExecutor(JOBS) as pool:
+        running = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: task.result() for name, task in running.items()}
+
 
 @dataclass(frozen=True)
 class Version:
@@ -50,12 +60,9 @@ class VersionedTables:
         return self._version(number)
 
     def _version(self, number: int | None) -> Version:
-        try:
-            known = self.spark.read.schema(_VERSIONS).parquet(f"{self.root}/_versions")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.root}/_versions"):
             return Version()
+        known = self.spark.read.schema(_VERSIONS).parquet(f"{self.root}/_versions")
         if number is None:
             number = known.agg(F.max("version")).first()[0]
         rows = known.filter(F.col("version") == number).collect()      # tables and parts of one version

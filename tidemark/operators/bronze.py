@@ -12,12 +12,11 @@ from tidemark.schemas import LINEAGE_COLUMNS, RAW_COLUMNS, ROW_COLUMNS
 
 
 def stamp_row_number(raw: DataFrame) -> DataFrame:
-    """Position of a row inside the file split it was read from.
+    """Position of a row inside the file split it was read from, where the rows have no number yet.
 
     ``monotonically_increasing_id`` grows along a task's rows, and a split is read by one
-    task, so within (``_source_file``, ``_file_block``) it is the order of the file.  It is
-    not dense - a dense 1..n would force every row through one task - and across splits it
-    means nothing: Spark packs splits by size.  File order is the triple of the three.
+    task, so within (``_source_file``, ``_file_block``) it is the order of the file.  Across splits it
+    means nothing: Spark packs splits by size.  ``csv_source.dense_row_numbers`` makes 1..n of it (S4).
     """
     if "_row_number" in raw.columns:
         return raw

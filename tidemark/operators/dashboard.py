@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import mean_exact, pct
+from tidemark.operators.star import FACT_YEAR
 
 # The columns of each dimension in the denormalised star.
 DENORM_DIM_COLUMNS = {
@@ -35,6 +36,10 @@ def denormalised(tables: dict[str, DataFrame], dims: list[str] | None = None) ->
         if dims is not None and dim not in dims:
             continue
         d = tables[dim].select(key, *DENORM_DIM_COLUMNS[dim])
+        if dim == "dim_date" and FACT_YEAR in df.columns:
+            # a fact in folders by year: a filter on the date's year is one on the folders, too
+            df = df.join(d, (df[key] == d[key]) & (df[FACT_YEAR] == d["year"]), "left").drop(d[key]).drop(FACT_YEAR)
+            continue
         df = df.join(F.broadcast(d) if dim == "dim_shipping" else d, key, "left")
     return df
 

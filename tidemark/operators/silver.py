@@ -78,8 +78,12 @@ def first_rows(df: DataFrame, key: str, *also: str) -> DataFrame:
 
 
 def pick_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
-    """The wide rows whose ids are in ``rows``: a hash semi-join, the wide side is not sorted."""
-    return df.join(rows.select(*ROW_ID).hint("shuffle_hash"), ROW_ID, "left_semi").select(*[q(c) for c in df.columns])
+    """The wide rows whose ids are in ``rows``.
+
+    A semi-join without a hint: it can spill, and AQE makes a broadcast or a hash join of it where it measures the narrow
+    side (or each of its partitions, see ``session.BASE_CONF``) to be small, so that the wide side is not sorted then.
+    """
+    return df.join(rows.select(*ROW_ID), ROW_ID, "left_semi").select(*[q(c) for c in df.columns])
 
 
 def fill_nulls(df: DataFrame, fills: dict | None = None) -> DataFrame:

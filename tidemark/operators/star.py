@@ -10,6 +10,9 @@ from tidemark.operators.features import customer_metrics
 from tidemark.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 from tidemark.session import checkpointed
 
+# the fact's folders are named by it, see layers.fact_by_year
+FACT_YEAR = "order_year"
+
 FIRST_SEEN = ["_ingestion_ts", "_source_file", "_file_block", "_row_number", "_row_digest"]
 
 # The columns of the star tables.
@@ -109,8 +112,8 @@ def dim_shipping(prep: DataFrame) -> DataFrame:
     return _surrogate(prep.select(*SHIPPING_COLS).distinct(), "shipping_id", SHIPPING_COLS)
 
 
-def fact_sales(prep: DataFrame, dates: DataFrame, locations: DataFrame, shipping: DataFrame) -> DataFrame:
-    """Fact rows with the three looked-up surrogate ids.
+def fact_sales(prep: DataFrame, dates: DataFrame, locations: DataFrame, shipping: DataFrame, also: list[str] = []) -> DataFrame:
+    """Fact rows with the three looked-up surrogate ids (and ``also``, columns of prep).
 
     The location lookup uses 5 of the 7 columns, so where several lat/lon rows share
     a 5-column key the LAST id wins (as a dict built from the dimension would).
@@ -131,7 +134,7 @@ def fact_sales(prep: DataFrame, dates: DataFrame, locations: DataFrame, shipping
         e = f[c].eqNullSafe(sl["_s_" + c])
         cond = e if cond is None else cond & e
     f = f.join(sl, cond, "left")
-    return f.select(*FACT_COLUMNS)
+    return f.select(*FACT_COLUMNS, *also)
 
 
 def build_star(prep: DataFrame) -> dict[str, DataFrame]:

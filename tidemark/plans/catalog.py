@@ -113,6 +113,29 @@ def integrity_anti_join(spark, sf_dir):
     return out
 
 
+def faulty_fact(fact: DataFrame) -> DataFrame:
+    """The fact with broken keys at fixed items: orphans, NULL keys, NULL references and changed copies (``_copy`` 1)."""
+    at = lambda n: F.col("order_item_id") % n == 0
+    broken = fact.withColumns({
+        "_copy": F.lit(0), "product_card_id": F.when(at(97), -F.col("product_card_id")).otherwise(F.col("product_card_id")),
+        "location_id": F.when(at(101), F.lit(None)).otherwise(F.col("location_id"))})
+    copies = broken.filter(at(83)).withColumns({"_copy": F.lit(1), "customer_id": F.lit(-1).cast("bigint")})
+    return (broken.unionByName(copies).withColumn("_item", F.col("order_item_id"))
+            .withColumn("order_item_id", F.when(at(89), F.lit(None)).otherwise(F.col("order_item_id"))))
+
+
+@register("load_rejects")
+def load_rejects(spark, sf_dir):
+    """S10/J8 enforced: rows of a faulty load that are refused, with the reasons, and those that load (no reason)."""
+    from tidemark.operators.constraints import REASONS, split_load
+    path = layers.output(spark, sf_dir, "rejects", lambda path: None)
+    t = layers.star_tables(spark, sf_dir)
+    accepted, rejected = split_load(faulty_fact(t["fact_sales"]), t, ["_copy"], path)
+    columns = ["_item", "_copy", "order_item_id", "product_card_id", "customer_id"]
+    return accepted.select(*columns, F.lit("").alias("reasons")).unionByName(
+        rejected.select(*columns, F.concat_ws(",", REASONS).alias("reasons"))).withColumnsRenamed({"_item": "item", "_copy": "copy"})
+
+
 def _fact_join(dim: str, key: str, cols: list[str]) -> Query:
     def q(spark, sf_dir):
         f = layers.star(spark, sf_dir, "fact_sales").select("order_item_id", key)
@@ -357,12 +380,31 @@ DASH_SLICE = D.Slice(years=[1996, 1997, 1998], markets=["Asia", "Europe", "Ameri
 
 @register("dashboard_slice")
 def dashboard_slice(spark, sf_dir):
-    """The one query that slices; it joins the dimensions of the four filter columns."""
+    """The one query that slices; it joins the dimensions of the four filter columns and reads the folders of
+    the selected years."""
     dims = ["dim_date", "dim_customer", "dim_location", "dim_shipping"]
-    return DASH_SLICE.apply(D.denormalised(layers.star_tables(spark, sf_dir), dims)).select(
+    tables = {**layers.star_tables(spark, sf_dir), "fact_sales": layers.fact_by_year(spark, sf_dir)}
+    return DASH_SLICE.apply(D.denormalised(tables, dims)).select(
         "order_item_id", "year", "market", "customer_segment", "shipping_mode", "sales")
 
 
+@register("mergeable_distinct")
+def mergeable_distinct(spark, sf_dir):
+    """A18-A20, A24 mergeable: distinct orders and customers by month, by year and in all, from one bitmap state by month."""
+    from tidemark.functions.distinct import count_bitmaps, id_bitmaps, merge_bitmaps
+    t = layers.star_tables(spark, sf_dir)
+    rows = D.denormalised({**t, "fact_sales": t["fact_sales"].select("date_id", "order_id", "customer_id")}, ["dim_date"])
+    out = None
+    for what in ("order_id", "customer_id"):
+        state = id_bitmaps(rows, ["year", "month"], what)
+        for keys in (["year", "month"], ["year"], []):
+            counts = count_bitmaps(state if len(keys) == 2 else merge_bitmaps(state, keys), keys, "n")
+            one = counts.select(F.lit(what).alias("what"), *[(F.col(k) if k in keys else F.lit(None)).cast("int").alias(k)
+                                                             for k in ("year", "month")], "n")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("distinct_values")
 def distinct_values(spark, sf_dir):
     """P14."""
@@ -641,17 +683,31 @@ def star_load(spark, sf_dir):
 
 @register("run_metrics")
 def run_metrics(spark, sf_dir):
-    """Per-stage counts of the session's pipeline run, from the written ``pipeline_runs``."""
+    """Per-stage counts of the session's pipeline run, from the written ``pipeline_runs``; each was observed while
+    its table was written."""
     from tidemark.plans.pipeline import record_run, stage_counts
 
     def build(path):
-        gold = {n: layers.gold(spark, sf_dir, n) for n in layers.GOLD_TABLES}
-        counts = stage_counts(layers.raw(spark, sf_dir), issue_report(spark, sf_dir), layers.bronze(spark, sf_dir),
-                              layers.silver(spark, sf_dir), gold, layers.star_tables(spark, sf_dir))
+        issues = V.total_issues(issue_report(spark, sf_dir)).first()[0]
+        names = layers.GOLD_TABLES + layers.STAR_TABLES
+        for n in names:     # the layers, where they are not written yet
+            layers.gold(spark, sf_dir, n) if n in layers.GOLD_TABLES else layers.star(spark, sf_dir, n)
+        rows = lambda n: layers.rows_written(spark, sf_dir, n)
+        counts = stage_counts(spark, layers.rows_extracted(spark, sf_dir), issues, rows("bronze"), rows("silver"), {n: rows(n) for n in names})
         record_run(counts, path, layers.as_of(spark, sf_dir))
     return spark.read.parquet(layers.output(spark, sf_dir, "pipeline_runs", build)).drop("run_id", "finished_at")
 
 
+@register("dense_row_number")
+def dense_row_number(spark, sf_dir):
+    """1..n in file order through the CSV path, over files that hold the order items in order."""
+    from tidemark.operators.bronze import ingest_bronze
+    from tidemark.session import checkpointed
+    landed = checkpointed(CSV.read_raw_csv(spark, layers.sorted_landing(spark, sf_dir)))
+    rows = ingest_bronze(CSV.dense_row_numbers(landed), "landing", layers.as_of(spark, sf_dir))
+    return rows.select(F.col("`Order Item Id`").cast("bigint").alias("order_item_id"), "_row_hash", "_row_number")
+
+
 @register("incremental_bronze")
 def incremental_bronze(spark, sf_dir):
     """Landing files streamed into Bronze (availableNow trigger); a second call finds nothing new."""

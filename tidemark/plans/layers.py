@@ -12,7 +12,7 @@ import hashlib
 import os
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as bronze_ops
@@ -26,7 +26,9 @@ from tidemark.sources.driver_tables import read_table, table_path
 
 _LOCK = threading.RLock()
 _BUILT: dict[tuple, str] = {}
+_ROWS: dict[str, int] = {}      # rows of each written layer, observed by its write
 
+LANDING_FILES = 5
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 GOLD_TABLES = list(gold_ops.GOLD_BUILDERS)
 STAR_TABLES = ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping", "fact_sales"]
@@ -72,19 +74,38 @@ def as_of(spark: SparkSession, sf_dir: str) -> str:
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0] or "1970-01-01T00:00:00"
 
 
+def _write(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Write a layer and keep its number of rows, counted by the write itself."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _ROWS[path] = seen.get["rows"]
+
+
+def rows_written(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """The rows of a layer that has been built, without reading it."""
+    return _ROWS[_layer_path(spark, sf_dir, name, None)]
+
+
+def rows_extracted(spark: SparkSession, sf_dir: str) -> int:
+    return _ROWS[_layer_path(spark, sf_dir, "bronze", None) + "/extract"]
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_base_conf(spark)
 
     def build(path):
-        raw = raw_order_items(spark, sf_dir)
+        extracted, seen = Observation(), Observation()
+        raw = raw_order_items(spark, sf_dir).observe(extracted, F.count(F.lit(1)).alias("rows"))
         ts = as_of(spark, sf_dir)
-        bronze_ops.write_bronze(bronze_ops.ingest_bronze(raw, f"driver-tables:{sf_dir}", ts), path, ts[:10])
+        rows = bronze_ops.ingest_bronze(raw, f"driver-tables:{sf_dir}", ts).observe(seen, F.count(F.lit(1)).alias("rows"))
+        bronze_ops.write_bronze(rows, path, ts[:10])
+        _ROWS[path], _ROWS[path + "/extract"] = seen.get["rows"], extracted.get["rows"]
     return _materialise(spark, sf_dir, "bronze", build)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(path):
-        refine_silver(bronze(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _write(refine_silver(bronze(spark, sf_dir)), path)
     return _materialise(spark, sf_dir, "silver", build)
 
 
@@ -97,7 +118,7 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     builder = gold_ops.GOLD_BUILDERS[name]
 
     def build(path):
-        builder(prep(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _write(builder(prep(spark, sf_dir)), path)
     return _materialise(spark, sf_dir, name, build)
 
 
@@ -105,24 +126,36 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Dimensions first, then the fact (which looks up the written dimensions)."""
     p = lambda: prep(spark, sf_dir)
     if name == "dim_customer":
-        return _materialise(spark, sf_dir, name, lambda path: star_ops.dim_customer(p()).write.mode("overwrite").parquet(path))
+        return _materialise(spark, sf_dir, name, lambda path: _write(star_ops.dim_customer(p()), path))
     if name == "dim_product":
-        return _materialise(spark, sf_dir, name, lambda path: star_ops.dim_product(p()).write.mode("overwrite").parquet(path))
+        return _materialise(spark, sf_dir, name, lambda path: _write(star_ops.dim_product(p()), path))
     if name == "dim_date":
-        return _materialise(spark, sf_dir, name, lambda path: star_ops.dim_date(p()).write.mode("overwrite").parquet(path))
+        return _materialise(spark, sf_dir, name, lambda path: _write(star_ops.dim_date(p()), path))
     if name == "dim_location":
-        return _materialise(spark, sf_dir, name, lambda path: star_ops.dim_location(p()).write.mode("overwrite").parquet(path))
+        return _materialise(spark, sf_dir, name, lambda path: _write(star_ops.dim_location(p()), path))
     if name == "dim_shipping":
-        return _materialise(spark, sf_dir, name, lambda path: star_ops.dim_shipping(p()).write.mode("overwrite").parquet(path))
+        return _materialise(spark, sf_dir, name, lambda path: _write(star_ops.dim_shipping(p()), path))
     if name == "fact_sales":
         def build(path):
             f = star_ops.fact_sales(p(), star(spark, sf_dir, "dim_date"), star(spark, sf_dir, "dim_location"),
-                                    star(spark, sf_dir, "dim_shipping"))
-            f.write.mode("overwrite").parquet(path)
-        return _materialise(spark, sf_dir, name, build)
+                                    star(spark, sf_dir, "dim_shipping"), [star_ops.FACT_YEAR])
+            _write(f.repartition(F.col(star_ops.FACT_YEAR), F.pmod(F.xxhash64("order_item_id"), F.lit(_year_files(spark, sf_dir)))),
+                   path, star_ops.FACT_YEAR)
+        return _materialise(spark, sf_dir, name, build).drop(star_ops.FACT_YEAR)
     raise KeyError(name)
 
 
+def _year_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of each year of the fact: about a million rows each, if years are alike."""
+    return max(1, rows_written(spark, sf_dir, "silver") // 5_000_000)
+
+
+def fact_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the year that its folders are named by."""
+    star(spark, sf_dir, "fact_sales")
+    return spark.read.parquet(_layer_path(spark, sf_dir, "fact_sales", None))
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: star(spark, sf_dir, n) for n in STAR_TABLES}
 
@@ -140,6 +173,16 @@ def landing_csv(spark: SparkSession, sf_dir: str) -> str:
     return _layer_path(spark, sf_dir, "landing", lambda path: write_raw_csv(raw(spark, sf_dir), path))
 
 
+def sorted_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Landing CSV files whose rows go by order item and digest, through all files in the order of their paths."""
+    def build(path):
+        from tidemark.sources.csv_source import write_raw_csv
+        item = F.col("`Order Item Id`").cast("bigint")
+        rows = bronze(spark, sf_dir)
+        write_raw_csv(rows.repartitionByRange(LANDING_FILES, item, F.col("_row_digest")).sortWithinPartitions(item, "_row_digest"), path)
+    return _layer_path(spark, sf_dir, "sorted_landing", build)
+
+
 def output(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """The folder of a sink's output, written once like a layer (no copy per call)."""
     return _layer_path(spark, sf_dir, f"out/{name}", write)

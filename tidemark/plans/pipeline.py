@@ -1,7 +1,8 @@
 """One pipeline run — extract, validate, Bronze, Silver, Gold + star, load — with
 per-stage counts (S11) written to a ``pipeline_runs`` table.
 
-Every stage boundary is a written table, read back by the next stage.
+Every stage boundary is a written table, read back by the next stage; the landing files are read once.
+Counts are observed while the tables are written (``Observation``): no table is scanned again for them.
 """
 
 from __future__ import annotations
@@ -9,33 +10,34 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import gold as gold_ops
 from tidemark.operators import star as star_ops
-from tidemark.operators.bronze import ingest_bronze, write_bronze
+from tidemark.operators.bronze import ingest_bronze
 from tidemark.operators.features import add_features
 from tidemark.operators.silver import refine_silver
-from tidemark.operators.validate import issue_report, total_issues
-from tidemark.sources.csv_source import read_raw_csv, write_csv
+from tidemark.operators.validate import issue_report
+from tidemark.schemas import LOAD_ORDER
+from tidemark.sources.csv_source import dense_row_numbers, read_raw_csv, write_csv
 from tidemark.sources.loader import load_star
 
-def stage_counts(raw: DataFrame, report: DataFrame, bronze: DataFrame, silver: DataFrame,
-                 gold: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
-    """One row per (stage, metric); each count is its own small aggregate."""
-    parts = [raw.agg(F.lit("extract").alias("stage"), F.lit("rows").alias("metric"), F.count(F.lit(1)).alias("value")),
-             total_issues(report).select(F.lit("validate").alias("stage"), F.lit("total_issues").alias("metric"),
-                                         F.col("total_issues").alias("value")),
-             bronze.agg(F.lit("bronze").alias("stage"), F.lit("rows").alias("metric"), F.count(F.lit(1)).alias("value")),
-             silver.agg(F.lit("silver").alias("stage"), F.lit("rows").alias("metric"), F.count(F.lit(1)).alias("value"))]
-    for name, df in list(gold.items()) + list(star.items()):
-        parts.append(df.agg(F.lit("gold").alias("stage"), F.lit(name).alias("metric"),
-                            F.count(F.lit(1)).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+COUNTS = "stage string, metric string, value bigint"
+
+
+def write_observed(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write a table; its number of rows, counted by the write itself."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return seen.get["rows"]
+
+
+def stage_counts(spark: SparkSession, extracted: int, issues: int, bronze: int, silver: int, tables: dict[str, int]) -> DataFrame:
+    """One row per (stage, metric)."""
+    rows = [("extract", "rows", extracted), ("validate", "total_issues", issues), ("bronze", "rows", bronze), ("silver", "rows", silver)]
+    return spark.createDataFrame(rows + [("gold", name, n) for name, n in tables.items()], COUNTS)
 
 
 def record_run(counts: DataFrame, path: str, finished_at: str) -> DataFrame:
@@ -50,28 +52,26 @@ def run_pipeline(spark: SparkSession, landing_csv: str, out_root: str, encoding:
                  load_target: str | None = None) -> DataFrame:
     """Run every stage over a landing CSV folder; returns the run's rows of ``pipeline_runs``."""
     root = out_root.rstrip("/")
-    raw = read_raw_csv(spark, landing_csv, encoding)
-    report = issue_report(raw)
-    write_csv(report, f"{root}/validation_report")
-    report = spark.read.schema("check string, column string, count bigint, pct double").option(
-        "header", "true").csv(f"{root}/validation_report")
     ts = datetime.now(timezone.utc).isoformat()
-    write_bronze(ingest_bronze(raw, landing_csv, ts), f"{root}/bronze")
-    bronze = spark.read.parquet(f"{root}/bronze")
-    refine_silver(bronze).write.mode("overwrite").parquet(f"{root}/silver")
-    silver = spark.read.parquet(f"{root}/silver")
-    prep = add_features(silver)
-    gold = {}
+    counts = {"extract": write_observed(read_raw_csv(spark, landing_csv, encoding), f"{root}/extract")}
+    raw = dense_row_numbers(spark.read.parquet(f"{root}/extract"))
+    found = Observation()
+    write_csv(issue_report(raw).observe(found, F.sum("count").alias("issues")), f"{root}/validation_report")
+    counts["bronze"] = write_observed(ingest_bronze(raw, landing_csv, ts), f"{root}/bronze/_ingest_date={ts[:10]}", "append")
+    counts["silver"] = write_observed(refine_silver(spark.read.parquet(f"{root}/bronze")), f"{root}/silver")
+    prep = add_features(spark.read.parquet(f"{root}/silver"))
+    written, tables = {}, {}
+
+    def put(name: str, df: DataFrame) -> None:
+        written[name] = write_observed(df, f"{root}/gold/{name}")
+        tables[name] = spark.read.parquet(f"{root}/gold/{name}")
+
     for name, build in gold_ops.GOLD_BUILDERS.items():
-        build(prep).write.mode("overwrite").parquet(f"{root}/gold/{name}")
-        gold[name] = spark.read.parquet(f"{root}/gold/{name}")
-    star = {}
+        put(name, build(prep))
     for name in ["dim_customer", "dim_product", "dim_date", "dim_location", "dim_shipping"]:
-        getattr(star_ops, name)(prep).write.mode("overwrite").parquet(f"{root}/gold/{name}")
-        star[name] = spark.read.parquet(f"{root}/gold/{name}")
-    star_ops.fact_sales(prep, star["dim_date"], star["dim_location"], star["dim_shipping"]).write.mode(
-        "overwrite").parquet(f"{root}/gold/fact_sales")
-    star["fact_sales"] = spark.read.parquet(f"{root}/gold/fact_sales")
+        put(name, getattr(star_ops, name)(prep))
+    put("fact_sales", star_ops.fact_sales(prep, tables["dim_date"], tables["dim_location"], tables["dim_shipping"]))
     if load_target:
-        load_star(spark, star, load_target)
-    return record_run(stage_counts(raw, report, bronze, silver, gold, star), f"{root}/pipeline_runs", ts)
+        load_star(spark, {name: tables[name] for name in LOAD_ORDER}, load_target)
+    return record_run(stage_counts(spark, counts["extract"], found.get["issues"] or 0, counts["bronze"], counts["silver"], written),
+                      f"{root}/pipeline_runs", ts)

@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # a sort-merge join whose measured partitions of one side all fit in this becomes a hash join
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     # Whole-stage methods above HotSpot's JIT limit (8000 bytes of bytecode) run
     # interpreted; above it, fall back to per-operator code that does get compiled.
@@ -92,6 +94,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     store.delete(where, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, store = _hadoop_path(spark, path)
+    return store.exists(where)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder."""
     where, store = _hadoop_path(spark, path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import RAW_COLUMNS, RAW_SCHEMA
+from tidemark.session import checkpointed
 
 # The text tokens pandas' CSV reader turns into NULL by default.
 PANDAS_NULL_TOKENS = [
@@ -17,6 +18,8 @@ PANDAS_NULL_TOKENS = [
 EXPORTABLE = ["monthly_revenue", "market_performance", "product_performance",
               "customer_segments", "late_delivery_risk", "shipping_efficiency"]
 
+SPLITS_BROADCAST = 500_000   # splits whose offsets are sent to every task; beyond, rows are joined with them
+
 #: RFC 4180: quotes inside a field are doubled; white space is data.
 CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -31,8 +34,9 @@ def with_nulls(df: DataFrame, null_tokens: list[str] | None = PANDAS_NULL_TOKENS
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    """``_source_file``, ``_file_block`` and ``_row_number`` of rows read from files."""
-    return df.select("*", F.col("_metadata.file_name").alias("_source_file"),
+    """``_source_file``, ``_file_block`` and ``_row_number`` of rows read from files: the file's path, the first byte of the
+    split, and a number that grows by one from row to row of a split (one task reads it from end to end)."""
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
                      F.col("_metadata.file_block_start").alias("_file_block"),
                      F.monotonically_increasing_id().alias("_row_number"))
 
@@ -49,6 +53,23 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
     return with_nulls(with_file_order(df), null_tokens)
 
 
+def dense_row_numbers(landed: DataFrame) -> DataFrame:
+    """``_row_number`` as 1..n over all rows, in the order of file path, split and position.
+
+    ``landed`` is a written table of rows with ``with_file_order``, so that their places are fixed.  One narrow pass
+    gives each split its first place and its number of rows; a running sum over splits gives each its offset.
+    Only that table (one row for 128 MB of input, say) is ordered as a whole; no row is sorted or shuffled.
+    """
+    place = ["_source_file", "_file_block"]
+    splits = checkpointed(landed.groupBy(*place).agg(F.min("_row_number").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(*place, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    if splits.count() <= SPLITS_BROADCAST:
+        offsets = F.broadcast(offsets)
+    return (landed.join(offsets, place).withColumn("_row_number", F.col("_row_number") + F.col("_shift"))
+            .select(*[F.col(f"`{c}`") for c in landed.columns]))
+
+
 def write_raw_csv(raw: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
     """Landing-file writer (the reverse of S1), whitespace kept as is."""
     (raw.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])

@@ -1,4 +1,4 @@
-"""Star load with the DDL's types, dimensions before the fact."""
+"""Star load with the DDL's types, dimensions before the fact, visible as a whole."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round2
+from tidemark.incremental.tables import Version, VersionedTables
 from tidemark.schemas import LOAD_ORDER, STAR_DDL
 
 
@@ -23,28 +24,39 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], target_root: str,
               jdbc_url: str | None = None, jdbc_props: dict | None = None, connections: int = 8) -> DataFrame:
-    """Write the six tables in LOAD_ORDER to Parquet folders under ``target_root``; returns what was
-    loaded, read back: see ``load_report``.
+    """Write the six tables in LOAD_ORDER to new Parquet folders under ``target_root`` and then publish them as one
+    version; returns what was loaded, read back: see ``load_report``.
+
+    A reader (``loaded``) sees all six tables of one run: a load that fails after any table leaves the version
+    before. The version before stays on disk for readers that have begun; older ones are removed.
 
     With ``jdbc_url`` the loaded tables go on to a database, from the written Parquet, by at
     most ``connections`` connections; existing tables are emptied, not dropped, so that the
     DDL's types and keys stay (``truncate``).
     """
-    for name in LOAD_ORDER:
-        path = f"{target_root.rstrip('/')}/{name}"
-        conform(tables[name], name).write.mode("overwrite").parquet(path)
-        if jdbc_url:
-            (spark.read.parquet(path).write.option("truncate", "true").option("numPartitions", connections)
+    store = VersionedTables(spark, target_root)
+    folders = {name: [store.write(conform(tables[name], name), name)] for name in LOAD_ORDER}
+    store.publish(folders)
+    store.remove_unused(keep=2)
+    if jdbc_url:
+        for name, df in loaded(spark, target_root).items():
+            (df.write.option("truncate", "true").option("numPartitions", connections)
              .jdbc(jdbc_url, name, mode="overwrite", properties=jdbc_props or {}))
     return load_report(spark, target_root)
 
 
+def loaded(spark: SparkSession, target_root: str, version: Version | None = None) -> dict[str, DataFrame]:
+    """The six tables of the latest load (or of a given version), in LOAD_ORDER."""
+    store = VersionedTables(spark, target_root)
+    version = version or store.current()
+    return {name: store.read(name, version) for name in LOAD_ORDER}
+
+
 def load_report(spark: SparkSession, target_root: str) -> DataFrame:
     """One row per loaded column: table, load position, column, type, rows, non-NULL values and a
     sum over the values (numbers: their sum; text: its length; dates: days; flags: the true ones)."""
     out = None
-    for pos, name in enumerate(LOAD_ORDER, start=1):
-        df = spark.read.parquet(f"{target_root.rstrip('/')}/{name}")
+    for pos, (name, df) in enumerate(loaded(spark, target_root).items(), start=1):
 
         def total(column, kind):
             c = F.col(column)
