@@ -11,13 +11,16 @@ from .conftest import words
 
 
 def plain(rows, items, threshold=0.8):
-    grams = lambda t: {tuple(w[i:i + 5]) for w in [re.findall(r"[^\W_]+", (t or "").lower())] for i in range(len(w) - 4)}
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    grams = lambda w, n: {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+    held = {n: [(i, grams(split(t), n)) for i, t in rows] for n in range(1, 6)}
     out = set()
     for j, s in items:
-        want = grams(s)
-        for i, t in rows:
-            if want and len(want & grams(t)) >= threshold * len(want):
-                out.add((i, j, len(want & grams(t)), len(want)))
+        n = min(5, len(split(s)))
+        want = grams(split(s), n) if n else set()
+        for i, have in held[n or 1]:
+            if want and len(want & have) >= threshold * len(want):
+                out.add((i, j, len(want & have), len(want)))
     return out
 
 
@@ -45,6 +48,29 @@ def test_containment_equals_brute_force(spark, docs_of):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if i not in {g[0] for g in got})
 
 
+def test_short_items_are_found(spark, docs_of):
+    """Items of one to four words are runs of so many words, and look-ups of the other classes stay as they are."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(words(rng, 200, 0, 400))) for i in range(40)] + [(100, "x y z OK, fine"), (101, "ok not fine"), (102, "w7x"), (103, "fine ok fine")]
+    items = [(j, " ".join(words(rng, rng.randint(6, 60), 0, 400))) for j in range(30)] + [(30, rows[3][1][:300]), (31, rows[9][1])]
+    short = [(50, "ok fine"), (51, "w7x"), (52, "not there at all"), (53, "x y z ok"), (54, " ... ")]
+    bench = lambda xs: spark.createDataFrame(xs, "item_id long, text string")
+    docs = docs_of(rows)
+    got = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in decontam.contaminated(docs, bench(items + short)).collect()}
+    assert got == plain(rows, items + short) and {(100, 50, 1, 1), (100, 53, 1, 1), (102, 51, 1, 1), (103, 50, 1, 1)} <= got
+    assert not {g for g in got if g[:2] == (101, 50)}
+    cuts = decontam.cuts_of(decontam.sketches(bench(items))[1])
+    more = decontam.cuts_of(decontam.sketches(bench(items + short))[1])
+    assert {c: x for c, x in more.items() if c >= 0} == cuts and {c for c in more if c < 0} == {-1, -2, -4}
+    from pyspark.sql import functions as F
+    count = lambda cs: {r.size_class: r.n for r in docs.select(F.inline(decontam.lookups(decontam.word_array(F.col("text")), cs)))
+                        .groupBy("size_class").agg(F.count("*").alias("n")).collect()}
+    before, after = count(cuts), count(more)
+    assert before and {c: n for c, n in after.items() if c >= 0} == before
+    six = decontam.cuts_of(decontam.sketches(bench(items + [(60, "an item of five words")]))[1])     # one shingle: its own class only
+    assert {c: x for c, x in six.items() if c > 0} == {c: x for c, x in cuts.items() if c > 0}
+
+
 def test_repeated_rows_and_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "q r s t u v")], "item_id long, text string")
     docs = docs_of([(1, "x a b c d e f"), (1, "x a b c d e f"), (1, "clean text"), (2, "q r s t u v")])

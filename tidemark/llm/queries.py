@@ -129,8 +129,10 @@ ORACLE = {
         from ok group by conv_id""",
     "op4_decontamination": f"""
         with d as (select doc_id, {_WORDS} w from documents), i as (select item_id, {_WORDS} w from benchmark),
-        ds as (select distinct doc_id, array_to_string(w[n:n + 4], ' ') s from (select doc_id, w, unnest(range(1, len(w) - 3)) n from d)),
-        js as (select distinct item_id, array_to_string(w[n:n + 4], ' ') s from (select item_id, w, unnest(range(1, len(w) - 3)) n from i)),
+        k as (select distinct least(len(w), 5) k from i where len(w) > 0),
+        ds as (select distinct doc_id, array_to_string(w[n:n + k - 1], ' ') s from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) n from d, k)),
+        js as (select distinct item_id, array_to_string(w[n:n + least(len(w), 5) - 1], ' ') s
+               from (select item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) n from i where len(w) > 0)),
         c as (select item_id, count(*) n_item from js group by item_id)
         select doc_id, item_id, count(*) n_shared, n_item, count(*)::double / n_item containment
         from ds join js using (s) join c using (item_id) group by doc_id, item_id, n_item having count(*)::double / n_item >= 0.8""",
