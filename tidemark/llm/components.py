@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
 
-MAX_ROUNDS = 60    # contraction needs a number of rounds logarithmic in the size; beyond this something is wrong
-
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each node's component, for every node with an edge to another.
 
     edges: columns a and b. Each round takes, for every node, the least neighbour (a map-side minimum) and hangs the
     others below it; rows stay linear in the edges. Every round is a written table, so a lost executor costs no more
-    than that round.
+    than that round. Rounds go on until one changes nothing; they are few, about the logarithm of the size.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -32,4 +30,3 @@ def components(edges: DataFrame) -> DataFrame:
             return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = state
-    raise RuntimeError("the components did not settle")

@@ -2,7 +2,8 @@
 
 Model. From labelled texts: for each language, counts of hashed character n-grams (1 to 4, with word edges) and
 of whole words, and the share of its words in each script. Fitted on a sample of about `fit_docs` labelled rows
-for each language, chosen by a hash of doc_id (a documented bound; all else runs over all rows and whole texts).
+for each language, chosen by a hash of doc_id (a documented bound; all else runs over all rows and whole texts). Labels
+beyond the MOST_LANGS most frequent ones are not learned, so that thousands of junk labels don't make the model grow.
 
 Prediction. Words are runs of letters. The *script ranges* of a word's first letter narrow the candidate
 languages to those that write in that script. Each word gets a log probability per candidate from its n-grams;
@@ -13,12 +14,15 @@ The text's language has the most letters in its spans; the score is that share o
 Cases: a null text, or one without letters, is `und` with score 0; a text whose scripts no learned language uses
 gets the most frequent learned language with score 0; rows without a label, doc_id or text are not learned from;
 ties go to the language with more learned rows, then by name. With no labelled row at all everything is `und`.
-Repeated rows give repeated results, an empty table an empty result; extra columns are ignored.
+Repeated rows give repeated results, an empty table an empty result; extra columns are ignored. Number signs such as a
+circled one are no letters. A very long text is one row of one task, one step of the recursion for each word (about 12
+seconds for a million words).
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices
 
 FIT_DOCS = 4000          # labelled rows per language the model is fitted on, about
+MOST_LANGS = 128         # languages that are learned at most: the model is 33 MB then
 BUCKETS = 1 << 16        # hashed n-gram features
 SWITCH_PENALTY = 8.0     # log cost of changing the language between two words
 WORD_FLOOR = -5.0        # no word counts more than this against a language
@@ -37,7 +42,8 @@ BATCH_CHARS = 5_000_000  # code points of text a task works on at once
 WORDS_AT_ONCE = 20_000   # distinct words whose n-grams are held at once
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# runs of letters (Unicode category L): word characters that are no digits, underscores or other number signs such as 2/3 or IV
+LETTERS = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isalpha() or c.isdecimal())) + "]+")
 
 # First code point of each script block used to narrow candidates (Unicode blocks).
 SCRIPTS = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -91,7 +97,8 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
     """
     rows = labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
+            .orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
     langs = sorted(seen, key=lambda k: (-seen[k], k))
     if not langs:
         return {"langs": [], "logp": None, "scripts": None}
@@ -117,7 +124,7 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(f.astype(np.int32)),
                                           pa.array(total[i, f])], names=["l", "f", "n"])
 
-    counts = (rows.where(place < share).mapInArrow(count, "l int, f int, n long")
+    counts = (rows.where(F.col("lang").isin(langs) & (place < share)).mapInArrow(count, "l int, f int, n long")
               .groupBy("l", "f").agg(F.sum("n").alias("n")).toPandas())
     table = np.zeros((len(langs), BUCKETS + len(_NAMES)))
     table[counts["l"], counts["f"]] = counts["n"]
