@@ -42,8 +42,12 @@ BATCH_CHARS = 5_000_000  # code points of text a task works on at once
 WORDS_AT_ONCE = 20_000   # distinct words whose n-grams are held at once
 UNKNOWN = "und"
 
-# runs of letters (Unicode category L): word characters that are no digits, underscores or other number signs such as 2/3 or IV
-LETTERS = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isalpha() or c.isdecimal())) + "]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+# word characters that are neither letters (Unicode category L) nor digits: fractions, circled numbers and the like
+_NUMBERS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isalpha() or c.isdecimal())]
+_SIGNS = re.compile("[" + "".join(c for c in _NUMBERS if c <= "\uffff") + "]")       # sets of these alone are fast
+_RARE_SIGNS = re.compile("[" + "".join(c for c in _NUMBERS if c > "\uffff") + "]")
+_RARE = re.compile("[\U00010000-\U0010ffff]")
 
 # First code point of each script block used to narrow candidates (Unicode blocks).
 SCRIPTS = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -59,6 +63,16 @@ _NAMES = sorted({n for _, n in SCRIPTS})
 _SCRIPT_OF = np.array([_NAMES.index(n) for _, n in SCRIPTS])
 
 
+def lowered(text: str) -> str:
+    """The text in small letters, in which LETTERS finds runs of letters only; every code point keeps its place."""
+    text = text.lower()
+    if text.isascii():
+        return text
+    if _RARE.search(text):
+        text = _RARE_SIGNS.sub(" ", text)
+    return _SIGNS.sub(" ", text)
+
+
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, feature bucket) of every n-gram of every word, and each word's script."""
     joined = "".join(f"\x02{w}\x03" for w in words)
@@ -114,7 +128,7 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
             for lo, hi in slices(texts, BATCH_CHARS // 4):
                 by: dict[int, list[str]] = {}
                 for t, k in zip(texts[lo:hi], own[lo:hi]):
-                    by.setdefault(number[k], []).extend(LETTERS.findall(t.lower()))
+                    by.setdefault(number[k], []).extend(LETTERS.findall(lowered(t)))
                 for i, words in by.items():
                     for at in range(0, len(words), WORDS_AT_ONCE):
                         _, f, script = _features(words[at:at + WORDS_AT_ONCE])
@@ -198,7 +212,7 @@ def _predict(texts: list[str | None], model: dict, penalty: float) -> list[tuple
     index: list[int] = []
     lengths = np.zeros(len(texts), dtype=np.int64)
     for i, t in enumerate(texts):
-        words = LETTERS.findall(t.lower()) if t else []
+        words = LETTERS.findall(lowered(t)) if t else []
         lengths[i] = len(words)
         index.extend([number.setdefault(w, len(number)) for w in words])
     if not index or not langs:
@@ -225,7 +239,7 @@ def _predict(texts: list[str | None], model: dict, penalty: float) -> list[tuple
         own = labels[ends[i] - lengths[i]:ends[i]]
         turns = np.flatnonzero(np.diff(own)) + 1
         if len(turns):   # only then the places of the words inside the text are needed
-            found = [m.span() for m in LETTERS.finditer(t.lower())]
+            found = [m.span() for m in LETTERS.finditer(lowered(t))]
             cuts = [0, *turns.tolist(), len(own)]
             spans = [{"lang": langs[own[a]], "first": found[a][0], "last": found[b - 1][1]} for a, b in zip(cuts, cuts[1:])]
         else:
