@@ -164,8 +164,23 @@ def test_weights_count(spark):
     assert 0.25 < want < 0.4 and abs(near - want) < 0.25
 
 
+def test_next_over_many_ranges(spark, docs_of):
+    """Ranges of about two rows, a third of them without an id: every row's next is the next in order, and rows without id are split."""
+    rng = random.Random(4)
+    rows = [(None, f"n{i}") for i in range(100)] + [(rng.randrange(-50, 50), f"t{rng.randrange(40)}") for _ in range(200)]
+    got = fingerprints.with_next(docs_of(rows).select("doc_id", F.col("text").alias("t")), 2 * (fingerprints.ROW_BYTES + 2))
+    assert got.rdd.getNumPartitions() > 100
+    seen = got.withColumn("task", F.spark_partition_id()).collect()
+    hashes = {r.t: r.h for r in got.select("t", F.xxhash64("t").alias("h")).collect()}
+    place = lambda r: (-(1 << 63) if r[0] is None else r[0], hashes[r[1]])
+    order = sorted(rows, key=place)
+    want = Counter((*r, n[1]) for r, n in zip(order, order[1:] + order[:1]))
+    assert Counter((r.doc_id, r.t, r.next.t) for r in seen) == want
+    assert len({r.task for r in seen if r.doc_id is None}) > 20
+
+
 def test_fingerprint_edges(docs_of, monkeypatch):
-    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 2)
+    monkeypatch.setattr(fingerprints, "ROW_BYTES", fingerprints.RANGE_BYTES // 2)     # ranges of two rows
     rows = [(5, None), (1, ""), (None, "first one here"), (9, "last"), (9, "last"), (7, "a b c d e f g h")]
     got = fingerprints.fingerprints(docs_of(rows)).collect()
     assert len(got) == 6 and {r.fingerprint for r in got if r.doc_id in (1, 5)} == {""}

@@ -12,12 +12,16 @@ other (term, t) shares; the fingerprint is the list of bins' samples. Likeness o
 bins with equal samples over the number of bins that either fills.
 
 All of it stays within a row: no text is exploded, nothing is grouped. The neighbour of a document, next in the order
-of doc_id, is found by dealing documents to ranges of doc_id whose bounds are ids of the table; the first
-document of a range is also sent to the range before, so that one shuffle of the texts serves all.
+of doc_id, is found by dealing documents to ranges of (doc_id, hash of the text) whose bounds are rows of the table;
+the first document of a range is also sent to the range before, so that one shuffle of the texts serves all. A range
+is one task's. Its text grows with the fourth root of the table (4 MB at 20 MB, 26 MB at 30 GB, 200 MB at 100 TB, which
+the sort can spill), so that the bounds, 16 bytes each, stay below 10 MB there; nothing is capped.
 
 Cases: a null text is empty and has an empty fingerprint; two empty fingerprints are alike (1), an empty and another
-are not (0); rows of equal doc_id are ordered by their text's hash; a null doc_id comes first; a table of one row is
-its own neighbour; an empty table gives an empty result; extra columns are ignored.
+are not (0); rows of equal doc_id (ties, or many without one) are ordered by their text's hash and may lie in several
+ranges; rows equal in both (repeated rows) are each other's neighbours and lie in one range, whose sort spills; a null
+doc_id comes first; a very long text is one row, never cut, in arrays of its words; a table of one row is its own
+neighbour; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ from tidemark.llm.common import WORD_SPLIT, let, text_of
 from tidemark.llm.decontam import SHINGLE
 
 BINS = 64
-RANGE_ROWS = 1500      # documents in one range, about
-MAX_RANGES = 8192      # ranges at most: beyond about 12 million documents they get longer and spill
+RANGE_BYTES = 2 << 20  # of text in one range of a table of 1 MB; grows with the fourth root of the table's size
+ROW_BYTES = 64         # that a row counts beside its text
 _LOW = (1 << 26) - 1
 _VALUE_BITS = 54       # of a sample; its bin is above
 
@@ -94,39 +98,40 @@ def as_text(samples: Column) -> Column:
     return F.array_join(F.transform(samples, lambda v: F.lower(F.hex(v))), ".")
 
 
-def with_next(rows: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+def with_next(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """rows (doc_id, t, more columns) with next: a struct of t and the further columns of the next document."""
     names = [c for c in rows.columns if c != "doc_id"]
-    rows = rows.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    ids = rows.select("k")
-    n = ids.count()
-    parts = min(MAX_RANGES, max(1, math.ceil(n / range_rows)))
-    # bounds are ids of the table, so a range is known to begin with its bound
-    found = ids.agg(F.min("k").alias("least"), F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)
-                     .alias("cuts")).first()
-    bounds = sorted({found["least"], *found["cuts"]}) if n else [0]
-    at = F.array(*map(F.lit, bounds)) if len(bounds) < 2 else F.array([F.lit(b) for b in bounds])
-    number = _range_of(F.col("k"), bounds)
-    before = F.pmod(F.col("range") - 1, F.lit(len(bounds)))
-    dealt = (rows.withColumn("range", number)
-             .withColumn("first", F.col("k") == F.element_at(at, F.col("range") + 1))
-             .withColumn("sent", F.when(F.col("first"), F.array(F.struct(F.col("range").alias("to"), F.lit(False).alias("guest")),
-                                                                F.struct(before.alias("to"), F.lit(True).alias("guest"))))
-                         .otherwise(F.array(F.struct(F.col("range").alias("to"), F.lit(False).alias("guest")))))
-             .select("doc_id", "k", *names, F.inline("sent")))
-    order = Window.partitionBy("to").orderBy("guest", "k", F.xxhash64("t"))
-    return (dealt.repartition(len(bounds), "to").withColumn("next", F.lead(F.struct(*names)).over(order))
+    rows = rows.withColumns({"k": F.coalesce("doc_id", F.lit(-(1 << 63))), "h": F.xxhash64("t")})
+    size = rows.agg(F.sum(F.octet_length("t") + ROW_BYTES)).first()[0] or 0
+    # bounds are places (id, hash of the text) of the table, so a range is known to begin with its bound
+    parts = max(1, math.ceil(size / (range_bytes * max(1, size / (1 << 20)) ** 0.25)))
+    bounds = [(r.k, r.h) for r in rows.select("k", "h").repartitionByRange(parts, "k", "h").groupBy(F.spark_partition_id())
+              .agg(F.min(F.struct("k", "h")).alias("b")).select("b.*").orderBy("k", "h").collect()]
+    bounds = bounds or [(0, 0)]
+    number = _range_of(F.col("k"), F.col("h"), bounds)
+    parted = rows.withColumn("at", number).select(
+        "*", F.col("at.number").alias("range"), F.pmod(F.col("at.number") - 1, F.lit(len(bounds))).alias("before"))
+    own = F.struct(F.col("range").alias("to"), F.lit(False).alias("guest"))
+    sent = F.when(F.col("at.first"), F.array(own, F.struct(F.col("before").alias("to"), F.lit(True).alias("guest")))).otherwise(F.array(own))
+    dealt = parted.select("doc_id", "k", "h", *names, F.inline(sent))
+    order = Window.partitionBy("to").orderBy("guest", "k", "h")
+    return (dealt.repartitionById(len(bounds), "to").withColumn("next", F.lead(F.struct(*names)).over(order))
             .where("not guest").select("doc_id", *names, "next"))
 
 
-def _range_of(k: Column, bounds: list[int]) -> Column:
-    """Number of the range that holds k: by halves, so that a row costs the logarithm of the number of ranges."""
-    def pick(lo: int, hi: int) -> Column:
-        if hi - lo == 1:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(k < bounds[mid], pick(lo, mid)).otherwise(pick(mid, hi))
-    return pick(0, len(bounds))
+def _range_of(k: Column, h: Column, bounds: list[tuple[int, int]]) -> Column:
+    """(number of the range that holds (k, h), whether it is the range's bound), by halves.
+
+    The bounds are two arrays, each written as one text that is folded into a constant once: neither the plan nor
+    the code of a row grows with their number.
+    """
+    longs = lambda i: F.split(F.lit(",".join(str(b[i]) for b in bounds)), ",").cast("array<bigint>")
+    ks, hs = longs(0), longs(1)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    after = lambda i: (F.get(ks, i) < k) | ((F.get(ks, i) == k) & (F.get(hs, i) <= h))
+    # beyond the last bound the comparison is null, so the step is not taken
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(after(at + step), at + step).otherwise(at))
+    return let(found, lambda i: F.struct(i.alias("number"), ((F.get(ks, i) == k) & (F.get(hs, i) == h)).alias("first")))
 
 
 def fingerprints(docs: DataFrame, bins: int = BINS) -> DataFrame:
