@@ -16,6 +16,7 @@ from tidemark.session import checkpoint_root
 #: A word is a run of letters and digits; the Java pattern splits on everything else.
 WORD = re.compile(r"[^\W_]+")
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
+SALTS = 4096    # parts that the rows of one key are dealt to
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -53,6 +54,16 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_SPLIT), lambda w: w != F.lit(""))
 
 
+def attached(rows: DataFrame, table: DataFrame, key: str, by: Column, how: str = "inner") -> DataFrame:
+    """rows joined with table (one row a key), where a key may hold any share of the rows.
+
+    A key's rows are dealt to SALTS parts by `by`, a hash that tells them apart; one narrow row of each part meets the
+    table and takes its columns back to the part. how: inner or left.
+    """
+    dealt = rows.withColumn("salt", F.pmod(by, F.lit(SALTS)).cast("int"))
+    return dealt.join(dealt.select(key, "salt").distinct().join(table, key, how), [key, "salt"]).drop("salt")
+
+
 def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Rows of equal keys, in order, from batches whose rows are sorted by these keys.
 

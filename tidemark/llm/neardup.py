@@ -15,7 +15,8 @@ counts; two texts are near duplicates if the generalised Jaccard similarity of t
 4. All links make the classes; a row's class is the least doc_id among them.
 
 Cases: a null text counts as empty; texts without any word are classed by their raw text; repeated rows are in one
-class; a class of rows without doc_id has class_id null (class_key tells classes apart); an empty table gives an
+class, and so are texts equal word for word (ties); a very long text is signed and compared whole;
+a class of rows without doc_id has class_id null (class_key tells classes apart); an empty table gives an
 empty result; columns other than doc_id and text are ignored.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, Memo, emit, groups, slices, text_of, written
+from tidemark.llm.common import WORD, Memo, attached, emit, groups, slices, text_of, written
 from tidemark.llm.components import components
 from tidemark.llm.dart import mix, signatures
 
@@ -268,8 +269,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = written(_across(members, labels, pivots, reps, texts, threshold), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
-    return signed.select("doc_id", "k1", "k2", "digest").join(
-        labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    return attached(signed.select("doc_id", "k1", "k2", "digest"), labels.withColumnRenamed("node", "digest"), "digest", F.col("k1"),
+                    "left").withColumn("root", F.coalesce("root", "digest"))
 
 
 def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +285,7 @@ def class_of_rows(found: DataFrame) -> DataFrame:
     # by digest first: copies of one text are one row before classes are joined back
     by_text = found.groupBy("digest", "root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     by_class = by_text.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
-    return found.select("doc_id", "root").join(by_class, "root").select(
+    return attached(found.select("doc_id", "k1", "root"), by_class, "root", F.col("k1")).select(
         "doc_id", "class_id", F.lower(F.hex("root")).alias("class_key"), "class_size")
 
 
