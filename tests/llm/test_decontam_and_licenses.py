@@ -81,7 +81,10 @@ def test_repeated_rows_and_empty_tables(spark, docs_of):
     assert decontam.drop_contaminated(docs, bench.limit(0)).count() == 4
 
 
-def test_licenses(spark, docs_of):
+@pytest.mark.parametrize("most", [licenses.BROADCAST_BYTES, 0])
+def test_licenses(spark, docs_of, monkeypatch, most):
+    """With the known digests sent to every task, and joined in parts."""
+    monkeypatch.setattr(licenses, "BROADCAST_BYTES", most)
     mit = dict(reversed(licenses.KNOWN))["MIT"] and licenses.KNOWN[0][1]
     dressed = "/* Copyright (c) 2020 Someone\n * All rights reserved. */\n" + mit.upper().replace("SUBLICENSE", "sublicense").replace("\n", "\n * ")
     rows = [(1, dressed), (2, "text\nLicenced under CC-BY-NC 4.0\nmore\nreleased under the MIT Licence."), (3, None), (3, ""),

@@ -3,11 +3,13 @@
 A text is made canonical line by line: lower case, copyright notices left out (not the lines of a licence that begin with
 "copyright holders" or the like), everything but letters and digits to one
 blank, equivalent spellings to one of them. The SHA-256 digest of the canonical entire text, and of each of its
-lines, is joined by hash with the digests of known licences, made canonical in the same way. Only digests travel.
+lines, is joined by hash with the digests of known licences, made canonical in the same way. Known digests of up to
+BROADCAST_BYTES go to every task, so that only one row of each document is shuffled; more are joined with digests alone,
+dealt to parts of each digest.
 
 Cases: null and empty texts, and texts of copyright lines alone, have the digest of '' and no licence; repeated rows
 are reported each; a line that matches more than once counts each time; licences that are equal in canonical form
-are all reported; a notice on one line with the text is part of it; an empty table gives an empty result; columns other than doc_id and text are ignored.
+are all reported (ties); a very long text is one row, never cut, its lines in one array; a notice on one line with the text is part of it; an empty table gives an empty result; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -16,8 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import license_table
-from tidemark.llm.common import text_of
+from tidemark.llm.common import attached, text_of, written
 
+BROADCAST_BYTES = 64 << 20  # known digests are sent to every task up to this size
+ROW_BYTES = 128             # of a digest in memory, beside its ids
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 # Words after "copyright" with which a line goes on with the text of a licence and names no holder.
@@ -136,14 +140,16 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     text_license: licences whose entire text the document is; line_licenses: those that a line of it states (both as
     sorted, comma-separated ids, '' if none).
     """
-    known = licenses.select(F.col("license_id").cast("string"), F.sha2(F.array_join(canonical_lines(text_of()), " "), 256).alias("digest")
-                            ).groupBy("digest").agg(F.array_sort(F.collect_set("license_id")).alias("ids"))
+    known = written(licenses.select(F.col("license_id").cast("string"), F.sha2(F.array_join(canonical_lines(text_of()), " "), 256).alias("digest")
+                            ).groupBy("digest").agg(F.array_sort(F.collect_set("license_id")).alias("ids")), "known-licenses")
+    small = (known.agg(F.sum(ROW_BYTES + F.octet_length(F.array_join("ids", ",")))).first()[0] or 0) <= BROADCAST_BYTES
     units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.sha2(F.array_join("lines", " "), 256).alias("digest"))),
                      F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(x, 256).alias("digest"))))
     rows = (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), text_of().alias("t"))
-            .select("uid", "doc_id", canonical_lines(F.col("t")).alias("lines"))
-            .select("uid", "doc_id", F.inline(units)))
-    found = rows.join(known, "digest", "left")
+            .select("uid", "doc_id", F.xxhash64("doc_id", "t").alias("own"), canonical_lines(F.col("t")).alias("lines"))
+            .select("uid", "doc_id", "own", F.inline(units)))
+    # a common line's digest may hold any share of the rows: they stay where they are, or are dealt to parts of the digest
+    found = rows.join(F.broadcast(known), "digest", "left") if small else attached(rows, known, "digest", F.col("own"), "left")
     listed = lambda x: F.array_join(F.array_sort(F.array_distinct(F.flatten(x))), ",")
     return (found.groupBy("uid").agg(
         F.first("doc_id").alias("doc_id"), F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_digest"),
