@@ -58,6 +58,20 @@ def test_orphan_rows_are_listed(spark, sf_small, monkeypatch):
     assert {(r["foreign_key"], r["key_value"]) for r in rows} == {("location_id", gone)}
 
 
+def test_first_seen_keeps_one_row_per_key_and_task(spark):
+    """First in file order per key, equal rows once, NULL keys out; a hot key is reduced before the exchange."""
+    from tidemark.operators.star import first_seen
+    rows = [(1, "b", None, 2, 7, 10, "late"), (1, "b", None, 1, 7, 10, "first"), (1, "a", 5, 9, 1, 20, "twin"),
+            (1, "a", 5, 9, 1, 20, "twin"), (1, "a", 5, 8, 1, None, "no key"), (2, "a", 0, 0, 0, 20, "next day")]
+    rows += [(3, "z", i, 0, 0, 10, f"hot {i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "_ingestion_ts long, _source_file string, _file_block int, _row_number long, "
+                                     "_row_digest long, k long, wide string").repartition(4)
+    got = first_seen(df, "k", ["wide"])
+    assert sorted((r.k, r.wide) for r in got.collect()) == [(10, "first"), (20, "twin")]
+    plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "partial_min" in plan[plan.index("Exchange hashpartitioning(k"):]
+
+
 def test_load_keeps_types_and_wide_keys(spark, sf_small, tmp_dir):
     from tidemark.schemas import STAR_DDL
     from tidemark.sources.loader import load_star, loaded

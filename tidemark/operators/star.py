@@ -40,8 +40,11 @@ FACT_COLUMNS = [
 def first_seen(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """Attributes of the first row (file order) per key, as one aggregate.
 
-    ``min(struct(order, attrs))`` aggregates map-side, so a hot key does not pile
-    its rows into one task.  NULL keys are dropped (a dimension key is a PK).
+    ``min(struct(order, attrs))`` keeps one row per key and map task before anything is shuffled, so a hot key does
+    not pile its rows into one task.  A struct has no hash aggregate: each task sorts its rows by the key, in place of
+    a second scan and a join of all rows with the winners (picked on narrow columns), which took 1.1 s against 0.7 s
+    for D1 at sf0.1 and would shuffle every wide row once the winners are too many to broadcast.
+    NULL keys are dropped (a dimension key is a PK).
     """
     packed = F.struct(*[F.col(c) for c in FIRST_SEEN], *[F.col(c) for c in attrs])
     return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(packed).alias("_f"))
