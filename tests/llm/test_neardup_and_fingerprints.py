@@ -107,14 +107,39 @@ def test_planted_groups(docs_of, planted):
 
 def test_tiles_alone_find_every_link(docs_of, planted, monkeypatch):
     """Without any link from pivots, and with nobody excused as a pivot, the tiles give the same classes."""
-    across, verified = neardup._across, neardup._verified
+    mixed, verified = neardup._mixed, neardup._verified
     monkeypatch.setattr(neardup, "TILE", 16)        # many tiles
+    monkeypatch.setattr(neardup, "SIGNATURE_TILE", 32)
     monkeypatch.setattr(neardup, "_verified", lambda *a: verified(*a).limit(0))
-    monkeypatch.setattr(neardup, "_across", lambda members, labels, pivots, *more: across(
-        members, labels, pivots.withColumn("pivot", F.lit(b"")), *more))
+    monkeypatch.setattr(neardup, "_mixed", lambda members, labels, pivots: mixed(
+        members, labels, pivots.withColumn("pivot", F.lit(b""))))
     assert classes_of(docs_of(list(enumerate(planted)))) == {frozenset(c) for c in exact_classes(planted)}
 
 
+def test_texts_of_unlike_members_stay_out_of_the_tiles(docs_of, monkeypatch):
+    """300 texts that share most of their words, and six near copies of one: texts move for those near by signature only."""
+    rng = random.Random(6)
+    shared = words(rng, 185)
+    texts = [" ".join(shared + words(rng, 115)) for _ in range(300)]
+    texts += [texts[0] + f" x{i}" for i in range(6)]
+    across, seen = neardup._across, {}
+
+    def spy(rows, reps, met, threshold):
+        tiles = neardup._tiles
+
+        def count(some, reps, side):
+            seen[side] = some.count()
+            return tiles(some, reps, side)
+
+        with monkeypatch.context() as m:
+            m.setattr(neardup, "_tiles", count)
+            return across(rows, reps, met, threshold)
+
+    monkeypatch.setattr(neardup, "_across", spy)
+    assert classes_of(docs_of(list(enumerate(texts)))) == {frozenset(c) for c in exact_classes(texts)}
+    assert seen[neardup.TILE] * 10 < seen[neardup.SIGNATURE_TILE]
+
+
 def test_near_duplicate_edges(docs_of):
     docs = docs_of([(1, "a b c d e f"), (1, "a b c d e f"), (1, "other text of five words"), (None, "A b, c d e f"), (None, "alone here now then there"), (2, None)])
     rows = neardup.class_of_rows(written(neardup.classes(docs), "c")).collect()

@@ -8,10 +8,11 @@ counts; two texts are near duplicates if the generalised Jaccard similarity of t
 2. Bands are joined by key. No pairs within a bucket are listed: each bucket's *pivot*, its member met most often
    in all buckets, is compared with the others. Pairs whose signatures agree in less than `threshold` - 0.2 of
    their coordinates (six standard deviations) go; the rest are compared exactly on their texts.
-3. Links make components. Where a bucket still holds different components, its members outside of the pivot's
-   reach are compared in tiles of TILE by TILE rows, only across components, by size, signature and then exactly
-   on their texts, inside the tile: it gives links, never pairs. So no link is lost that shares a band: at
-   similarity 0.8 that misses 2 links in 100,000, and nothing is capped.
+3. Links make components. Buckets that still hold different components beside their pivot get another pivot, and so
+   on while a round leaves at most half of their rows. For the rest, tiles of SIGNATURE_TILE rows of signatures tell
+   which members of a bucket have anyone of another component near them by size and signature; only these meet with
+   their texts, in tiles of TILE by TILE rows, and are compared exactly inside the tile: it gives links, never pairs.
+   So no link is lost that shares a band: at similarity 0.8 that misses 2 links in 100,000, and nothing is capped.
 4. All links make the classes; a row's class is the least doc_id among them.
 
 Cases: a null text counts as empty; texts without any word are classed by their raw text; repeated rows are in one
@@ -40,7 +41,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 28, 5
 K = BANDS * ROWS
 SLACK = 0.2                # six standard deviations of the estimate from K coordinates at 0.8
-TILE = 256                 # members of a bucket in one side of a tile
+TILE = 256                 # members of a bucket, with their texts, in one side of a tile
+SIGNATURE_TILE = 2048      # and with their signatures only
 BATCH_CHARS = 1_500_000    # code points a task works on at once
 BATCH_ROWS = 500           # and texts: each throws about K ln K + 2 K darts
 WORDS_KEPT = 100_000       # hashes of words kept per Python worker
@@ -177,69 +179,104 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, labels: DataFrame, pivots: DataFrame, reps: DataFrame, texts: DataFrame,
-            threshold: float) -> DataFrame:
-    """Links between different components of buckets that a pivot has not settled, found in tiles."""
-    rest = (members.join(pivots, "bucket").where("digest <> pivot")
+def _mixed(members: DataFrame, labels: DataFrame, pivots: DataFrame) -> DataFrame:
+    """bucket, digest, comp of buckets whose members, but for their pivots so far, are of different components."""
+    rest = (members.join(pivots.select("bucket", F.col("pivot").alias("digest")), ["bucket", "digest"], "left_anti")
             .join(labels.withColumnsRenamed({"node": "digest", "root": "comp"}), "digest", "left")
             .select("bucket", "digest", F.coalesce("comp", "digest").alias("comp")))
-    sizes = rest.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    name = F.xxhash64("comp")
+    mixed = rest.groupBy("bucket").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
+    return written(rest.join(mixed, "bucket", "left_semi"), "mixed-buckets")
+
+
+def _tiles(rows: DataFrame, reps: DataFrame, side: int) -> DataFrame:
+    """rows of _mixed, with signatures, dealt to tiles (bucket, i, j) of `side` by `side` rows: each two of a bucket
+    meet in a tile, but for two of its main component."""
+    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     main = (sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.sum("n").alias("all"),
                                         F.max(F.struct("n", "comp")).alias("main")).where("comps > 1")
             .select("bucket", F.col("main.comp").alias("main"),
-                    F.ceil(F.col("main.n") / TILE).cast("int").alias("main_blocks"),
-                    F.ceil((F.col("all") - F.col("main.n")) / TILE).cast("int").alias("rest_blocks")))
-    rows = rest.join(main, "bucket").withColumn("is_main", F.col("comp") == F.col("main"))
+                    F.ceil(F.col("main.n") / side).cast("int").alias("main_blocks"),
+                    F.ceil((F.col("all") - F.col("main.n")) / side).cast("int").alias("rest_blocks")))
+    rows = rows.join(main, "bucket").withColumn("is_main", F.col("comp") == F.col("main"))
     block = F.pmod(F.xxhash64("digest"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks"))).cast("int")
     x = F.col("x")
-    tiles = (rows.withColumn("block", block)
-             .withColumn("x", F.explode(F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("rest_blocks") - 1))
-                                        .otherwise(F.sequence(-F.col("main_blocks"), F.col("rest_blocks") - 1))))
-             # against the main component: (-1 - its block, own block); among the rest: (lower, higher block)
-             .withColumn("i", F.when(F.col("is_main"), -1 - F.col("block")).when(x < 0, x).otherwise(F.least(x, F.col("block"))))
-             .withColumn("j", F.when(F.col("is_main"), x).when(x < 0, F.col("block")).otherwise(F.greatest(x, F.col("block"))))
-             .select("bucket", "i", "j", "digest", "comp", "is_main", "block")
-             .join(reps.select("digest", "sig", "size", "bands"), "digest").join(texts, "digest")
-             # the bucket's place among the bands: a pair counts in the first band it shares
-             .withColumn("band", F.array_position("bands", F.col("bucket")) - 1).drop("bands"))
-    out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links():
-            for (_, i, j), part in groups(batches, ["bucket", "i", "j"]):
-                if i < 0:
-                    one, two = [r for r in part if r["is_main"]], [r for r in part if not r["is_main"]]
-                else:
-                    one, two = [r for r in part if r["block"] == i], [r for r in part if r["block"] == j]
-                if not one or not two:
-                    continue
-                left, right = (np.frombuffer(b"".join(r["sig"] for r in s), np.uint16).reshape(-1, K) for s in (one, two))
-                size = np.array([r["size"] for r in two])
-                numbers: dict[bytes, int] = {}
-                comp = np.array([numbers.setdefault(r["comp"], len(numbers)) for r in two])
-                sets: dict[bytes, tuple] = {}
-
-                def set_of(r):
-                    if r["digest"] not in sets:
-                        sets[r["digest"]] = shingle_sets([r["t"]])[1:3]
-                    return sets[r["digest"]]
-
-                for p, row in zip(one, left):
-                    same = right == row
-                    near = (same.mean(axis=1) >= threshold - SLACK) & (comp != numbers.get(p["comp"], -1)) & (
-                        np.minimum(size, p["size"]) >= threshold * np.maximum(size, p["size"]))
-                    if not near.any():
-                        continue
-                    near[near] = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == p["band"]
-                    for q in np.flatnonzero(near):
-                        other = two[q]
-                        if _jaccard(set_of(p), set_of(other)) >= threshold:
-                            a, b = sorted((p["digest"], other["digest"]))
-                            yield {"a": a, "b": b}
-        yield from emit(links(), out)
-
-    return (tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(run, "a binary, b binary").distinct())
+    return (rows.withColumn("block", block)
+            .withColumn("x", F.explode(F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("rest_blocks") - 1))
+                                       .otherwise(F.sequence(-F.col("main_blocks"), F.col("rest_blocks") - 1))))
+            # against the main component: (-1 - its block, own block); among the rest: (lower, higher block)
+            .withColumn("i", F.when(F.col("is_main"), -1 - F.col("block")).when(x < 0, x).otherwise(F.least(x, F.col("block"))))
+            .withColumn("j", F.when(F.col("is_main"), x).when(x < 0, F.col("block")).otherwise(F.greatest(x, F.col("block"))))
+            .select("bucket", "i", "j", "digest", "comp", "is_main", "block")
+            .join(reps.select("digest", "sig", "size", "bands"), "digest")
+            # the bucket's place among the bands: a pair counts in the first band it shares
+            .withColumn("band", F.array_position("bands", F.col("bucket")) - 1).drop("bands"))
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[tuple[dict, list[dict]]]:
+    """A row of a tile, and rows of other components there that are near it by signature and size."""
+    for (_, i, j), part in groups(batches, ["bucket", "i", "j"]):
+        if i < 0:
+            one, two = [r for r in part if r["is_main"]], [r for r in part if not r["is_main"]]
+        else:
+            one, two = [r for r in part if r["block"] == i], [r for r in part if r["block"] == j]
+        if not one or not two:
+            continue
+        left, right = (np.frombuffer(b"".join(r["sig"] for r in s), np.uint16).reshape(-1, K) for s in (one, two))
+        size = np.array([r["size"] for r in two])
+        numbers: dict[bytes, int] = {}
+        comp = np.array([numbers.setdefault(r["comp"], len(numbers)) for r in two])
+        for p, row in zip(one, left):
+            same = right == row
+            near = (same.mean(axis=1) >= threshold - SLACK) & (comp != numbers.get(p["comp"], -1)) & (
+                np.minimum(size, p["size"]) >= threshold * np.maximum(size, p["size"]))
+            if near.any():
+                near[near] = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == p["band"]
+                yield p, [two[q] for q in np.flatnonzero(near)]
+
+
+def _across(rows: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components of the buckets of _mixed: wide tiles of signatures tell who may have a
+    partner at all, small tiles of texts compare these exactly."""
+    def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found():
+            tile, told = None, set()
+            for p, others in _meetings(batches, threshold):
+                if (p["bucket"], p["i"], p["j"]) != tile:
+                    tile = p["bucket"], p["i"], p["j"]
+                    told.clear()
+                for r in (p, *others) if others else ():
+                    if r["digest"] not in told:     # once a tile, however many partners
+                        told.add(r["digest"])
+                        yield {"bucket": r["bucket"], "digest": r["digest"]}
+        yield from emit(found(), pa.schema([("bucket", pa.int64()), ("digest", pa.binary())]))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[bytes, tuple] = {}
+
+        def set_of(r):
+            if r["digest"] not in sets:
+                sets[r["digest"]] = shingle_sets([r["t"]])[1:3]
+            return sets[r["digest"]]
+
+        def found():
+            tile = None
+            for p, others in _meetings(batches, threshold):
+                if (p["bucket"], p["i"], p["j"]) != tile:
+                    tile = p["bucket"], p["i"], p["j"]
+                    sets.clear()
+                for other in others:
+                    if _jaccard(set_of(p), set_of(other)) >= threshold:
+                        a, b = sorted((p["digest"], other["digest"]))
+                        yield {"a": a, "b": b}
+        yield from emit(found(), pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+    def by_tile(tiles: DataFrame) -> DataFrame:
+        return tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    may = written(by_tile(_tiles(rows, reps, SIGNATURE_TILE)).mapInArrow(meets, "bucket long, digest binary").distinct(), "may-link")
+    few = rows.join(may, ["bucket", "digest"], "left_semi")
+    return by_tile(_tiles(few, reps, TILE).join(texts, "digest")).mapInArrow(links, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -260,15 +297,27 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     .mapInArrow(_with_digest, "digest binary, t string").dropDuplicates(["digest"]), "met-texts")
 
     met = members.groupBy("digest").agg(F.sum("n").alias("met"))
-    pivots = written(members.join(met, "digest").groupBy("bucket").agg(F.max(F.struct("met", "digest")).alias("p"))
-                     .select("bucket", F.col("p.digest").alias("pivot")), "pivots")
-    pairs = (members.join(pivots, "bucket").where("digest <> pivot")
-             .select(F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct())
-    links = written(_verified(_estimated(pairs, reps, threshold - SLACK), texts, threshold), "links")
-    labels = components(links)
-    more = written(_across(members, labels, pivots, reps, texts, threshold), "links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    rows, used, links = members.select("bucket", "digest", F.col("digest").alias("comp")), None, None
+    left = rows.count()
+    while left:
+        pivots = written(rows.join(met, "digest").groupBy("bucket").agg(F.max(F.struct("met", "digest", "comp")).alias("p"))
+                         .select("bucket", F.col("p.digest").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
+        pairs = (rows.join(pivots, "bucket").where("comp <> pivot_comp")
+                 .select(F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct())
+        found = written(_verified(_estimated(pairs, reps, threshold - SLACK), texts, threshold), "links")
+        used = pivots if used is None else used.union(pivots)
+        links = found if links is None else links.union(found)
+        labels = components(links)
+        rows, before = _mixed(members, labels, used), left
+        left = rows.count()
+        if 2 * left > before:
+            break
+    if left:
+        more = written(_across(rows, reps, texts, threshold), "links")
+        links = links.union(more)
+        labels = components(links)
+    if links is None:       # nothing meets anything
+        labels = members.select(F.col("digest").alias("node"), F.col("digest").alias("root"))
     return attached(signed.select("doc_id", "k1", "k2", "digest"), labels.withColumnRenamed("node", "digest"), "digest", F.col("k1"),
                     "left").withColumn("root", F.coalesce("root", "digest"))
 
