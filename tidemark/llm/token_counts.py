@@ -126,9 +126,10 @@ def count_tokens(docs: DataFrame, model_path: str, max_tokens: int = 4096,
                  chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit, n_chunks: one row per input row, over whole texts."""
     text = text_of()
+    # one pass over the text: a substring of each chunk would walk to its place from the start every time. The possessive
+    # quantifier neither backtracks nor recurses
     cut = F.when(F.char_length("t") <= chunk_chars, F.array("t")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.floor((F.char_length("t") - 1) / chunk_chars).cast("int")),
-                    lambda i: F.substring(F.col("t"), i * chunk_chars + 1, F.lit(chunk_chars))))
+        F.regexp_extract_all("t", F.lit(f"(?s).{{1,{chunk_chars}}}+"), F.lit(0)))
     chunks = (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), text.alias("t"))
               .select("uid", "doc_id", F.octet_length("t").cast("long").alias("n_bytes"), cut.alias("parts"))
               .select("uid", "doc_id", "n_bytes", F.size("parts").alias("n_chunks"), F.posexplode("parts"))
