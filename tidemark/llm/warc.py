@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import scratch, written
+from tidemark.llm.common import SALTS, scratch, written
 
 MIN_REVISIT = 100             # smaller payloads are always stored
 ARCHIVE_BYTES = 256 << 20     # an archive is closed when it has grown to this
@@ -47,11 +47,13 @@ def classify(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
                          F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
             .withColumn("digest", F.sha2("html", 256)).withColumn("size", F.octet_length("html").cast("long")))
     # one row for each payload that occurs again: pre-aggregated before the shuffle, whatever the number of copies
-    first = (rows.where(F.col("size") >= min_revisit).groupBy(F.col("digest").alias("of"))
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-             .where("n > 1 and first_id is not null").select("of", "first_id"))
+    first = (rows.where(F.col("size") >= min_revisit).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+             .where("n > 1 and first_id is not null").select("digest", "first_id"))
+    # a payload may hold any share of the rows: they are dealt to parts, and a narrow row of each part finds the payload's first
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    parts = dealt.where(F.col("size") >= min_revisit).select("digest", "salt").distinct().join(first, "digest")
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return (rows.join(first, rows["digest"] == first["of"], "left")
+    return (dealt.join(parts, ["digest", "salt"], "left")
             .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
             .withColumn("refers_to", F.when(again, F.col("first_id")))
             .select("page_id", "url", "html", "digest", "size", "record_type", "refers_to"))
