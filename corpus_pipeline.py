@@ -2,6 +2,10 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet in the shared folder and read again as the docs of the next stage.
+
+Cases: a null or empty text, or one without letters, is rejected by the language stage; repeated rows and equal texts
+(ties) leave one row, that of the least doc_id (null last); very long texts go through whole, and packing alone cuts
+them; an empty table gives empty stages; columns other than those of documents are left out.
 """
 
 from __future__ import annotations
