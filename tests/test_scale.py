@@ -26,3 +26,39 @@ def test_written_layers_are_zstd(spark, sf_small):
         assert files
         for f in files:
             assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def _stored(spark, n):
+    """Rows of two ingests in three partitions each, with ids as Bronze gives them and a wide text."""
+    one = spark.range(0, n, numPartitions=3).select(F.monotonically_increasing_id().alias("_row_uid"), F.col("id").alias("k"))
+    return one.select("*", F.lit("2026-01-01").alias("_ingestion_ts"), F.repeat(F.lit("x"), 50).alias("wide")).unionByName(
+        one.select("*", F.lit("2026-01-02").alias("_ingestion_ts"), F.repeat(F.lit("y"), 50).alias("wide")))
+
+
+def test_picked_rows_are_those_of_the_ids(spark):
+    """Ids at the ends of bytes, bitmaps and partitions, and of one ingest only; a repeated id counts once."""
+    from tidemark.operators.silver import ROW_ID, pick_rows
+    df = _stored(spark, 210_000)
+    at = F.col("_row_uid") % 32_768
+    ids = df.filter(((F.col("k") % 7 == 0) & (F.col("_ingestion_ts") == "2026-01-01")) | at.isin(0, 1, 7, 8, 9, 32_767)).select(*ROW_ID)
+    ids = ids.unionByName(ids.limit(50))
+    want = df.join(ids, ROW_ID, "left_semi").select(*df.columns)
+    got = pick_rows(df, ids)
+    assert got.columns == df.columns
+    assert got.count() == want.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_wide_rows_are_not_shuffled_when_picked(spark):
+    """Also where the narrow side is beyond Spark's own broadcast limit."""
+    from tidemark.operators.silver import ROW_ID, pick_rows
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        df = _stored(spark, 3000)
+        picked = pick_rows(df, df.filter("k % 2 = 0").select(*ROW_ID))
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert picked.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
