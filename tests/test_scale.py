@@ -21,11 +21,10 @@ def test_bronze_rows_are_shuffled_by_joins_only(spark, sf_small):
 def test_written_layers_are_zstd(spark, sf_small):
     import pyarrow.parquet as pq
     layers.bronze(spark, sf_small)
-    for folder in (layers._layer_path(spark, sf_small, "bronze", None),):
-        files = glob.glob(f"{folder}/**/*.parquet", recursive=True)
-        assert files
-        for f in files:
-            assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
+    files = glob.glob(f'{layers._layer_path(spark, sf_small, "bronze", None)}/**/*.parquet', recursive=True)
+    assert files
+    for f in files:
+        assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
 def _stored(spark, n):
@@ -62,3 +61,15 @@ def test_wide_rows_are_not_shuffled_when_picked(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_landing_files_are_compressed_and_grow_in_number(spark, sf_small, monkeypatch):
+    from tidemark.sources.csv_source import read_raw_csv
+    n = layers.bronze(spark, sf_small).count()
+    monkeypatch.setattr(layers, "LANDING_FILE_ROWS", n // 9)
+    real = layers._layer_path
+    monkeypatch.setattr(layers, "_layer_path", lambda s, d, name, build: real(s, d, name + "_test" if "landing" in name else name, build))
+    for folder, files in ((layers.landing_csv(spark, sf_small), 1), (layers.sorted_landing(spark, sf_small), 9)):
+        names = glob.glob(folder + "/part-*")
+        assert len(names) >= files and all(f.endswith(".csv.gz") for f in names)
+        assert read_raw_csv(spark, folder).count() == n
