@@ -73,3 +73,11 @@ def test_landing_files_are_compressed_and_grow_in_number(spark, sf_small, monkey
         names = glob.glob(folder + "/part-*")
         assert len(names) >= files and all(f.endswith(".csv.gz") for f in names)
         assert read_raw_csv(spark, folder).count() == n
+
+
+def test_lineitem_is_shuffled_as_what_is_used_of_it(spark, sf_small):
+    """No text and no timestamp of lineitem goes through the joins: kind of payment, tax and discount are one number."""
+    from tidemark.sources.adapter import order_items_typed
+    types = dict(order_items_typed(spark, sf_small).dtypes)
+    assert not {"l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_shipdate", "l_extendedprice", "p_retailprice"} & set(types)
+    assert types["_marks"] == "int" and types["_ship_day"] == "date" and types["_sales"] == "decimal(12,2)"
