@@ -75,6 +75,22 @@ def test_landing_files_are_compressed_and_grow_in_number(spark, sf_small, monkey
         assert read_raw_csv(spark, folder).count() == n
 
 
+def test_digests_are_short_and_hashes_are_not_stored(spark, sf_small):
+    """A digest is 16 bytes in each layer; the hash that queries show is its first half, made when a layer is read."""
+    import hashlib
+    from tidemark.schemas import RAW_COLUMNS
+    for name, layer in (("bronze", layers.bronze), ("silver", layers.silver)):
+        rows = layer(spark, sf_small)
+        stored = spark.read.parquet(layers._layer_path(spark, sf_small, name, None))
+        assert "_row_hash" in rows.columns and "_row_hash" not in stored.columns
+        assert rows.columns.index("_row_hash") == rows.columns.index("_row_number") + 1
+        assert stored.filter(F.octet_length("_row_digest") != 16).isEmpty() and not stored.isEmpty()
+    for r in layers.bronze(spark, sf_small).limit(20).collect():
+        text = "|".join("nan" if r[c] is None else r[c] for c in RAW_COLUMNS)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        assert (bytes(r["_row_digest"]).hex(), r["_row_hash"]) == (digest[:32], digest[:16])
+
+
 def test_lineitem_is_shuffled_as_what_is_used_of_it(spark, sf_small):
     """No text and no timestamp of lineitem goes through the joins: kind of payment, tax and discount are one number."""
     from tidemark.sources.adapter import order_items_typed
