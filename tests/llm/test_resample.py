@@ -112,3 +112,25 @@ def test_resample_of_the_documents(spark, sf_small):
     docs = [(r.doc_id, r.text) for r in read(spark, sf_small, "documents").select("doc_id", "text").collect()]
     target = [r.text for r in read(spark, sf_small, "benchmark").select("text").collect()]
     assert got(QUERIES["op11_importance_resampling"](spark, sf_small)) == plain(docs, target)
+
+
+@pytest.mark.parametrize("buckets,runs", [(997, (1, 1)), (1 << 16, (1, 2)), (70_001, (2, 3))])
+def test_texts_are_scanned_once_into_numbers(docs_of, monkeypatch, buckets, runs):
+    """What is written of each text are the buckets of its features; counts and scores are made of that alone."""
+    docs = random_texts(120, 11) + EDGES
+    own = resample.featured(docs_of(docs), buckets, runs)
+    assert own.columns == ["doc_id", "n_words", "features"]
+    number = resample.number_type(buckets)
+    found = Counter((r.doc_id, r.n_words, tuple(sorted(np.frombuffer(bytes(r.features), dtype=number).tolist()))) for r in own.collect())
+    want = [(i, *plain_features(t, buckets, runs)) for i, t in docs]
+    assert found == Counter((i, n, tuple(sorted(f))) for i, n, f in want)
+    assert resample.bucket_counts(own, buckets).tolist() == np.bincount([b for _, _, f in want for b in f], minlength=buckets).tolist()
+    gain = np.arange(buckets, dtype=np.int64) - 400
+    monkeypatch.setattr(resample, "STRETCH", 100)
+    weights = Counter((r.doc_id, r.n_words, r.n_features, r.weight) for r in resample.scored(own, gain).collect())
+    assert weights == Counter((i, n, len(f), sum(b - 400 for b in f)) for i, n, f in want)
+    seen = []
+    real = resample.featured
+    monkeypatch.setattr(resample, "featured", lambda *a: seen.append(a[0].columns) or real(*a))
+    resample.resample(docs_of(docs), docs_of([]), buckets, runs).collect()
+    assert len(seen) == 2       # the documents and the target, each once

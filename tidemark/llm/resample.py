@@ -8,8 +8,10 @@
    is counted. Each worker has its own dictionary, so nothing about words is collected or broadcast.
 3. CRCs of adjacent payloads compose: the CRC of "a b" follows from that of "a ", that of "b" and the length of
    "b". So runs of 1 to n words get their buckets without being spelled out.
-4. Counting: each task sums its features by bucket, and these rows are summed, for documents and target texts. That makes
-   `buckets` gains. Scoring: a second scan sums the gains over each document and adds Gumbel noise from its id.
+4. Texts are scanned once: each document's buckets are written as whole numbers of two bytes (four beyond 65,536 buckets),
+   a third of a text of common words. Counting: each task sums its features by bucket, and these rows are summed, for
+   documents and target texts. That makes `buckets` gains. Scoring: what was written is read again, and the gains are summed
+   over each document; Gumbel noise from its id is added.
 5. Drawing: an approximate quantile, checked by an exact count, leaves the rows that can be drawn; they are sorted in ranges,
    and one total for each range gives the ranks. Rows get a number when they are written, so that equal ones lie in order.
 
@@ -182,17 +184,47 @@ def _texts(b: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
         yield lo, hi, [x or b"" for x in texts[lo:hi]]
 
 
-def bucket_counts(rows: DataFrame, buckets: int = BUCKETS, runs: tuple[int, int] = (1, 1)) -> np.ndarray:
-    """Features in each bucket over all texts."""
+def number_type(buckets: int) -> np.dtype:
+    return np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
+
+
+def featured(docs: DataFrame, buckets: int = BUCKETS, runs: tuple[int, int] = (1, 1)) -> DataFrame:
+    """doc_id, n_words and features: the buckets of a text's features one behind the other, as `number_type` says."""
+    number = number_type(buckets)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("features", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("doc_id")
+            for lo, hi, texts in _texts(b):
+                n_words, of, bucket = features(texts, buckets, runs, _DICTIONARY)
+                upto = np.cumsum(np.bincount(of, minlength=len(texts))).tolist()
+                own = bucket[np.argsort(of, kind="stable")].astype(number)
+                parts = [own[i:k].tobytes() for i, k in zip([0, *upto], upto)]
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(n_words), pa.array(parts, pa.binary())], schema=schema)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, n_words long, features binary")
+
+
+def _numbers(values: pa.Array, number: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all rows of `featured`, and how many each row has."""
+    rows = values.to_pylist()
+    return np.frombuffer(b"".join(rows), dtype=number), np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)) // number.itemsize
+
+
+def bucket_counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Features in each bucket over all rows of `featured`."""
+    number = number_type(buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
         for b in batches:
-            for _, _, texts in _texts(b):
-                total += np.bincount(features(texts, buckets, runs, _DICTIONARY)[2], minlength=buckets)
+            total += np.bincount(_numbers(b.column("features"), number)[0], minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
-    counted = rows.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "bucket long, n long")
+    counted = rows.select("features").mapInArrow(run, "bucket long, n long")
     out = np.zeros(buckets, dtype=np.int64)
     for bucket, n in counted.groupBy("bucket").agg(F.sum("n")).collect():       # `buckets` rows at most
         out[bucket] = n
@@ -212,26 +244,27 @@ def noise(doc_id: int | None, seed: int = SEED) -> int:
     return math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
 
 
-def scored(docs: DataFrame, gain: np.ndarray, runs: tuple[int, int] = (1, 1), seed: int = SEED) -> DataFrame:
-    """doc_id, n_words, n_features, weight, score."""
-    values = docs.sparkSession.sparkContext.broadcast(gain)         # one number for each bucket
+def scored(rows: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame:
+    """doc_id, n_words, n_features, weight, score of the rows of `featured`."""
+    values = rows.sparkSession.sparkContext.broadcast(gain)         # one number for each bucket
+    number = number_type(len(gain))
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_words", "n_features", "weight", "score")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = values.value
         for b in batches:
-            ids = b.column("doc_id")
-            for lo, hi, texts in _texts(b):
-                n_words, of, bucket = features(texts, len(gain), runs, _DICTIONARY)
-                before = np.concatenate([[0], np.cumsum(gain[bucket[np.argsort(of, kind="stable")]])])     # whole numbers
-                n = np.bincount(of, minlength=len(texts))
+            ids, words = b.column("doc_id"), b.column("n_words")
+            held = b.column("features").to_pylist()
+            for lo, hi in slices(held, STRETCH):
+                bucket, n = _numbers(pa.array(held[lo:hi], pa.binary()), number)
+                before = np.concatenate([[0], np.cumsum(gain[bucket])])     # whole numbers
                 upto = np.cumsum(n)
                 weight = before[upto] - before[upto - n]
                 own = ids.slice(lo, hi - lo)
                 score = weight + np.array([noise(i, seed) for i in own.to_pylist()], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([own, *map(pa.array, (n_words, n, weight, score))], schema=schema)
+                yield pa.RecordBatch.from_arrays([own, words.slice(lo, hi - lo), *map(pa.array, (n, weight, score))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return rows.select("doc_id", "n_words", "features").mapInArrow(
         run, "doc_id long, n_words long, n_features long, weight long, score long")
 
 
@@ -264,8 +297,10 @@ def ranked(rows: DataFrame, drawn: int) -> DataFrame:
 def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, runs: tuple[int, int] = (1, 1),
              min_words: int = MIN_WORDS, percent: int = PERCENT, seed: int = SEED) -> DataFrame:
     """doc_id, n_features, weight, score and rank (null: not drawn) of every document."""
-    gain = gains(bucket_counts(docs, buckets, runs), bucket_counts(target, buckets, runs))
-    rows = written(scored(docs, gain, runs, seed).withColumn("row", F.monotonically_increasing_id()), "scored")
+    own = written(featured(docs, buckets, runs), "featured")
+    wanted = featured(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), buckets, runs)
+    gain = gains(bucket_counts(own, buckets), bucket_counts(wanted, buckets))
+    rows = written(scored(own, gain, seed).withColumn("row", F.monotonically_increasing_id()), "scored")
     fit = F.col("n_words") >= min_words
     able = rows.filter(fit)
     out = ranked(able, percent * able.count() // 100).unionByName(
