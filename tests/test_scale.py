@@ -97,3 +97,19 @@ def test_lineitem_is_shuffled_as_what_is_used_of_it(spark, sf_small):
     types = dict(order_items_typed(spark, sf_small).dtypes)
     assert not {"l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_shipdate", "l_extendedprice", "p_retailprice"} & set(types)
     assert types["_marks"] == "int" and types["_ship_day"] == "date" and types["_sales"] == "decimal(12,2)"
+
+
+def test_fact_rows_are_not_shuffled_to_their_years(spark, sf_small, monkeypatch):
+    """Each task writes its rows into the folders of the years; the folders hold every row under its year."""
+    layers.star_tables(spark, sf_small)
+    plans, real_path, real_write = [], layers._layer_path, layers._write
+    monkeypatch.setattr(layers, "_layer_path", lambda s, d, name, build: real_path(s, d, name + "_test" if name == "fact_sales" else name, build))
+    monkeypatch.setattr(layers, "_write", lambda df, path, *by: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()),
+                                                                 real_write(df, path, *by)))
+    fact = layers.fact_by_year(spark, sf_small)
+    assert len(plans) == 1 and "Repartition" not in plans[0]
+    assert fact.count() == layers.silver(spark, sf_small).count()
+    dates = layers.star(spark, sf_small, "dim_date").select("date_id", "year")
+    assert fact.join(dates, "date_id").filter("order_year <> year").isEmpty()
+    assert {r[0] for r in fact.select("order_year").distinct().collect()} == {
+        int(f.split("=")[1]) for f in glob.glob(layers._layer_path(spark, sf_small, "fact_sales", None) + "/order_year=*")}
