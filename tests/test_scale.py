@@ -113,3 +113,17 @@ def test_fact_rows_are_not_shuffled_to_their_years(spark, sf_small, monkeypatch)
     assert fact.join(dates, "date_id").filter("order_year <> year").isEmpty()
     assert {r[0] for r in fact.select("order_year").distinct().collect()} == {
         int(f.split("=")[1]) for f in glob.glob(layers._layer_path(spark, sf_small, "fact_sales", None) + "/order_year=*")}
+
+
+def test_dashboard_queries_build_the_star_tables_they_read(spark, sf_small, monkeypatch):
+    """No dimension is made for a query that reads neither it nor a fact that looks ids up in it."""
+    from tidemark.plans.catalog import QUERIES
+    asked, real = set(), layers.star
+    monkeypatch.setattr(layers, "star", lambda s, d, name: (asked.add(name), real(s, d, name))[1])
+    looked_up = {"fact_sales", "dim_date", "dim_location", "dim_shipping"}
+    for query, more in (("dash_late_by_mode", set()), ("dash_kpis", set()), ("dash_category", {"dim_product"}),
+                        ("mergeable_distinct", set()), ("dashboard_slice", {"dim_customer"}), ("distinct_values", {"dim_customer"})):
+        asked.clear()
+        assert QUERIES[query](spark, sf_small).count() > 0
+        assert "fact_sales" in asked and more <= asked <= looked_up | more, query
+    assert set(layers.star_tables(spark, sf_small)) == set(layers.STAR_TABLES)
