@@ -74,3 +74,51 @@ def test_rejection_keeps_rows_whole(spark, docs_of):
     kept = langid.keep_identified(docs, model, 0.5)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text, r.bucket) for r in kept.collect()) == [(1, "the of and with", "bucket"), (3, "der und nicht", "bucket")]
+
+
+def test_texts_of_a_slice_only_are_python_objects():
+    """A task holds the texts of one slice as Python strings, not those of a whole batch."""
+    import pyarrow as pa
+    from tidemark.llm.common import slices, text_slices
+
+    texts = ["ab", None, "", "ñandú", "x" * 30, "日本", "𐐀" * 4, "tail"] * 5
+    for most in (1, 6, 30, 1000):
+        own = list(text_slices(pa.array(texts, pa.string()), most))
+        assert [(lo, hi) for lo, hi, _ in own] == list(slices(texts, most))
+        assert [t for *_, part in own for t in part] == texts
+        assert all(hi - lo == 1 or sum(len(t or "") for t in part) <= most for lo, hi, part in own)
+    assert list(text_slices(pa.array([], pa.string()), 5)) == []
+
+
+def test_tasks_give_their_memory_back(spark, docs_of, monkeypatch):
+    """Of the stages of the pipeline that run Python, each task does so once, also when it is ended early."""
+    from tidemark.llm import common
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and len(given) == 1
+    early = common.lean(lambda batches: iter(batches))(iter([1, 2]))
+    assert next(early) == 1
+    early.close()
+    assert len(given) == 2
+
+
+def test_given_back_memory_leaves_the_process():
+    """In a process of its own, as a worker is: what 200 MB of small texts took is not kept."""
+    import subprocess
+    import sys
+    code = """
+import re, pyarrow as pa
+from tidemark.llm.common import give_back
+held = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+a = pa.array(["%07d" % i * 400 for i in range(40_000)])
+kept, texts = [], []
+for t in a.to_pylist():
+    texts.append(t + "!")
+    kept.append(t[:600] + "?")      # small ones between large ones
+full = held()
+del a, texts, t
+give_back()
+assert held() < full - 80, (full, held())
+"""
+    root = __file__.rsplit("/tests/", 1)[0]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=60)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,17 +119,49 @@ class Memo(dict):
         return value
 
 
-def slices(texts: list, chars: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most `rows` rows and `chars` code points, one row at least: bounds memory in a task."""
+def ranges(sizes: list[int], most: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `rows` rows and `most` in all, one row at least: bounds memory in a task."""
     start, total = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and (total + n > chars or i - start >= rows):
+    for i, n in enumerate(sizes):
+        if i > start and (total + n > most or i - start >= rows):
             yield start, i
             start, total = i, 0
         total += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def slices(texts: list, chars: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `rows` rows and `chars` code points, one row at least."""
+    return ranges([len(t or "") for t in texts], chars, rows)
+
+
+def text_slices(column: pa.Array, chars: int) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Row ranges of at most `chars` code points, one row at least, with their texts: only these are Python objects."""
+    for lo, hi in ranges([n or 0 for n in pc.utf8_length(column).to_pylist()], chars):
+        yield lo, hi, column.slice(lo, hi - lo).to_pylist()
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the machine: Arrow's pool and, where the C library can, malloc's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """mapInArrow function that gives its freed memory back when a task ends.
+
+    Spark hands tasks round all idle workers, of which two chained functions leave twice as many as there are cores; each
+    would keep what its largest task took.
+    """
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return lean_run
 
 
 def batchwise(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import lean, slices, text_slices
 
 FIT_DOCS = 4000          # labelled rows per language the model is fitted on, about
 MOST_LANGS = 128         # languages that are learned at most: the model is 33 MB then
@@ -138,7 +138,7 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(f.astype(np.int32)),
                                           pa.array(total[i, f])], names=["l", "f", "n"])
 
-    counts = (rows.where(F.col("lang").isin(langs) & (place < share)).mapInArrow(count, "l int, f int, n long")
+    counts = (rows.where(F.col("lang").isin(langs) & (place < share)).mapInArrow(lean(count), "l int, f int, n long")
               .groupBy("l", "f").agg(F.sum("n").alias("n")).toPandas())
     table = np.zeros((len(langs), BUCKETS + len(_NAMES)))
     table[counts["l"], counts["f"]] = counts["n"]
@@ -258,16 +258,15 @@ def identify(docs: DataFrame, model: dict, penalty: float = SWITCH_PENALTY, held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for lo, hi in slices(texts, BATCH_CHARS):
-                lang, score, spans = zip(*_predict(texts[lo:hi], shared.value, penalty))
+            for lo, hi, texts in text_slices(b.column("text"), BATCH_CHARS):
+                lang, score, spans = zip(*_predict(texts, shared.value, penalty))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(lo, hi - lo), b.column("held").slice(lo, hi - lo),
                      *(pa.array(x, f.type) for x, f in zip((lang, score, spans), list(_OUT)[2:]))], schema=_OUT)
 
     return docs.select(F.col("doc_id").cast("long"), (held if held is not None else F.lit(False)).alias("held"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, held boolean, lang_pred string, score double, "
+        lean(run), "doc_id long, held boolean, lang_pred string, score double, "
              "spans array<struct<lang: string, first: long, last: long>>")
 
 
@@ -289,9 +288,8 @@ def keep_identified(docs: DataFrame, model: dict, least_share: float, penalty: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for lo, hi in slices(texts, BATCH_CHARS):
-                keep = [k != UNKNOWN and s >= least_share for k, s, _ in _predict(texts[lo:hi], shared.value, penalty)]
+            for lo, hi, texts in text_slices(b.column("text"), BATCH_CHARS):
+                keep = [k != UNKNOWN and s >= least_share for k, s, _ in _predict(texts, shared.value, penalty)]
                 yield b.slice(lo, hi - lo).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

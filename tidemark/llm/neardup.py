@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, Memo, attached, emit, groups, slices, text_of, written
+from tidemark.llm.common import WORD, Memo, attached, emit, groups, lean, slices, text_of, written
 from tidemark.llm.components import components
 from tidemark.llm.dart import mix, signatures
 
@@ -163,7 +163,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
                 left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, K) for c in ("sig_a", "sig_b"))
                 yield b.select(["a", "b"]).filter(pa.array(_agree(left, right) >= least))
 
-    return pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
+    return pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(lean(run), "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -176,7 +176,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 near = [similarity(x, y) >= threshold for x, y in zip(b.column("t_a").to_pylist(), b.column("t_b").to_pylist())]
                 yield b.select(["a", "b"]).filter(pa.array(near))
 
-    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a binary, b binary")
+    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(lean(run), "a binary, b binary")
 
 
 def _mixed(members: DataFrame, labels: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -274,16 +274,16 @@ def _across(rows: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float
     def by_tile(tiles: DataFrame) -> DataFrame:
         return tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
-    may = written(by_tile(_tiles(rows, reps, SIGNATURE_TILE)).mapInArrow(meets, "bucket long, digest binary").distinct(), "may-link")
+    may = written(by_tile(_tiles(rows, reps, SIGNATURE_TILE)).mapInArrow(lean(meets), "bucket long, digest binary").distinct(), "may-link")
     few = rows.join(may, ["bucket", "digest"], "left_semi")
-    return by_tile(_tiles(few, reps, TILE).join(texts, "digest")).mapInArrow(links, "a binary, b binary").distinct()
+    return by_tile(_tiles(few, reps, TILE).join(texts, "digest")).mapInArrow(lean(links), "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, k1, k2, digest, root (digest that names the class): one row per input row, a written table's join."""
     rows = row_keys(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     signed = written(rows.select(F.col("doc_id").cast("long"), "k1", "k2", text_of().alias("t")).mapInArrow(
-        _sign, "doc_id long, k1 long, k2 long, digest binary, bands array<long>, sig binary, size long"), "signed")
+        lean(_sign), "doc_id long, k1 long, k2 long, digest binary, bands array<long>, sig binary, size long"), "signed")
     reps = written(signed.where(F.size("bands") > 0).groupBy("digest").agg(
         F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"), F.any_value("size").alias("size"),
         F.min("k1").alias("k1")), "distinct-texts")
@@ -294,7 +294,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # texts of everything that meets anything, once
     wanted = members.select("digest").distinct().join(reps.select("digest", "k1"), "digest")
     texts = written(rows.join(wanted.select("k1").distinct(), "k1", "left_semi").select(text_of().alias("t"))
-                    .mapInArrow(_with_digest, "digest binary, t string").dropDuplicates(["digest"]), "met-texts")
+                    .mapInArrow(lean(_with_digest), "digest binary, t string").dropDuplicates(["digest"]), "met-texts")
 
     met = members.groupBy("digest").agg(F.sum("n").alias("met"))
     rows, used, links = members.select("bucket", "digest", F.col("digest").alias("comp")), None, None

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, written
+from tidemark.llm.common import Memo, lean, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -124,7 +124,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+        lean(run), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 class _Stock:
@@ -289,7 +289,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                              names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*names).schema) + ", sequence_id long, offset long"
-    return numbered.mapInArrow(run, schema)
+    return numbered.mapInArrow(lean(run), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
