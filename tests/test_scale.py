@@ -127,3 +127,16 @@ def test_dashboard_queries_build_the_star_tables_they_read(spark, sf_small, monk
         assert QUERIES[query](spark, sf_small).count() > 0
         assert "fact_sales" in asked and more <= asked <= looked_up | more, query
     assert set(layers.star_tables(spark, sf_small)) == set(layers.STAR_TABLES)
+
+
+def test_plain_text_is_title_cased_without_cutting_it(spark):
+    """Words that start after a space take ``initcap``; only other text is cut at its words, and both give Python's result."""
+    from tidemark.functions.text import normalise, title_case
+    values = ["", " ", "south\t ", "\t north", "two  words", "MIDDLE EAST", "town-3 of france", "st12", "3d", "men's", "a_b", "_x", "dri-fit 3D",
+              "x\ty", "m\u00e1laga", "SAO PAULO\u00e9", "9 quai 7", "end\n", "\x0b\x0cmid dle\r", "#tag", "a.b c", "o'neil mcDONALD", None]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    rows = df.select("s", normalise(F.col("s")).alias("n"), title_case(F.col("s")).alias("t")).collect()
+    assert [(r["n"], r["t"]) for r in rows] == [(v, v) if v is None else (v.strip().title(), v.title()) for v in values]
+    for made in (normalise, title_case):
+        plan = df.select(made(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+        assert "initcap" in plan and "CASE WHEN" in plan
