@@ -140,3 +140,21 @@ def test_plain_text_is_title_cased_without_cutting_it(spark):
     for made in (normalise, title_case):
         plan = df.select(made(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
         assert "initcap" in plan and "CASE WHEN" in plan
+
+
+def test_analyses_build_the_star_tables_they_read(spark, sf_small, monkeypatch):
+    """Those over customers make no fact; the others make the fact, what it looks ids up in, and their own dimension."""
+    from tidemark.plans.catalog import QUERIES
+    from tidemark.plans.sql_analytics import ANALYSES, READS
+    asked, real = set(), layers.star
+    monkeypatch.setattr(layers, "star", lambda s, d, name: (asked.add(name), real(s, d, name))[1])
+    looked_up = {"fact_sales", "dim_date", "dim_location", "dim_shipping"}
+    assert set(READS) == set(ANALYSES)
+    for query in ANALYSES:
+        asked.clear()
+        assert QUERIES[query](spark, sf_small).count() > 0
+        assert set(READS[query]) <= asked
+        if query in ("sql_top_customers", "sql_retention"):
+            assert asked == {"dim_customer"}, query
+        else:
+            assert asked <= looked_up | set(READS[query]) and "dim_customer" not in asked, query
