@@ -158,3 +158,25 @@ def test_analyses_build_the_star_tables_they_read(spark, sf_small, monkeypatch):
             assert asked == {"dim_customer"}, query
         else:
             assert asked <= looked_up | set(READS[query]) and "dim_customer" not in asked, query
+
+
+def test_shuffle_files_go_when_a_layer_is_written(spark, sf_small):
+    import time
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (f.rsplit("/", 1)[-1] for f in files.mkString("\n").split("\n")) if n.startswith("shuffle_")}
+
+    def build(path):
+        assert spark.conf.get(name) == "true"
+        before, deadline = shuffles(), time.time() + 20
+        spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(path)
+        while shuffles() - before and time.time() < deadline:
+            time.sleep(0.2)
+        left.update(shuffles() - before)
+
+    left = set()
+    assert spark.read.parquet(layers._layer_path(spark, sf_small, "shuffled_test", build)).count() == 7
+    assert spark.conf.get(name) == was and not left
